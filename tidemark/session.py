@@ -24,7 +24,6 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master is not None:
         builder = builder.master(master)
