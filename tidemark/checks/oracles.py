@@ -502,8 +502,8 @@ SELECT SalesOrderNumber, CAST(SalesOrderLineNumber AS VARCHAR) AS SalesOrderLine
        CAST(year(OrderDate) AS INTEGER) AS Year, CAST(month(OrderDate) AS INTEGER) AS Month,
        split_part(CustomerName, ' ', 1) AS FirstName,
        {SECOND_WORD.format('CustomerName')} AS LastName, Email AS EmailAddress, Item,
-       CAST(Quantity AS VARCHAR) AS Quantity, CAST(UnitPrice AS VARCHAR) AS UnitPrice,
-       CAST(Tax AS VARCHAR) AS TaxAmount
+       CAST(Quantity AS VARCHAR) AS Quantity, CAST(CAST(UnitPrice AS DOUBLE) AS VARCHAR) AS UnitPrice,
+       CAST(CAST(Tax AS DOUBLE) AS VARCHAR) AS TaxAmount
 FROM from_csv""",
         "typed_warehouse_load": f"WITH {WAREHOUSE} SELECT * FROM customers",
         # dimensions and facts

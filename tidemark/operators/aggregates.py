@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tidemark.functions.numbers import exact_sum
+
 
 def row_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows and distinct rows of a projection, in one aggregation by value.
@@ -34,16 +36,16 @@ def sum_numeric(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def sum_where(
     df: DataFrame, by: Sequence[str], kind: str, values: Sequence[str], amount: str
 ) -> DataFrame:
-    """One ``<value>_<amount>`` sum per value of ``kind`` plus the total.
+    """One ``<value>_<amount>`` sum of money per value of ``kind`` plus the total.
 
     All sums come out of the same aggregation, so there is one shuffle.
     """
-    zero = F.lit(0).cast(df.schema[amount].dataType)
+    money = F.col(amount)
     split = [
-        F.sum(F.when(F.col(kind) == v, F.col(amount)).otherwise(zero)).alias(f"{v}_{amount}")
+        exact_sum(F.when(F.col(kind) == v, money).otherwise(F.lit(0))).alias(f"{v}_{amount}")
         for v in values
     ]
-    return df.groupBy(*by).agg(*split, F.sum(amount).alias(f"total_{amount}"))
+    return df.groupBy(*by).agg(*split, exact_sum(money).alias(f"total_{amount}"))
 
 
 def latest(

@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import slash_year, year_text
-from tidemark.functions.numbers import money, net_line, whole_percent
+from tidemark.functions.numbers import (
+    amount_of,
+    coarser,
+    exact_sum,
+    net_line,
+    units,
+    whole_percent,
+)
 from tidemark.operators.cleaning import where_between
 from tidemark.operators.ranking import top
 
@@ -57,7 +64,7 @@ def order_details(products: DataFrame, details: DataFrame, order_id=None) -> Dat
         F.round(price, 2).alias("UnitPrice"),
         "Quantity",
         whole_percent(discount).alias("Discount"),
-        F.round(money(net_line(quantity, discount, price)), 2).alias("ExtendedPrice"),
+        amount_of(coarser(units(net_line(quantity, discount, price), 4))).alias("ExtendedPrice"),
     )
 
 
@@ -73,7 +80,7 @@ def customer_orders(orders: DataFrame, customer_id) -> DataFrame:
 def order_subtotals(details: DataFrame) -> DataFrame:
     """Net amount per order."""
     net = net_line(F.col("Quantity"), F.col("Discount"), F.col("UnitPrice"))
-    return details.groupBy("OrderID").agg(F.sum(net).alias("Subtotal"))
+    return details.groupBy("OrderID").agg(exact_sum(net, 4).alias("Subtotal"))
 
 
 def employee_sales(
@@ -131,14 +138,15 @@ def sales_by_category(
         categories.where(F.col("CategoryName") == category).select("CategoryID"), "CategoryID"
     )
     of_year = orders.where(slash_year(F.col("OrderDate")) == chosen).select("OrderID")
-    line = net_line(F.col("Quantity"), F.col("Discount"), F.col("UnitPrice")).cast("decimal(14,2)")
+    net = net_line(F.col("Quantity"), F.col("Discount"), F.col("UnitPrice"))
+    cents = coarser(units(net, 4))
     per_product = (
-        details.join(of_year, "OrderID").groupBy("ProductID").agg(F.sum(line).alias("_amount"))
+        details.join(of_year, "OrderID").groupBy("ProductID").agg(F.sum(cents).alias("_cents"))
     )
     return (
         per_product.join(of_category, "ProductID")
         .groupBy("ProductName")
-        .agg(F.round(F.sum("_amount"), 0).alias("TotalPurchase"))
+        .agg(F.round(amount_of(F.sum("_cents")), 0).alias("TotalPurchase"))
         .orderBy("ProductName")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import gross
+from tidemark.functions.numbers import exact_sum, gross
 from tidemark.operators.aggregates import sum_numeric
 from tidemark.operators.ranking import top
 
@@ -28,7 +28,8 @@ def yearly_orders(sales: DataFrame) -> DataFrame:
 
 
 def _revenue() -> Column:
-    return F.sum(gross(F.col("UnitPrice"), F.col("Quantity"), F.col("Tax"))).alias("GrossRevenue")
+    line = gross(F.col("UnitPrice"), F.col("Quantity"), F.col("Tax"))
+    return exact_sum(line).alias("GrossRevenue")
 
 
 def yearly_revenue(sales: DataFrame) -> DataFrame:

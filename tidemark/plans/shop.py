@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import cents_to_units
+from tidemark.functions.numbers import amount_of, cents_to_units, units
 from tidemark.operators import quality
 from tidemark.operators.aggregates import sum_where
 from tidemark.sources.writers import materialise
@@ -42,7 +42,7 @@ def customer_mart(customers: DataFrame, orders: DataFrame, payments: DataFrame)
     aggregation per customer gives dates, count and value. A customer without
     orders keeps nulls. Payments of unknown orders belong to no customer.
     """
-    paid = payments.groupBy("order_id").agg(F.sum("amount").alias("_paid"))
+    paid = payments.groupBy("order_id").agg(F.sum(units(F.col("amount"))).alias("_paid"))
     per_customer = (
         orders.groupBy("customer_id", "order_id")
         .agg(
@@ -58,7 +58,7 @@ def customer_mart(customers: DataFrame, orders: DataFrame, payments: DataFrame)
             F.sum(F.when(F.col("order_id").isNotNull(), F.col("_rows")).otherwise(F.lit(0))).alias(
                 "number_of_orders"
             ),
-            F.sum(F.col("_paid") * F.col("_rows")).alias("customer_lifetime_value"),
+            amount_of(F.sum(F.col("_paid") * F.col("_rows"))).alias("customer_lifetime_value"),
         )
     )
     return customers.join(per_customer, "customer_id", "left").select(
@@ -74,12 +74,12 @@ def customer_mart(customers: DataFrame, orders: DataFrame, payments: DataFrame)
 
 def payments_by_customer(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Paid amount per customer; payments of unknown orders form a null group."""
-    paid = payments.groupBy("order_id").agg(F.sum("amount").alias("_paid"))
+    paid = payments.groupBy("order_id").agg(F.sum(units(F.col("amount"))).alias("_paid"))
     owners = orders.select("order_id", "customer_id")
     return (
         paid.join(owners, "order_id", "left")
         .groupBy("customer_id")
-        .agg(F.sum("_paid").alias("total_amount"))
+        .agg(amount_of(F.sum("_paid")).alias("total_amount"))
     )
 
 

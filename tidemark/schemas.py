@@ -19,10 +19,10 @@ ORDERS_CSV = (
     "Email string, Item string, Quantity int, UnitPrice float, Tax float"
 )
 
-# Same columns with exact money, for loads that are compared to the cent.
-ORDERS_CSV_EXACT = (
+# Same columns with wider money.
+ORDERS_CSV_WIDE = (
     "SalesOrderNumber string, SalesOrderLineNumber int, OrderDate date, CustomerName string, "
-    "Email string, Item string, Quantity int, UnitPrice decimal(12,2), Tax decimal(12,2)"
+    "Email string, Item string, Quantity int, UnitPrice double, Tax double"
 )
 
 PRODUCTS_CSV = "ProductID int, ProductName string, Category string, ListPrice double"

@@ -19,8 +19,9 @@ def _money(column: str) -> Column:
     return F.col(column).cast("decimal(12,2)")
 
 
-def _share(column: str) -> Column:
-    return F.col(column).cast("decimal(4,2)")
+def _cents(column: str) -> Column:
+    """Money with two decimals as a whole number of cents, in integer arithmetic from there."""
+    return F.floor(F.col(column) * 100 + 0.5)
 
 
 def _customer_name() -> Column:
@@ -68,8 +69,8 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         )
     if "Item" in wanted:
         rows = rows.join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    cents = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT)"
-    unit = F.expr(f"CAST({cents} div CAST(l_quantity AS BIGINT) AS DECIMAL(12,0)) * 0.01BD")
+    price, quantity = _cents("l_extendedprice"), F.col("l_quantity")
+    tax = F.floor((price * _cents("l_tax") + 50) / 100)
     made = {
         "SalesOrderNumber": F.concat(F.lit("SO"), F.col("l_orderkey")),
         "SalesOrderLineNumber": F.col("l_linenumber"),
@@ -77,9 +78,9 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         "CustomerName": _customer_name(),
         "Email": _email(),
         "Item": _item(),
-        "Quantity": F.col("l_quantity").cast("int"),
-        "UnitPrice": unit.cast("decimal(12,2)"),
-        "Tax": F.round(_money("l_extendedprice") * _share("l_tax"), 2).cast("decimal(12,2)"),
+        "Quantity": quantity.cast("int"),
+        "UnitPrice": F.floor(price / quantity) / 100,
+        "Tax": tax / 100,
     }
     return rows.select([made[c].alias(c) for c in wanted])
 
@@ -129,7 +130,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "O", "credit_card")
         .otherwise("gift_card")
         .alias("payment_method"),
-        (_money("l_extendedprice") * 100).cast("bigint").alias("amount"),
+        _cents("l_extendedprice").alias("amount"),
     )
 
 
@@ -144,7 +145,7 @@ def warehouse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("int").alias("ProductKey"),
         F.col("o_custkey").cast("int").alias("CustomerKey"),
         F.col("l_quantity").cast("int").alias("Quantity"),
-        F.round(_money("l_extendedprice"), 0).cast("decimal(18,0)").alias("SalesTotal"),
+        F.floor((_cents("l_extendedprice") + 50) / 100).cast("decimal(18,0)").alias("SalesTotal"),
     )
 
 
@@ -198,9 +199,9 @@ def trading_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("OrderID"),
         F.col("l_partkey").alias("ProductID"),
-        _money("l_extendedprice").alias("UnitPrice"),
+        F.col("l_extendedprice").alias("UnitPrice"),
         F.col("l_quantity").cast("int").alias("Quantity"),
-        _share("l_discount").alias("Discount"),
+        F.col("l_discount").alias("Discount"),
     )
 
 
