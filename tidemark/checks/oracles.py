@@ -582,7 +582,8 @@ SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM stg_payments""",
         "mart_customers": f"""WITH {SHOP}
 SELECT customer_id, first_name, last_name,
        strftime(first_order, '%Y-%m-%d') AS first_order,
-       strftime(most_recent_order, '%Y-%m-%d') AS most_recent_order, number_of_orders,
+       strftime(most_recent_order, '%Y-%m-%d') AS most_recent_order,
+       CAST(number_of_orders AS DOUBLE) AS number_of_orders,
        CAST(customer_lifetime_value AS DOUBLE) AS customer_lifetime_value
 FROM mart_customers""",
         "mart_orders": f"""WITH {SHOP}
@@ -593,7 +594,7 @@ SELECT order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date, st
        CAST(gift_card_amount AS DOUBLE) AS gift_card_amount, CAST(amount AS DOUBLE) AS amount
 FROM mart_orders""",
         "payments_by_customer": f"""WITH {SHOP}
-SELECT o.customer_id, CAST(SUM(p.amount) AS DOUBLE) AS total_amount
+SELECT CAST(o.customer_id AS DOUBLE) AS customer_id, CAST(SUM(p.amount) AS DOUBLE) AS total_amount
 FROM stg_payments p
 LEFT JOIN (SELECT * FROM stg_orders WHERE order_date >= DATE '{FIRST_LOAD_BEFORE}') o
   ON p.order_id = o.order_id
@@ -733,7 +734,8 @@ SELECT 'Last minute', COUNT(*), 3 FROM stations, newest
 WHERE EnqueuedTime > t - INTERVAL 1 MINUTE""",
         "station_matrix": f"""WITH {STATIONS}
 SELECT Neighbourhood, Street, BikepointID,
-       GROUPING(Neighbourhood) + GROUPING(Street) + GROUPING(BikepointID) AS level,
+       CAST(GROUPING(Neighbourhood) + GROUPING(Street) + GROUPING(BikepointID) AS INTEGER)
+         AS level,
        CAST(SUM(No_Bikes) AS BIGINT) AS No_Bikes,
        CAST(SUM(No_Empty_Docks) AS BIGINT) AS No_Empty_Docks
 FROM stations GROUP BY ROLLUP (Neighbourhood, Street, BikepointID)""",
@@ -747,8 +749,8 @@ FROM stations GROUP BY Longitude, Latitude""",
         "station_prev_change": f"""WITH {STATIONS}
 SELECT BikepointID, Street, Neighbourhood, Latitude, Longitude, No_Bikes, No_Empty_Docks,
        {TIME_TEXT.format('EnqueuedTime')} AS EnqueuedTime, EventID,
-       LAG(No_Bikes) OVER w - No_Bikes AS "CountChange",
-       LAG(No_Empty_Docks) OVER w - No_Empty_Docks AS "EmptyCountChange"
+       CAST(LAG(No_Bikes) OVER w - No_Bikes AS DOUBLE) AS "CountChange",
+       CAST(LAG(No_Empty_Docks) OVER w - No_Empty_Docks AS DOUBLE) AS "EmptyCountChange"
 FROM (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER ({LATEST_FIRST}) AS rn FROM stations) WHERE rn <= 2
 )

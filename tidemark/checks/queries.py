@@ -44,12 +44,15 @@ def registered() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-def portable(df: DataFrame) -> DataFrame:
-    """Cast to types that every engine renders alike."""
+def portable(df: DataFrame, nullable_numbers: tuple[str, ...] = ()) -> DataFrame:
+    """Cast to types that every engine renders alike.
+
+    Whole numbers that may be null are given as double.
+    """
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, DecimalType):
+        if isinstance(field.dataType, DecimalType) or field.name in nullable_numbers:
             column = column.cast("double")
         elif isinstance(field.dataType, DateType):
             column = F.date_format(column, "yyyy-MM-dd")
@@ -59,15 +62,18 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
-def query(build: Query) -> Query:
+def query(*nullable_numbers: str) -> Callable[[Query], Query]:
     """Register a query under its function name."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return portable(build(spark, sf_dir.rstrip("/")))
+    def register(build: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return portable(build(spark, sf_dir.rstrip("/")), nullable_numbers)
+
+        _REGISTRY[build.__name__] = run
+        return build
 
-    _REGISTRY[build.__name__] = run
-    return build
+    return register
 
 
 # --- sales -------------------------------------------------------------------------
@@ -77,52 +83,59 @@ def clean(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return cleaning.clean_sales(td.sales(spark, sf, *columns), FLAG_BEFORE)
 
 
-@query
+def silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned sales written once, for queries that read them several times."""
+    path = session.scratch_path(spark, "silver")
+    clean(spark, sf).write.parquet(path)
+    return spark.read.schema(clean(spark, sf).schema).parquet(path)
+
+
+@query()
 def sales_clean(spark, sf):
     return clean(spark, sf)
 
 
-@query
+@query()
 def sales_transformed(spark, sf):
     return cleaning.transform_orders(td.sales(spark, sf))
 
 
-@query
+@query()
 def customer_counts(spark, sf):
     return aggregates.row_counts(
         td.sales(spark, sf, "CustomerName", "Email"), ["CustomerName", "Email"]
     )
 
 
-@query
+@query()
 def customers_distinct(spark, sf):
     return sales.distinct_customers(td.sales(spark, sf, "CustomerName", "Email"))
 
 
-@query
+@query()
 def customers_by_item(spark, sf):
     rows = td.sales(spark, sf, "CustomerName", "Email", "Item")
     return sales.distinct_customers(rows, item="small ring")
 
 
-@query
+@query()
 def product_quantity(spark, sf):
     return sales.product_quantity(td.sales(spark, sf, "Item", "Quantity"))
 
 
-@query
+@query()
 def yearly_orders(spark, sf):
     return sales.yearly_orders(td.sales(spark, sf, "OrderDate"))
 
 
-@query
+@query()
 def yearly_revenue(spark, sf):
     return sales.yearly_revenue(
         td.sales(spark, sf, "OrderDate", "Quantity", "UnitPrice", "Tax")
     )
 
 
-@query
+@query()
 def yearly_revenue_orders(spark, sf):
     return sales.yearly_revenue_and_orders(
         td.sales(spark, sf, "SalesOrderNumber", "OrderDate", "Quantity", "UnitPrice", "Tax")
@@ -133,17 +146,17 @@ def _rounded_average(df: DataFrame) -> DataFrame:
     return df.withColumn("AvgPrice", F.round(F.col("AvgPrice").cast("double"), 4))
 
 
-@query
+@query()
 def category_stats(spark, sf):
     return _rounded_average(sales.category_stats(td.products(spark, sf)))
 
 
-@query
+@query()
 def category_top10(spark, sf):
     return sales.largest_categories(sales.category_stats(td.products(spark, sf)))
 
 
-@query
+@query()
 def category_avg_top6(spark, sf):
     return _rounded_average(
         sales.dearest_categories(sales.category_stats(td.products(spark, sf)))
@@ -153,28 +166,28 @@ def category_avg_top6(spark, sf):
 # --- files and tables ----------------------------------------------------------------
 
 
-@query
+@query()
 def sales_csv_roundtrip(spark, sf):
     path = session.scratch_path(spark, "orders_csv")
     writers.csv(td.sales(spark, sf), path, header=False)
     return readers.csv_files(spark, f"{path}/*.csv", schemas.ORDERS_CSV_WIDE)
 
 
-@query
+@query()
 def products_header_csv(spark, sf):
     path = session.scratch_path(spark, "products_csv")
     writers.csv(td.products(spark, sf), path)
     return readers.csv_with_header(spark, path, schemas.PRODUCTS_CSV)
 
 
-@query
+@query()
 def products_positional_csv(spark, sf):
     path = session.scratch_path(spark, "products_plain")
     writers.csv(td.products(spark, sf), path, header=False)
     return readers.csv_positional(spark, path)
 
 
-@query
+@query()
 def typed_csv_load(spark, sf):
     """Prices of one category are words, which a typed column turns into null."""
     path = session.scratch_path(spark, "products_text")
@@ -190,7 +203,7 @@ def typed_csv_load(spark, sf):
     return readers.csv_typed(spark, path, schemas.PRODUCTS_TYPED)
 
 
-@query
+@query()
 def copy_csv(spark, sf):
     first, second = session.scratch_path(spark, "copy"), session.scratch_path(spark, "copy")
     writers.copy_delimited(td.sales(spark, sf), first)
@@ -200,7 +213,7 @@ def copy_csv(spark, sf):
     )
 
 
-@query
+@query()
 def sales_partition_year(spark, sf):
     root = session.scratch_path(spark, "by_month")
     writers.partitioned_parquet(
@@ -240,7 +253,7 @@ def _trips(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query
+@query()
 def typed_mapping_load(spark, sf):
     root = session.scratch_path(spark, "trips")
     writers.partitioned_parquet(_trips(spark, sf), root, ["puYear", "puMonth"])
@@ -252,7 +265,7 @@ def typed_mapping_load(spark, sf):
     return readers.table(spark, f"{database}.green_trips")
 
 
-@query
+@query()
 def table_append(spark, sf):
     name = f"{session.scratch_database(spark, 'append')}.products"
     products = td.products(spark, sf)
@@ -261,7 +274,7 @@ def table_append(spark, sf):
     return spark.table(name)
 
 
-@query
+@query()
 def table_external(spark, sf):
     database = session.scratch_database(spark, "external")
     path = session.scratch_path(spark, "external_products")
@@ -270,7 +283,7 @@ def table_external(spark, sf):
     return spark.table(f"{database}.products_again")
 
 
-@query
+@query()
 def table_create_if_absent(spark, sf):
     name = f"{session.scratch_database(spark, 'create')}.dimdate_gold"
     writers.create_if_absent(spark, name, schemas.DIM_DATE_GOLD)
@@ -280,7 +293,7 @@ def table_create_if_absent(spark, sf):
     return spark.table(name)
 
 
-@query
+@query()
 def load_sales(spark, sf):
     path = session.scratch_path(spark, "new_sales")
     delivered = td.sales(spark, sf).withColumnsRenamed(
@@ -292,7 +305,7 @@ def load_sales(spark, sf):
     return spark.table(name)
 
 
-@query
+@query()
 def typed_warehouse_load(spark, sf):
     return readers.typed_load(td.warehouse_customers(spark, sf), schemas.DIM_CUSTOMER)
 
@@ -300,22 +313,22 @@ def typed_warehouse_load(spark, sf):
 # --- dimensions and facts --------------------------------------------------------------
 
 
-@query
+@query()
 def dim_date(spark, sf):
     return dimensions.date_dimension(td.sales(spark, sf, "OrderDate"))
 
 
-@query
+@query()
 def dim_date_warehouse(spark, sf):
     return dimensions.warehouse_date_dimension(td.read(spark, sf, "orders"), "o_orderdate")
 
 
-@query
+@query()
 def dim_customer(spark, sf):
     return dimensions.customer_dimension(clean(spark, sf, "OrderDate", "CustomerName", "Email"))
 
 
-@query
+@query()
 def dim_product(spark, sf):
     return dimensions.product_dimension(td.sales(spark, sf, "Item"))
 
@@ -346,7 +359,7 @@ def _keyed_products(spark, rows: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query()
 def dim_customer_keys(spark, sf):
     """A first load and a second one whose new customers get keys above the old."""
     rows = clean(spark, sf, "OrderDate", "CustomerName", "Email")
@@ -357,7 +370,7 @@ def dim_customer_keys(spark, sf):
     return existing.unionByName(fresh)
 
 
-@query
+@query()
 def dim_product_keys(spark, sf):
     rows = td.sales(spark, sf, "OrderDate", "Item")
     existing = _keyed_products(spark, rows.where(F.col("OrderDate") < FIRST_LOAD_BEFORE))
@@ -367,20 +380,20 @@ def dim_product_keys(spark, sf):
     return existing.unionByName(fresh.select(existing.columns))
 
 
-@query
+@query()
 def fact_sales(spark, sf):
-    rows = clean(spark, sf)
+    rows = silver(spark, sf)
     return star.fact_sales(rows, _keyed_customers(spark, rows), _keyed_products(spark, rows))
 
 
-@query
+@query()
 def merge_insert_only(spark, sf):
     rows = clean(spark, sf)
     first = rows.where(F.col("OrderDate") < FIRST_LOAD_BEFORE)
     return merge.merge(first, rows, medallion.SILVER_KEY)
 
 
-@query
+@query()
 def merge_upsert(spark, sf):
     orders = td.read(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"),
@@ -404,7 +417,7 @@ def _cheaper(products: DataFrame) -> dict:
     return {"ListPrice": products["ListPrice"] * F.expr("0.9BD")}
 
 
-@query
+@query()
 def conditional_update(spark, sf):
     products = td.products(spark, sf)
     return merge.conditional_update(
@@ -433,19 +446,19 @@ def _product_log(spark: SparkSession, sf: str) -> ChangeLog:
     return log
 
 
-@query
+@query()
 def version_as_of(spark, sf):
     log = _product_log(spark, sf)
     first, second, third = (log.as_of(v).withColumn("version", F.lit(v)) for v in (0, 1, 2))
     return first.unionByName(second).unionByName(third)
 
 
-@query
+@query()
 def version_history(spark, sf):
     return _product_log(spark, sf).history()
 
 
-@query
+@query()
 def medallion_second_run(spark, sf):
     """Row counts after a first load and a second one that repeats it and adds more."""
     rows = td.sales(spark, sf)
@@ -479,33 +492,33 @@ def _staged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
     )
 
 
-@query
+@query()
 def stg_customers(spark, sf):
     return _staged(spark, sf)[0]
 
 
-@query
+@query()
 def stg_orders(spark, sf):
     return _staged(spark, sf)[1]
 
 
-@query
+@query()
 def stg_payments(spark, sf):
     return _staged(spark, sf)[2]
 
 
-@query
+@query("number_of_orders")
 def mart_customers(spark, sf):
     return shop.customer_mart(*_staged(spark, sf))
 
 
-@query
+@query()
 def mart_orders(spark, sf):
     _, orders, payments = _staged(spark, sf)
     return shop.order_mart(orders, payments)
 
 
-@query
+@query("customer_id")
 def payments_by_customer(spark, sf):
     """Only orders of later years are known, so early payments form the null group."""
     _, orders, payments = _staged(spark, sf)
@@ -513,7 +526,7 @@ def payments_by_customer(spark, sf):
     return shop.payments_by_customer(known, payments)
 
 
-@query
+@query()
 def quality_unique(spark, sf):
     customers, orders, payments = _staged(spark, sf)
     return quality.report(
@@ -523,7 +536,7 @@ def quality_unique(spark, sf):
     )
 
 
-@query
+@query()
 def quality_not_null(spark, sf):
     _, orders, payments = _staged(spark, sf)
     mart = shop.order_mart(orders, payments)
@@ -541,7 +554,7 @@ def quality_not_null(spark, sf):
     )
 
 
-@query
+@query()
 def quality_accepted_values(spark, sf):
     _, orders, payments = _staged(spark, sf)
     return quality.report(
@@ -551,7 +564,7 @@ def quality_accepted_values(spark, sf):
     )
 
 
-@query
+@query()
 def quality_relationships(spark, sf):
     customers, orders, payments = _staged(spark, sf)
     late = orders.where(F.col("order_date") >= FIRST_LOAD_BEFORE)
@@ -562,7 +575,7 @@ def quality_relationships(spark, sf):
     )
 
 
-@query
+@query()
 def shop_build(spark, sf):
     """The whole marts build: staging views, mart tables, all data tests."""
     return shop.build(
@@ -581,7 +594,7 @@ def _warehouse_dates(spark: SparkSession, sf: str) -> DataFrame:
     return dimensions.warehouse_date_dimension(td.read(spark, sf, "orders"), "o_orderdate")
 
 
-@query
+@query()
 def sales_by_region(spark, sf):
     return warehouse.sales_by_region(
         td.warehouse_fact(spark, sf),
@@ -590,7 +603,7 @@ def sales_by_region(spark, sf):
     )
 
 
-@query
+@query()
 def star_measures(spark, sf):
     return star.measures_by(
         td.warehouse_fact(spark, sf),
@@ -605,9 +618,9 @@ def star_measures(spark, sf):
     )
 
 
-@query
+@query()
 def star_measures_gold(spark, sf):
-    rows = clean(spark, sf)
+    rows = silver(spark, sf)
     customers, products = _keyed_customers(spark, rows), _keyed_products(spark, rows)
     measures = star.measures_by(
         star.fact_sales(rows, customers, products),
@@ -628,7 +641,7 @@ def star_measures_gold(spark, sf):
 # --- trading reports ---------------------------------------------------------------------------
 
 
-@query
+@query()
 def cust_order_hist(spark, sf):
     return reports.customer_order_history(
         td.trading_products(spark, sf),
@@ -639,7 +652,7 @@ def cust_order_hist(spark, sf):
     )
 
 
-@query
+@query()
 def cust_order_hist_all(spark, sf):
     return reports.customer_order_history(
         td.trading_products(spark, sf),
@@ -649,24 +662,24 @@ def cust_order_hist_all(spark, sf):
     )
 
 
-@query
+@query()
 def cust_orders_detail(spark, sf):
     return reports.order_details(
         td.trading_products(spark, sf), td.trading_details(spark, sf), order_id=1024
     )
 
 
-@query
+@query()
 def cust_orders_detail_all(spark, sf):
     return reports.order_details(td.trading_products(spark, sf), td.trading_details(spark, sf))
 
 
-@query
+@query()
 def cust_orders_orders(spark, sf):
     return reports.customer_orders(td.trading_orders(spark, sf), customer_id=42)
 
 
-@query
+@query()
 def employee_sales(spark, sf):
     return reports.employee_sales(
         td.trading_employees(spark, sf),
@@ -677,7 +690,7 @@ def employee_sales(spark, sf):
     )
 
 
-@query
+@query()
 def sales_by_year(spark, sf):
     return reports.sales_by_year(
         td.trading_orders(spark, sf),
@@ -687,7 +700,7 @@ def sales_by_year(spark, sf):
     )
 
 
-@query
+@query()
 def sales_by_category(spark, sf):
     """A year the report does not know, so the default year is used."""
     return reports.sales_by_category(
@@ -700,7 +713,7 @@ def sales_by_category(spark, sf):
     )
 
 
-@query
+@query()
 def ten_most_expensive(spark, sf):
     return reports.most_expensive_products(td.trading_products(spark, sf))
 
@@ -712,118 +725,118 @@ def _rate_rounded(df: DataFrame) -> DataFrame:
     return df.withColumn("fill_rate", F.round("fill_rate", 6))
 
 
-@query
+@query()
 def station_filter(spark, sf):
     rows = stations.base(td.stations(spark, sf), ["N1", "N3"], ["click", "view"])
     return _rate_rounded(rows)
 
 
-@query
+@query()
 def station_choices(spark, sf):
     return stations.street_choices(td.stations(spark, sf), ["N2"])
 
 
-@query
+@query()
 def station_neighbourhoods(spark, sf):
     return stations.neighbourhood_choices(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_points_on_street(spark, sf):
     return stations.points_on_street(td.stations(spark, sf), "click")
 
 
-@query
+@query()
 def station_latest(spark, sf):
     return _rate_rounded(stations.latest_state(stations.base(td.stations(spark, sf))))
 
 
-@query
+@query()
 def station_latest_all(spark, sf):
     return _rate_rounded(stations.latest_state(stations.base(td.stations(spark, sf)), age=None))
 
 
-@query
+@query()
 def station_change_all(spark, sf):
     return _rate_rounded(stations.station_change(stations.base(td.stations(spark, sf))))
 
 
-@query
+@query()
 def station_change_top10(spark, sf):
     return stations.fullest(stations.base(td.stations(spark, sf)), age="1 day")
 
 
-@query
+@query()
 def station_available_top10(spark, sf):
     return stations.fullest(stations.base(td.stations(spark, sf)), age="1 day", emptiest=True)
 
 
-@query
+@query()
 def station_map(spark, sf):
     return stations.map_points(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_map_all(spark, sf):
     return stations.map_points(td.stations(spark, sf), age=None)
 
 
-@query
+@query()
 def station_street_bikes(spark, sf):
     return stations.bikes_per_street(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_top_street_docks(spark, sf):
     return stations.streets_with_most_docks(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_top_point(spark, sf):
     return stations.most_popular_point(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_area_counts(spark, sf):
     return stations.points_per_neighbourhood(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_neighbourhood(spark, sf):
     return stations.bikes_per_neighbourhood(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_daily(spark, sf):
     return stations.bikes_per_day(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_counts(spark, sf):
     return stations.event_counts(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_matrix(spark, sf):
     return stations.matrix(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_street_nonnull(spark, sf):
     return stations.points_per_street(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_geo(spark, sf):
     return stations.bikes_per_place(td.stations(spark, sf))
 
 
-@query
+@query("CountChange", "EmptyCountChange")
 def station_prev_change(spark, sf):
     return stations.previous_change(td.stations(spark, sf))
 
 
-@query
+@query()
 def station_limit(spark, sf):
     """Ten rows in no set order; only their number can be compared."""
     return td.stations(spark, sf).limit(10)
@@ -832,17 +845,17 @@ def station_limit(spark, sf):
 # --- series -----------------------------------------------------------------------------------------
 
 
-@query
+@query()
 def series_daily_docks(spark, sf):
     return stations.available_docks(td.stations(spark, sf), "1 day")
 
 
-@query
+@query()
 def series_2min_docks(spark, sf):
     return stations.available_docks(td.stations(spark, sf), "2 minutes")
 
 
-@query
+@query()
 def series_per_station(spark, sf):
     """The filled series of every station, before it is summed."""
     filled = series.make_series(
@@ -851,7 +864,7 @@ def series_per_station(spark, sf):
     return filled.withColumn("No_Empty_Docks", F.round("No_Empty_Docks", 6))
 
 
-@query
+@query()
 def series_alert(spark, sf):
     return stations.dock_alerts(td.stations(spark, sf), threshold=900)
 
@@ -873,7 +886,7 @@ def _backlog(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     return spark.readStream.schema(rows.schema).json(path)
 
 
-@query
+@query()
 def stream_files(spark, sf):
     """Device status files through a checkpointed stream into a table."""
     events = td.read(spark, sf, "events").select(
@@ -891,7 +904,7 @@ def stream_files(spark, sf):
     return stored.groupBy("device", "status").agg(F.count(F.lit(1)).alias("readings"))
 
 
-@query
+@query()
 def stream_tumbling(spark, sf):
     """Closed 5-second windows; the last minute stays open for late events."""
     events = _backlog(spark, td.stations(spark, sf).drop("EventID"), "bikes")
@@ -902,7 +915,7 @@ def stream_tumbling(spark, sf):
     ).parquet(out)
 
 
-@query
+@query()
 def stream_alert(spark, sf):
     """Days on which a station reached nine free docks, from an update sink."""
     events = _backlog(spark, td.stations(spark, sf).drop("EventID"), "docks")

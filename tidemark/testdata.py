@@ -57,32 +57,38 @@ SALES_COLUMNS = (
 def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Order lines with customer and item; only needed tables are joined."""
     wanted = columns or SALES_COLUMNS
+    of_order = {
+        "SalesOrderNumber": F.concat(F.lit("SO"), F.col("o_orderkey")),
+        "OrderDate": F.col("o_orderdate").cast("date"),
+    }
+    of_customer = {"CustomerName": _customer_name(), "Email": _email()}
+    of_part = {"Item": _item()}
+    # Text is built on the side that has fewest rows, before the join repeats it.
     rows = read(spark, sf_dir, "lineitem")
-    customer = {"CustomerName", "Email"} & set(wanted)
-    if customer or "OrderDate" in wanted:
-        rows = rows.join(
-            read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-        )
+    customer = _chosen(of_customer, wanted)
+    order = _chosen(of_order, wanted)
+    if customer or order:
+        orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", *order)
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if customer:
-        rows = rows.join(
-            read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-        )
-    if "Item" in wanted:
-        rows = rows.join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        customers = read(spark, sf_dir, "customer").select("c_custkey", *customer)
+        rows = rows.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    item = _chosen(of_part, wanted)
+    if item:
+        parts = read(spark, sf_dir, "part").select("p_partkey", *item)
+        rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     price, quantity = _cents("l_extendedprice"), F.col("l_quantity")
-    tax = F.floor((price * _cents("l_tax") + 50) / 100)
-    made = {
-        "SalesOrderNumber": F.concat(F.lit("SO"), F.col("l_orderkey")),
+    of_line = {
         "SalesOrderLineNumber": F.col("l_linenumber"),
-        "OrderDate": F.col("o_orderdate").cast("date"),
-        "CustomerName": _customer_name(),
-        "Email": _email(),
-        "Item": _item(),
         "Quantity": quantity.cast("int"),
         "UnitPrice": F.floor(price / quantity) / 100,
-        "Tax": tax / 100,
+        "Tax": F.floor((price * _cents("l_tax") + 50) / 100) / 100,
     }
-    return rows.select([made[c].alias(c) for c in wanted])
+    return rows.select([of_line[c].alias(c) if c in of_line else F.col(c) for c in wanted])
+
+
+def _chosen(made: dict[str, Column], wanted: tuple[str, ...]) -> list[Column]:
+    return [column.alias(name) for name, column in made.items() if name in wanted]
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
