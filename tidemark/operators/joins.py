@@ -1,7 +1,10 @@
 """Equi-joins against a keyed table that stay balanced on skewed keys.
 
-No broadcast hints are given here. Spark broadcasts a side on its own when its
-size is known to be under the limit, and shuffles both sides otherwise.
+Two rules hold in this package. No broadcast hints on data: Spark broadcasts a
+side on its own when its size is known to be under the limit, and shuffles both
+sides otherwise. And a join whose row side may have a hot key gets two plain
+shuffles under it, since that is the shape in which AQE splits a hot partition
+over several tasks. An aggregate between shuffle and join would prevent that.
 """
 
 from __future__ import annotations
@@ -12,35 +15,37 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LANE = "_lane"
-NULL_LANES = 1024
+BUCKET = "_bucket"
+BUCKETS = 4096
 
 
-def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+def columns(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{n}`") for n in names]
 
 
-def _with_lanes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Lane 0 for rows with a full key, some other lane for the rest.
+def key_bucket(keys: Sequence[str]) -> Column:
+    """A number that follows from the key, to group by beside the key.
 
-    A key with a null never equals another key, so where its row is sent does
-    not matter; a lane from the row's own content spreads such rows evenly and
-    is the same again when a lost task is recomputed.
+    It changes no group, but the grouped table is then not partitioned by the
+    key alone, so that a join on the key shuffles it again. The grouped table is
+    small next to the rows it is joined with.
     """
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    lane = F.when(_any_null(keys), F.pmod(content, F.lit(NULL_LANES)) + 1).otherwise(F.lit(0))
-    return df.withColumn(LANE, lane.cast("long"))
-
-
-def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per full key. Copies collapse before the shuffle."""
-    present = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
-    return (
-        df.where(present)
-        .select(*[F.col(f"`{k}`") for k in keys])
-        .distinct()
-        .withColumn(LANE, F.lit(0).cast("long"))
-    )
+    return F.pmod(F.xxhash64(*columns(keys)), F.lit(BUCKETS)).alias(BUCKET)
+
+
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key; copies collapse before the shuffle."""
+    return df.select(*columns(keys), key_bucket(keys)).distinct().select(*columns(keys))
+
+
+def same_key(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -> Column:
+    """Join condition between two aliases."""
+
+    def same(key: str) -> Column:
+        a, b = F.col(f"{left}.`{key}`"), F.col(f"{right}.`{key}`")
+        return a.eqNullSafe(b) if null_safe else a == b
+
+    return reduce(lambda a, b: a & b, map(same, keys))
 
 
 def rows_without_match(
@@ -49,34 +54,18 @@ def rows_without_match(
     """Rows whose key is not in ``table`` (all copies of such rows).
 
     With plain equality a null never matches, so those rows are all returned.
-    The table side is cut to its distinct keys first. The lane column makes the
-    join re-shuffle those keys, which leaves two plain shuffles under the join,
-    and that is what lets AQE split a hot key of ``rows`` over several tasks.
     """
-    if null_safe:
-        left, right = rows.alias("r"), table.select(*keys).distinct().alias("t")
-        on = reduce(
-            lambda a, b: a & b, [F.col(f"r.`{k}`").eqNullSafe(F.col(f"t.`{k}`")) for k in keys]
-        )
-        return left.join(right, on, "left_anti")
-    return (
-        _with_lanes(rows, keys)
-        .join(_distinct_keys(table, keys), [*keys, LANE], "left_anti")
-        .select(*[F.col(f"`{c}`") for c in rows.columns])
-    )
+    known = distinct_keys(table, keys).alias("_t")
+    on = same_key("_r", "_t", keys, null_safe)
+    return rows.alias("_r").join(known, on, "left_anti").select(*columns(rows.columns))
 
 
 def lookup(
     rows: DataFrame, dimension: DataFrame, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """Add ``values`` of the matching dimension row, null when there is none.
-
-    The dimension has one row per key. Rows with a null key cannot match and are
-    spread over lanes instead of meeting in one task.
-    """
-    side = dimension.select(*keys, *values).withColumn(LANE, F.lit(0).cast("long"))
-    return (
-        _with_lanes(rows, keys)
-        .join(side, [*keys, LANE], "left")
-        .select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"`{v}`") for v in values])
+    """Add ``values`` of the matching dimension row, null when there is none."""
+    side = dimension.select(*columns(keys), *columns(values)).alias("_t")
+    joined = rows.alias("_r").join(side, same_key("_r", "_t", keys), "left")
+    return joined.select(
+        *[F.col(f"_r.`{c}`") for c in rows.columns], *[F.col(f"_t.`{v}`") for v in values]
     )

@@ -8,12 +8,11 @@ inserted again on every run.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import rows_without_match
+from tidemark.operators.joins import columns, key_bucket, rows_without_match, same_key
 from tidemark.session import scratch_path
 
 
@@ -69,22 +68,17 @@ def _updated(
 ) -> DataFrame:
     # One row per key before the join: copies collapse map-side, and the count
     # tells an ambiguous update from a clean one.
-    per_key = updates.groupBy(*keys).agg(
+    per_key = updates.groupBy(*columns(keys), key_bucket(keys)).agg(
         F.count(F.lit(1)).alias("_copies"),
         F.first(F.struct(*[F.col(f"`{c}`") for c in updates.columns])).alias("_row"),
     )
     source = per_key.select(
         *[F.col(f"_row.`{c}`").alias(c) for c in updates.columns], F.col("_copies")
     ).alias("u")
-
-    def same(key: str) -> Column:
-        left, right = F.col(f"t.`{key}`"), F.col(f"u.`{key}`")
-        return left.eqNullSafe(right) if null_safe else left == right
-
-    joined = target.alias("t").join(source, reduce(lambda a, b: a & b, map(same, keys)), "left")
+    joined = target.alias("t").join(source, same_key("t", "u", keys, null_safe), "left")
     copies = F.col("u._copies")
     types = {f.name: f.dataType for f in target.schema.fields}
-    columns = []
+    merged = []
     for name in target.columns:
         old = F.col(f"t.`{name}`")
         if name in when_matched:
@@ -97,8 +91,8 @@ def _updated(
             )
         else:
             value = old
-        columns.append(value.alias(name))
-    return joined.select(columns)
+        merged.append(value.alias(name))
+    return joined.select(merged)
 
 
 def conditional_update(df: DataFrame, condition: Column, changes: Mapping[str, Column]) -> DataFrame:

@@ -44,21 +44,13 @@ def customer_mart(customers: DataFrame, orders: DataFrame, payments: DataFrame)
     """
     paid = payments.groupBy("order_id").agg(F.sum(units(F.col("amount"))).alias("_paid"))
     per_customer = (
-        orders.groupBy("customer_id", "order_id")
-        .agg(
-            F.min("order_date").alias("_first"),
-            F.max("order_date").alias("_last"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
-        .join(paid, "order_id", "left")
+        orders.join(paid, "order_id", "left")
         .groupBy("customer_id")
         .agg(
-            F.min("_first").alias("first_order"),
-            F.max("_last").alias("most_recent_order"),
-            F.sum(F.when(F.col("order_id").isNotNull(), F.col("_rows")).otherwise(F.lit(0))).alias(
-                "number_of_orders"
-            ),
-            amount_of(F.sum(F.col("_paid") * F.col("_rows"))).alias("customer_lifetime_value"),
+            F.min("order_date").alias("first_order"),
+            F.max("order_date").alias("most_recent_order"),
+            F.count("order_id").alias("number_of_orders"),
+            amount_of(F.sum("_paid")).alias("customer_lifetime_value"),
         )
     )
     return customers.join(per_customer, "customer_id", "left").select(
