@@ -314,6 +314,17 @@ def test_build_reports_failures(spark, seeds, database):
     assert spark.catalog.tableExists(f"{database}.customers")
 
 
+def test_seed_files(spark, tmp_path):
+    (tmp_path / "raw_customers.csv").write_text("id,first_name,last_name\n1,Ada,L\n")
+    (tmp_path / "raw_orders.csv").write_text("id,user_id,order_date,status\n10,1,2018-01-01,placed\n")
+    (tmp_path / "raw_payments.csv").write_text("id,order_id,payment_method,amount\n1,10,coupon,250\n")
+    customers, orders, payments = shop.read_seeds(spark, str(tmp_path))
+    mart = shop.customer_mart(*staged((customers, orders, payments)))
+    assert rows(mart) == [
+        (1, "Ada", "L", date(2018, 1, 1), date(2018, 1, 1), 1, Decimal("2.50"))
+    ]
+
+
 def test_relationships_counts_rows_and_skips_null(spark):
     child = spark.createDataFrame([(1,), (5,), (5,), (None,)], "k int")
     parent = spark.createDataFrame([(1,), (1,), (None,)], "k int")

@@ -129,6 +129,14 @@ def test_rank_filter_runs_before_the_shuffle(readings):
     assert plan.count("Exchange") == 1
 
 
+def test_dashboard_tiles(readings):
+    tiles = stations.dashboard(readings, streets=["Elm"], now="2024-05-01 12:00:00")
+    assert {name: df.count() for name, df in tiles.items()} == {
+        "fullest": 1, "emptiest": 1, "map": 3, "bikes_per_street": 1, "event_counts": 3,
+        "docks_fine": 100, "docks_daily": 1, "neighbourhood_choices": 4, "street_choices": 2,
+    }
+
+
 # --- series -------------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tidemark.functions.numbers import exact_sum
+from tidemark.operators.joins import aggregate_for_join
 
 
 def row_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -38,14 +39,16 @@ def sum_where(
 ) -> DataFrame:
     """One ``<value>_<amount>`` sum of money per value of ``kind`` plus the total.
 
-    All sums come out of the same aggregation, so there is one shuffle.
+    All sums come out of the same aggregation. The result is meant to be joined
+    back to the table that ``by`` is the key of.
     """
     money = F.col(amount)
     split = [
         exact_sum(F.when(F.col(kind) == v, money).otherwise(F.lit(0))).alias(f"{v}_{amount}")
         for v in values
     ]
-    return df.groupBy(*by).agg(*split, exact_sum(money).alias(f"total_{amount}"))
+    total = exact_sum(money).alias(f"total_{amount}")
+    return aggregate_for_join(df, by, *split, total)
 
 
 def latest(

@@ -33,6 +33,12 @@ def key_bucket(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*columns(keys)), F.lit(BUCKETS)).alias(BUCKET)
 
 
+def aggregate_for_join(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """``groupBy(keys).agg(...)`` for a result that is joined on the same keys."""
+    grouped = df.groupBy(*columns(keys), key_bucket(keys))
+    return grouped.agg(*aggregates).drop(BUCKET)
+
+
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key; copies collapse before the shuffle."""
     return df.select(*columns(keys), key_bucket(keys)).distinct().select(*columns(keys))

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import columns, key_bucket, rows_without_match, same_key
+from tidemark.operators.joins import aggregate_for_join, rows_without_match, same_key
 from tidemark.session import scratch_path
 
 
@@ -68,7 +68,9 @@ def _updated(
 ) -> DataFrame:
     # One row per key before the join: copies collapse map-side, and the count
     # tells an ambiguous update from a clean one.
-    per_key = updates.groupBy(*columns(keys), key_bucket(keys)).agg(
+    per_key = aggregate_for_join(
+        updates,
+        keys,
         F.count(F.lit(1)).alias("_copies"),
         F.first(F.struct(*[F.col(f"`{c}`") for c in updates.columns])).alias("_row"),
     )

@@ -19,6 +19,7 @@ from tidemark.functions.numbers import (
     whole_percent,
 )
 from tidemark.operators.cleaning import where_between
+from tidemark.operators.joins import aggregate_for_join
 from tidemark.operators.ranking import top
 
 
@@ -80,7 +81,7 @@ def customer_orders(orders: DataFrame, customer_id) -> DataFrame:
 def order_subtotals(details: DataFrame) -> DataFrame:
     """Net amount per order."""
     net = net_line(F.col("Quantity"), F.col("Discount"), F.col("UnitPrice"))
-    return details.groupBy("OrderID").agg(exact_sum(net, 4).alias("Subtotal"))
+    return aggregate_for_join(details, ["OrderID"], exact_sum(net, 4).alias("Subtotal"))
 
 
 def employee_sales(

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import amount_of, cents_to_units, units
 from tidemark.operators import quality
 from tidemark.operators.aggregates import sum_where
+from tidemark.operators.joins import aggregate_for_join
+from tidemark.schemas import RAW_CUSTOMERS, RAW_ORDERS, RAW_PAYMENTS
+from tidemark.sources.readers import csv_with_header
 from tidemark.sources.writers import materialise
 
 # The accepted payment methods and order states.
@@ -15,6 +18,15 @@ PAYMENT_METHODS = ["credit_card", "coupon", "bank_transfer", "gift_card"]
 ORDER_STATES = ["placed", "shipped", "completed", "return_pending", "returned"]
 
 
+def read_seeds(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three delivered seed files, typed."""
+    return (
+        csv_with_header(spark, f"{folder}/raw_customers.csv", RAW_CUSTOMERS),
+        csv_with_header(spark, f"{folder}/raw_orders.csv", RAW_ORDERS),
+        csv_with_header(spark, f"{folder}/raw_payments.csv", RAW_PAYMENTS),
+    )
+
+
 def stage_customers(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("id").alias("customer_id"), "first_name", "last_name")
 
@@ -35,6 +47,12 @@ def stage_payments(raw: DataFrame) -> DataFrame:
     )
 
 
+def _paid_per_order(payments: DataFrame) -> DataFrame:
+    return aggregate_for_join(
+        payments, ["order_id"], F.sum(units(F.col("amount"))).alias("_paid")
+    )
+
+
 def customer_mart(customers: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Customers with their order dates, order count and lifetime value.
 
@@ -42,7 +60,7 @@ def customer_mart(customers: DataFrame, orders: DataFrame, payments: DataFrame)
     aggregation per customer gives dates, count and value. A customer without
     orders keeps nulls. Payments of unknown orders belong to no customer.
     """
-    paid = payments.groupBy("order_id").agg(F.sum(units(F.col("amount"))).alias("_paid"))
+    paid = _paid_per_order(payments)
     per_customer = (
         orders.join(paid, "order_id", "left")
         .groupBy("customer_id")
@@ -66,7 +84,7 @@ def customer_mart(customers: DataFrame, orders: DataFrame, payments: DataFrame)
 
 def payments_by_customer(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Paid amount per customer; payments of unknown orders form a null group."""
-    paid = payments.groupBy("order_id").agg(F.sum(units(F.col("amount"))).alias("_paid"))
+    paid = _paid_per_order(payments)
     owners = orders.select("order_id", "customer_id")
     return (
         paid.join(owners, "order_id", "left")

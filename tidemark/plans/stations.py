@@ -204,3 +204,28 @@ def dock_alerts(
     """Days on which the free docks reach the threshold."""
     daily = available_docks(rows, "1 day", now, since)
     return series.at_least(daily, "Available Docks", threshold)
+
+
+def dashboard(
+    stations: DataFrame,
+    neighbourhoods: Sequence[str] | None = None,
+    streets: Sequence[str] | None = None,
+    now: str | None = None,
+    since: str | None = None,
+) -> dict[str, DataFrame]:
+    """All dashboard tiles over one filtered base, each still lazy.
+
+    Give ``now`` to let all tiles agree on the moment while the table grows.
+    """
+    rows = base(stations, neighbourhoods, streets)
+    return {
+        "fullest": fullest(rows, now=now),
+        "emptiest": fullest(rows, now=now, emptiest=True),
+        "map": map_points(rows, now=now),
+        "bikes_per_street": bikes_per_street(rows),
+        "event_counts": event_counts(rows, now),
+        "docks_fine": available_docks(rows, "2 minutes", now, since),
+        "docks_daily": available_docks(rows, "1 day", now, since),
+        "neighbourhood_choices": neighbourhood_choices(stations),
+        "street_choices": street_choices(stations, neighbourhoods),
+    }
