@@ -664,6 +664,11 @@ SELECT OrderID, strftime(OrderDate, '%Y-%m-%d') AS OrderDate,
        strftime(RequiredDate, '%Y-%m-%d') AS RequiredDate,
        strftime(ShippedDate, '%Y-%m-%d') AS ShippedDate
 FROM torders WHERE CustomerID = 42 ORDER BY OrderID""",
+        "cust_orders_orders_all": f"""WITH {TRADING}
+SELECT CustomerID, OrderID, strftime(OrderDate, '%Y-%m-%d') AS OrderDate,
+       strftime(RequiredDate, '%Y-%m-%d') AS RequiredDate,
+       strftime(ShippedDate, '%Y-%m-%d') AS ShippedDate
+FROM torders""",
         "employee_sales": f"""WITH {TRADING}
 SELECT Country, LastName, FirstName, strftime(ShippedDate, '%Y-%m-%d') AS ShippedDate, OrderID,
        CAST(Subtotal AS DOUBLE) AS SaleAmount

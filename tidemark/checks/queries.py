@@ -680,6 +680,11 @@ def cust_orders_orders(spark, sf):
     return reports.customer_orders(td.trading_orders(spark, sf), customer_id=42)
 
 
+@query()
+def cust_orders_orders_all(spark, sf):
+    return reports.customer_orders(td.trading_orders(spark, sf))
+
+
 @query()
 def employee_sales(spark, sf):
     return reports.employee_sales(

@@ -69,13 +69,12 @@ def order_details(products: DataFrame, details: DataFrame, order_id=None) -> Dat
     )
 
 
-def customer_orders(orders: DataFrame, customer_id) -> DataFrame:
-    """Orders of one customer with their dates."""
-    return (
-        orders.where(F.col("CustomerID") == customer_id)
-        .select("OrderID", "OrderDate", "RequiredDate", "ShippedDate")
-        .orderBy("OrderID")
-    )
+def customer_orders(orders: DataFrame, customer_id=None) -> DataFrame:
+    """Orders of one customer (or of all, with the customer id) with their dates."""
+    shown = ["OrderID", "OrderDate", "RequiredDate", "ShippedDate"]
+    if customer_id is None:
+        return orders.select("CustomerID", *shown).orderBy("CustomerID", "OrderID")
+    return orders.where(F.col("CustomerID") == customer_id).select(shown).orderBy("OrderID")
 
 
 def order_subtotals(details: DataFrame) -> DataFrame:
