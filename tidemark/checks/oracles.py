@@ -72,39 +72,26 @@ stg_payments AS (
   FROM lineitem
 ),
 mart_orders AS (
-  SELECT o.order_id, o.customer_id, o.order_date, o.status,
-         p.credit_card_amount, p.coupon_amount, p.bank_transfer_amount, p.gift_card_amount,
-         p.total_amount AS amount
+  SELECT o.*, c.credit_card_amount, c.coupon_amount, c.bank_transfer_amount,
+         c.gift_card_amount, c.amount
   FROM stg_orders o
   LEFT JOIN (
-    SELECT order_id,
-           SUM(CASE WHEN payment_method = 'credit_card' THEN amount ELSE 0 END)
+    SELECT order_id, SUM(amount) AS amount,
+           COALESCE(SUM(amount) FILTER (payment_method = 'credit_card'), 0)
              AS credit_card_amount,
-           SUM(CASE WHEN payment_method = 'coupon' THEN amount ELSE 0 END) AS coupon_amount,
-           SUM(CASE WHEN payment_method = 'bank_transfer' THEN amount ELSE 0 END)
+           COALESCE(SUM(amount) FILTER (payment_method = 'coupon'), 0) AS coupon_amount,
+           COALESCE(SUM(amount) FILTER (payment_method = 'bank_transfer'), 0)
              AS bank_transfer_amount,
-           SUM(CASE WHEN payment_method = 'gift_card' THEN amount ELSE 0 END)
-             AS gift_card_amount,
-           SUM(amount) AS total_amount
+           COALESCE(SUM(amount) FILTER (payment_method = 'gift_card'), 0) AS gift_card_amount
     FROM stg_payments GROUP BY order_id
-  ) p ON o.order_id = p.order_id
-),
-customer_orders AS (
-  SELECT customer_id, MIN(order_date) AS first_order, MAX(order_date) AS most_recent_order,
-         COUNT(order_id) AS number_of_orders
-  FROM stg_orders GROUP BY customer_id
-),
-customer_payments AS (
-  SELECT o.customer_id, SUM(p.amount) AS total_amount
-  FROM stg_payments p LEFT JOIN stg_orders o ON p.order_id = o.order_id
-  GROUP BY o.customer_id
+  ) c USING (order_id)
 ),
 mart_customers AS (
-  SELECT c.customer_id, c.first_name, c.last_name, co.first_order, co.most_recent_order,
-         co.number_of_orders, cp.total_amount AS customer_lifetime_value
-  FROM stg_customers c
-  LEFT JOIN customer_orders co ON c.customer_id = co.customer_id
-  LEFT JOIN customer_payments cp ON c.customer_id = cp.customer_id
+  SELECT customer_id, first_name, last_name, MIN(order_date) AS first_order,
+         MAX(order_date) AS most_recent_order, NULLIF(COUNT(order_id), 0) AS number_of_orders,
+         SUM(mart_orders.amount) AS customer_lifetime_value
+  FROM stg_customers LEFT JOIN mart_orders USING (customer_id)
+  GROUP BY customer_id, first_name, last_name
 )"""
 ORDER_STATES = "('placed', 'shipped', 'completed', 'return_pending', 'returned')"
 METHODS = "('credit_card', 'coupon', 'bank_transfer', 'gift_card')"

@@ -76,7 +76,7 @@ def query(*nullable_numbers: str) -> Callable[[Query], Query]:
     return register
 
 
-# --- sales -------------------------------------------------------------------------
+# --- sales ------------------------------------------------------------
 
 
 def clean(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -164,7 +164,7 @@ def category_avg_top6(spark, sf):
     )
 
 
-# --- files and tables ----------------------------------------------------------------
+# --- files and tables ------------------------------------------------------------
 
 
 @query()
@@ -311,7 +311,7 @@ def typed_warehouse_load(spark, sf):
     return readers.typed_load(td.warehouse_customers(spark, sf), schemas.DIM_CUSTOMER)
 
 
-# --- dimensions and facts --------------------------------------------------------------
+# --- dimensions and facts ------------------------------------------------------------
 
 
 @query()
@@ -482,7 +482,7 @@ def medallion_second_run(spark, sf):
     return result
 
 
-# --- shop ------------------------------------------------------------------------------------
+# --- shop ------------------------------------------------------------
 
 
 def _staged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -588,7 +588,7 @@ def shop_build(spark, sf):
     )
 
 
-# --- warehouse and star ------------------------------------------------------------------------
+# --- warehouse and star ------------------------------------------------------------
 
 
 def _warehouse_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -639,7 +639,7 @@ def star_measures_gold(spark, sf):
     )
 
 
-# --- trading reports ---------------------------------------------------------------------------
+# --- trading reports ------------------------------------------------------------
 
 
 @query()
@@ -724,7 +724,7 @@ def ten_most_expensive(spark, sf):
     return reports.most_expensive_products(td.trading_products(spark, sf))
 
 
-# --- stations --------------------------------------------------------------------------------------
+# --- stations ------------------------------------------------------------
 
 
 def _rate_rounded(df: DataFrame) -> DataFrame:
@@ -848,7 +848,7 @@ def station_limit(spark, sf):
     return td.stations(spark, sf).limit(10)
 
 
-# --- series -----------------------------------------------------------------------------------------
+# --- series ------------------------------------------------------------
 
 
 @query()
@@ -875,7 +875,7 @@ def series_alert(spark, sf):
     return stations.dock_alerts(td.stations(spark, sf), threshold=900)
 
 
-# --- streams ------------------------------------------------------------------------------------------
+# --- streams ------------------------------------------------------------
 
 
 def _run(stream_query) -> None:

@@ -97,7 +97,9 @@ def _updated(
     return joined.select(merged)
 
 
-def conditional_update(df: DataFrame, condition: Column, changes: Mapping[str, Column]) -> DataFrame:
+def conditional_update(
+    df: DataFrame, condition: Column, changes: Mapping[str, Column]
+) -> DataFrame:
     """Set columns on the rows that satisfy ``condition``, keep the others."""
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns(

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top(df: DataFrame, n: int, by: Column, tie: Sequence[str], ascending: bool = False) -> DataFrame:
+def top(
+    df: DataFrame, n: int, by: Column, tie: Sequence[str], ascending: bool = False
+) -> DataFrame:
     """The ``n`` rows with the largest (or smallest) value, nulls last.
 
     Each task keeps its own ``n`` rows, so only those travel.

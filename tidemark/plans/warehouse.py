@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 def sales_by_region(fact: DataFrame, dates: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue per calendar month and region.
 
-    Totals have no decimals, so they are added as integers. Facts are summed per date and customer first, so the joins see one row per
-    pair of keys and a hot customer is no heavier than its number of days.
+    Totals have no decimals, so they are added as integers. Facts are summed per
+    date and customer first, so the joins see one row per pair of keys and a hot
+    customer is no heavier than its number of days.
     """
     per_key = fact.groupBy("SalesOrderDateKey", "CustomerKey").agg(
         F.sum(F.col("SalesTotal").cast("bigint")).alias("_total")

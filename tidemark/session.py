@@ -11,7 +11,9 @@ from pyspark.sql import SparkSession
 _LOCAL_ROOT: dict[str, str] = {}
 
 
-def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app_name: str = "tidemark", master: str | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the operators count on.
 
     Times are UTC, AQE is on, and shuffles are hash-partitioned by size: Spark

@@ -101,7 +101,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- shop -------------------------------------------------------------------
+# --- shop ------------------------------------------------------------
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- sales warehouse -----------------------------------------------------------
+# --- sales warehouse ------------------------------------------------------------
 
 
 def warehouse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +183,7 @@ def warehouse_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- trading -------------------------------------------------------------------------
+# --- trading ------------------------------------------------------------
 
 
 def trading_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +247,7 @@ def trading_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- stations -----------------------------------------------------------------------------
+# --- stations ------------------------------------------------------------
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
