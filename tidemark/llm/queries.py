@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, line_dedup, sharding, topk
+from tidemark.llm import bpe, decontaminate, line_dedup, sharding, topk
 from tidemark.llm.common import table
 
 
@@ -38,6 +38,23 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Token count and digests of the ids and of the decoded bytes of each document."""
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select(
@@ -50,7 +67,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f for f in (op3_decontaminate, op5_topk, op6_sharding, op8_line_dedup)
+        f.__name__: f for f in (op3_decontaminate, op5_topk, op6_sharding, op7_bpe, op8_line_dedup)
     }
 
 
