@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup, sharding, topk
+from tidemark.llm import bpe, decontaminate, line_dedup, quality, sharding, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -65,9 +65,36 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held_out(folds: int, fold: int):
+    """Whether a document is kept from training: the crc32 of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on the labels of four folds of five, with a prior from all documents."""
+    labels = table(spark, sf_dir, "labels").where(~_held_out(5, 0)).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity_model(spark, sf_dir)).select(
+        "doc_id", _held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~_held_out(4, 2)).select("doc_id", F.col("quality").alias("label"))
+    net = quality.fit(toxicity.sample(docs, labels, quality.SAMPLE_ROWS))
+    return quality.score(docs, net).select(
+        "doc_id", _held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f for f in (op3_decontaminate, op5_topk, op6_sharding, op7_bpe, op8_line_dedup)
+        f.__name__: f for f in (op3_decontaminate, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality)
     }
 
 
