@@ -19,11 +19,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.words import chunks, mixed, word_bounds, word_hashes
+
 # Labelled rows of each class the model is fitted on, taken in the order of a hash of their key.
 SAMPLE_ROWS = 10_000
-# Labelled documents a word must occur in to count as evidence, and the least z-score of its log-odds.
+# Labelled documents a word must occur in to count as evidence, the least z-score of its log-odds,
+# and the least cautious bound of them, in nats.
 LEAST_DOCS = 3
-LEAST_Z = 3.0
+LEAST_Z = 4.0
+LEAST_ODDS = 1.5
 PREFIXES = (4, 5, 6)
 # Weight of the corpus prior, in documents.
 PRIOR_DOCS = 50.0
@@ -103,6 +107,26 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, *, doc_i
     return docs.join(F.broadcast(chosen), docs[doc_id] == F.col("_key")).select("label", docs[text].alias("text"))
 
 
+def _one_of_copies(labelled: DataFrame) -> DataFrame:
+    """Of sampled rows that share their least word triple, mostly copies, one: else a copied text's words look frequent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, data, offsets in chunks(batch.column(1)):
+                starts, ends, owner = word_bounds(data, offsets)
+                h = word_hashes(data, starts, ends)
+                least = np.zeros(len(offsets) - 1, np.uint64)
+                if len(h):
+                    following = np.append(h, h[-1:].repeat(2))
+                    triple = mixed(h + following[1:-1] * np.uint64(3) + following[2:] * np.uint64(5))
+                    opens = np.flatnonzero(np.diff(owner, prepend=-1))
+                    least[owner[opens]] = np.minimum.reduceat(triple, opens)
+                part = batch.slice(first, len(least))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(least.astype(np.int64))], ["label", "text", "least"])
+
+    return labelled.mapInArrow(run, "label int, text string, least long").dropDuplicates(["label", "least"]).drop("least")
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, *, doc_id: str = "doc_id", text: str = "text", label: str = "label") -> Model:
     """Scores of the words that mark toxic documents, and their calibration.
 
@@ -111,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, *, doc_id:
     class nothing is significant and every text scores the share of toxic rows
     (a half of nothing at all).
     """
-    labelled = sample(docs, labels, rows, doc_id=doc_id, text=text, label=label)
+    labelled = _one_of_copies(sample(docs, labels, rows, doc_id=doc_id, text=text, label=label))
     seen = labelled.mapInArrow(_counted, "key string, toxic long, clean long").groupBy("key").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     )
@@ -134,8 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, *, doc_id:
         a, b = toxic + share, clean + share
         odds = math.log(a / (n_toxic + PRIOR_DOCS - a)) - math.log(max(b, 0.01) / (n_clean + PRIOR_DOCS - b))
         spread = math.sqrt(1 / a + 1 / max(b, 0.5))
-        if odds / spread >= LEAST_Z:
-            scores[key] = odds - spread  # a cautious bound
+        if odds / spread >= LEAST_Z and odds - spread >= LEAST_ODDS:
+            scores[key] = odds - spread
     model = Model(scores, 1.0, 0.0)
     evidence = labelled.mapInArrow(_evidence(model), "label int, evidence double")
     found = evidence.toPandas()  # at most 2 * rows pairs of numbers
