@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup, quality, sharding, topk, toxicity
+from tidemark.llm import bpe, decontaminate, html_text, line_dedup, quality, sharding, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -22,6 +22,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = (
         table(spark, sf_dir, "embeddings")
@@ -94,7 +100,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f for f in (op3_decontaminate, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality)
+        f.__name__: f for f in (op3_decontaminate, op4_html_text, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality)
     }
 
 
