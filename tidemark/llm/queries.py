@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, html_text, line_dedup, quality, sharding, topk, toxicity
+from tidemark.llm import bpe, decontaminate, html_text, line_dedup, quality, sharding, suffix_dedup, topk, toxicity
 from tidemark.llm.common import table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -100,7 +106,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f for f in (op3_decontaminate, op4_html_text, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality)
+        f.__name__: f for f in (op2_suffix_dedup, op3_decontaminate, op4_html_text, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality)
     }
 
 
