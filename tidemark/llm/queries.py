@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, html_text, line_dedup, quality, sharding, suffix_dedup, topk, toxicity
+from tidemark.llm import bpe, decontaminate, html_text, jaccard_join, line_dedup, quality, sharding, suffix_dedup, topk, toxicity
 from tidemark.llm.common import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.link_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
@@ -82,15 +87,15 @@ def _held_out(folds: int, fold: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
-    """Fitted on the labels of four folds of five, with a prior from all documents."""
-    labels = table(spark, sf_dir, "labels").where(~_held_out(5, 0)).select("doc_id", F.col("toxic").alias("label"))
-    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of four folds of five."""
+    return table(spark, sf_dir, "labels").where(~_held_out(5, 0)).select("doc_id", F.col("toxic").alias("label"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.score(docs, toxicity_model(spark, sf_dir)).select(
+    model = toxicity.fit(docs, toxicity_labels(spark, sf_dir))
+    return toxicity.score(docs, model).select(
         "doc_id", _held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
@@ -106,7 +111,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f for f in (op2_suffix_dedup, op3_decontaminate, op4_html_text, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality)
+        f.__name__: f for f in (op1_jaccard_join, op2_suffix_dedup, op3_decontaminate, op4_html_text, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality)
     }
 
 
