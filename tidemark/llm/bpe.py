@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 # Characters split at once and pieces kept in a task: bounds of memory, not of the result.
 BATCH_CHARS = 4_000_000
-PIECES_KEPT = 300_000
+PIECES_KEPT = 600_000
 PIECES_ASKED = 100_000
 # Longer pieces keep only their last state, shorter ones all states up to the fixpoint.
 SHORT = 64
@@ -58,7 +58,15 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Tokenizer:
-    """The DuckDB tables of one task and the pieces it has met."""
+    """The DuckDB tables of a Python worker and the pieces it has met."""
+
+    @classmethod
+    def of_worker(cls, ranks: dict[bytes, int], pattern: str) -> _Tokenizer:
+        """The one of this worker, which its later tasks use again."""
+        own = getattr(cls, "own", None)
+        if own is None or own.ranks != ranks or own.pattern.pattern != pattern:
+            own = cls.own = cls(ranks, pattern)
+        return own
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import duckdb
@@ -168,9 +176,8 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id
     schema = docs.select(doc_id).schema.add("ids", "binary").add("decoded", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = None
+        tokenizer = _Tokenizer.of_worker(ranks, pattern)
         for batch in batches:
-            tokenizer = tokenizer or _Tokenizer(ranks, pattern)
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for start, end in _groups(texts):
                 ids, back = tokenizer.round_trips(texts[start:end])
@@ -190,9 +197,8 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids") -> Dat
     names = {rank: token for token, rank in ranks.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = None
+        tokenizer = _Tokenizer.of_worker(ranks, "")
         for batch in batches:
-            tokenizer = tokenizer or _Tokenizer(ranks, "")
             at = batch.schema.get_field_index(ids)
             lists = batch.column(at).to_pylist()
             filled = [i for i, x in enumerate(lists) if x]
