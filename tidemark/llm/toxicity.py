@@ -104,7 +104,8 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, *, doc_i
         own = labels.where(F.col(label) == value).select(F.col(doc_id).alias("_key"), F.lit(value).alias("label")).distinct()
         own = own.orderBy(F.xxhash64("_key"), "_key").limit(rows)
         chosen = own if chosen is None else chosen.unionByName(own)
-    return docs.join(F.broadcast(chosen), docs[doc_id] == F.col("_key")).select("label", docs[text].alias("text"))
+    own = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("text"))
+    return own.join(F.broadcast(chosen), F.col("_doc") == F.col("_key")).select("label", "text")
 
 
 def _one_of_copies(labelled: DataFrame) -> DataFrame:
