@@ -61,15 +61,18 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], rows: int, name: str) -> DataFrame:
+def numbered(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], rows: int, name: str, together: Sequence[str] = ()
+) -> DataFrame:
     """Add ``name``: gapless position from 0 inside each group, over ``rows`` rows in all.
 
     Rows fall by a hash of the order columns into logical buckets of bounded size;
     a row's number is its place in its bucket plus the rows of earlier buckets.
-    No group is ever sorted in one task.
+    No group is ever sorted in one task. Rows equal in the first order columns,
+    if named by ``together``, get neighbouring numbers; the caller bounds them.
     """
     buckets = max(1, -(-rows // NUMBERING_ROWS))
-    placed = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    placed = df.withColumn("_bucket", F.pmod(F.xxhash64(*(together or order)), F.lit(buckets)))
     keys = [*group, "_bucket"]
     earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(

@@ -14,7 +14,11 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import numbered, written
 
-ROUNDS = 4
+ROUNDS = 6
+# Share of its quota that a shard may hold above it between rounds; the last step is exact.
+SLACK = 0.3
+# Linked rows that are moved as one unit; larger groups are several units.
+UNIT_ROWS = 2000
 
 
 def shard(docs: DataFrame, shards: int, *, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -36,14 +40,17 @@ def shard(docs: DataFrame, shards: int, *, doc_id: str = "doc_id", text: str = "
     total = base.count()
     sizes = base.where("text_key IS NOT NULL").groupBy("text_key").agg(F.count(F.lit(1)).alias("members"))
     linked = sizes.where("members > 1")
+    unit_rows = max(1, min(UNIT_ROWS, total // shards))
+    part = F.pmod(F.xxhash64("row_key", F.lit(1)), F.ceil(F.col("members") / unit_rows)).cast("int")
     state = written(
         base.select("row_key", "text_key", F.pmod(F.xxhash64("row_key"), F.lit(shards)).cast("int").alias("shard"))
         .join(linked, "text_key", "left")
-        .withColumn("members", F.coalesce("members", F.lit(1))),
+        .withColumn("part", part)
+        .withColumn("unit", F.when(F.col("members").isNull(), F.col("row_key")).otherwise(F.xxhash64("text_key", "part"))),
         "shard-state",
     )
     quota = {s: total // shards + (s < total % shards) for s in range(shards)}
-    free = state.where("members = 1")
+    free = state.where("members IS NULL")
     loose = _counts(free)
     state, before = written(state.where("members > 1").drop("members"), "shard-linked"), None
     n_linked = state.count()
@@ -60,18 +67,18 @@ def shard(docs: DataFrame, shards: int, *, doc_id: str = "doc_id", text: str = "
         allowed = base.sparkSession.createDataFrame(
             [(a, b, n) for (a, b), n in granted.items()] or [(-1, -1, 0)], "shard int, wish int, allowed long"
         )
-        ranked = numbered(asking, ["shard", "wish"], ["text_key", "row_key"], n_linked, "turn")
+        ranked = numbered(asking, ["shard", "wish"], ["unit", "row_key"], n_linked, "turn", ["unit"])
         state = written(
             ranked.join(F.broadcast(allowed), ["shard", "wish"], "left").select(  # at most shards ** 2 rows
-                "row_key", "text_key",
+                "row_key", "text_key", "part", "unit",
                 F.when(F.col("turn") < F.coalesce("allowed", F.lit(0)), F.col("wish")).otherwise(F.col("shard")).alias("shard"),
             ),
             "shard-linked",
         )
     # Documents without links fill each shard up to its quota; a shard over quota gives linked ones away last.
     everyone = written(
-        state.select("row_key", "shard", F.lit(0).alias("loose")).unionByName(
-            free.select("row_key", "shard", F.lit(1).alias("loose"))
+        state.select("row_key", "unit", "shard", F.lit(0).alias("loose")).unionByName(
+            free.select("row_key", "unit", "shard", F.lit(1).alias("loose"))
         ),
         "shard-all",
     )
@@ -100,15 +107,15 @@ def _requests(state: DataFrame, n: int, total: int, shards: int) -> DataFrame:
         .groupBy("text_key")
         .agg(F.collect_list("shard").alias("leading"))  # at most one entry per shard
     )
-    choice = F.element_at("leading", (F.pmod(F.xxhash64("row_key"), F.size("leading")) + 1).cast("int"))
+    choice = F.element_at("leading", F.pmod("part", F.size("leading")) + 1)
     wish = F.when(F.array_contains("leading", F.col("shard")), F.col("shard")).otherwise(choice)
-    return state.join(leaders, "text_key").select("row_key", "text_key", "shard", wish.alias("wish"))
+    return state.join(leaders, "text_key").select("row_key", "text_key", "part", "unit", "shard", wish.alias("wish"))
 
 
 def _grant(wishes: dict, here: dict[int, int], quota: dict[int, int], shards: int) -> dict:
-    """Moves allowed from each shard to each other, so that no shard holds more linked rows than its quota."""
+    """Moves allowed from each shard to each other, so that no shard holds many more linked rows than its quota."""
     leaving = {s: sum(n for (a, b), n in wishes.items() if a == s != b) for s in range(shards)}
-    room = {s: quota[s] - here.get(s, 0) + leaving[s] for s in range(shards)}
+    room = {s: int(quota[s] * (1 + SLACK)) + 1 - here.get(s, 0) + leaving[s] for s in range(shards)}
     granted = {}
     for (a, b), n in sorted(wishes.items()):
         if a != b:
@@ -120,7 +127,7 @@ def _grant(wishes: dict, here: dict[int, int], quota: dict[int, int], shards: in
 def _even(everyone: DataFrame, loose: dict, linked: dict, quota: dict[int, int], total: int) -> DataFrame:
     """Move what a shard has over its quota, rows without links first, into the gaps of the others."""
     have = {s: loose.get(s, 0) + linked.get(s, 0) for s in quota}
-    ranked = numbered(everyone, ["shard", "loose"], ["row_key"], total, "turn")
+    ranked = numbered(everyone, ["shard", "loose"], ["unit", "row_key"], total, "turn", ["unit"])
     # In a shard over quota the last rows go: turn counts the linked rows first.
     spark = everyone.sparkSession
     limits = spark.createDataFrame(
