@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import written
@@ -25,72 +26,82 @@ GRAM = 24
 _WINDOW = SPAN - GRAM + 1  # grams of a window
 # Bytes of text behind one group of segment hashes, and bytes of segments in one suffix array.
 BUCKET_BYTES = 24_000_000
-SORTED_BYTES = 4_000_000
+SORTED_BYTES = 1_000_000
+# Bytes of text whose segments a task holds at once.
+SLICE_BYTES = 8_000_000
 # An anchor with this many different segments in a task and in all is cut into single windows.
-HOT_IN_TASK, HOT = 256, 500_000
+HOT_IN_TASK, HOT = 64, 500_000
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WHOLE = -1  # mask of a segment all of whose windows go
 
 
-def _doubled(hashes: np.ndarray, length: int, factor: np.uint64) -> tuple[np.ndarray, int, np.uint64]:
-    """Hashes of strings twice as long."""
-    out = hashes.copy()
-    out[: len(hashes) - length] = hashes[: len(hashes) - length] * factor + hashes[length:]
-    return out, 2 * length, factor * factor
+def _windowed(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the 32 bytes from each place, and of its gram; places near the end are of no use."""
+    level, factor, n = _BYTE[data], _FACTOR, len(data)
+    eight = level
+    size = 1
+    with np.errstate(over="ignore"):
+        while size < 32:
+            twice = level * factor
+            twice[: n - size] += level[size:]
+            if size == 8:
+                eight = level
+            if size == 16:
+                gram = level * np.uint64(0xD1B54A32D192ED03)
+                gram[: n - 16] += eight[16:]
+                gram *= np.uint64(0xAEF17502108EF2D9)
+            level, size, factor = twice, 2 * size, factor * factor
+    return level, gram
+
+
+def _least(gram: np.ndarray) -> np.ndarray:
+    """The least gram of the window at each place: 40 bits of its hash and 24 of its place, so that the first of equals wins."""
+    n = len(gram)
+    gram &= ~np.uint64((1 << 24) - 1)
+    gram |= np.arange(n, dtype=np.uint64)
+    reach = 1
+    while reach < _WINDOW:
+        step = min(reach, _WINDOW - reach)
+        gram = np.minimum(gram[:-step], gram[step:])
+        reach += step
+    return gram
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     """Row, start, windows, anchor hash and segment hash of every segment of the rows."""
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int32)
     lengths = np.diff(offsets)
-    if not len(data) or lengths.max(initial=0) < SPAN:
+    if lengths.max(initial=0) < SPAN:
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+    h32, gram = _windowed(data)
+    least = _least(gram)[: len(data) - SPAN + 1]
+    # A window opens a segment where its anchor is another than the one before's, or its row starts.
+    opens = np.ones(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=opens[1:])
+    if len(hot):
+        single = np.isin(least >> np.uint64(24), hot)
+        opens |= single
+        opens[1:] |= single[:-1]
+    opens[offsets[:-1][offsets[:-1] < len(opens)]] = True
+    last = offsets[1:] - SPAN + 1  # windows from here on leave the row
+    tails = (last[:, None] + np.arange(SPAN - 1)).ravel()
+    opens[tails[(tails >= 0) & (tails < len(opens)) & (tails >= np.repeat(offsets[:-1], SPAN - 1))]] = False
+    for row in np.flatnonzero((lengths < SPAN) & (lengths > 0)):
+        opens[offsets[row] : offsets[row + 1]] = False
+    start = np.flatnonzero(opens)
+    row = np.searchsorted(offsets, start, "right") - 1
+    following = np.append(start[1:], len(data))
+    windows = np.minimum(following, last[row]) - start
+    length = windows + SPAN - 1
     with np.errstate(over="ignore"):
-        level, size, factor = _BYTE[data], 1, _FACTOR
-        of = {}
-        while size < 32:
-            of[size] = level
-            level, size, factor = _doubled(level, size, factor)
-        of[32] = level
-        n = len(data)
-        gram = of[16] * np.uint64(0xD1B54A32D192ED03)
-        gram[: n - 16] += of[8][16:]
-        gram = mixed(gram)
-        key = (gram & ~np.uint64((1 << 24) - 1)) | (np.arange(n, dtype=np.uint64) & np.uint64((1 << 24) - 1))
-        least = key
-        reach = 1
-        while reach * 2 <= _WINDOW:
-            shifted = least.copy()
-            shifted[: n - reach] = np.minimum(least[: n - reach], least[reach:])
-            least, reach = shifted, reach * 2
-        rest = _WINDOW - reach
-        shifted = least.copy()
-        shifted[: n - rest] = np.minimum(least[: n - rest], least[rest:])
-        # Windows by row: all that fit into it.
-        fits = np.maximum(0, lengths - SPAN + 1)
-        row = np.repeat(np.arange(len(fits)), fits)
-        place = np.arange(int(fits.sum())) - np.repeat(np.cumsum(fits) - fits, fits)
-        at = offsets[:-1][row] + place
-        anchor_at = shifted[at] & np.uint64((1 << 24) - 1)
-        anchor = (shifted[at] >> np.uint64(24)).astype(np.uint64)
-        opens = np.ones(len(at), bool)
-        opens[1:] = (anchor_at[1:] != anchor_at[:-1]) | (place[1:] == 0)
-        if len(hot):
-            single = np.isin(anchor, hot)
-            opens |= single
-            opens[1:] |= single[:-1]
-        first = np.flatnonzero(opens)
-        windows = np.diff(np.append(first, len(at)))
-        start, length = at[first], windows + SPAN - 1
-        h32 = of[32]
         whole = h32[start] * np.uint64(0xA0761D6478BD642F) + h32[start + (length - 32) // 2] * np.uint64(0xE7037ED1A0B428DB)
         whole = mixed(whole + h32[start + length - 32] * np.uint64(0x8EBC6AF09C88C6E3) + windows.astype(np.uint64))
-        anchor = anchor[first]
-        if len(hot):
-            anchor = np.where(single[first], whole >> np.uint64(24), anchor)
-    return row[first], start - offsets[:-1][row[first]], windows, anchor, whole
+    anchor = least[start] >> np.uint64(24)
+    if len(hot):
+        anchor = np.where(single[start], whole >> np.uint64(24), anchor)
+    return row.astype(np.int32), (start - offsets[:-1][row]).astype(np.int32), windows.astype(np.int32), anchor, whole
 
 
 def _all_segments(texts: pa.Array, hot: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -109,6 +120,17 @@ def _all_segments(texts: pa.Array, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else segments(np.zeros(0, np.uint8), np.zeros(1, int), hot)
 
 
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of a bounded number of bytes of text; a longer text stands alone."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    first = 0
+    while first < batch.num_rows:
+        before = sizes[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _table(schema: str, *columns) -> pa.RecordBatch:
     names = [c.split()[0] for c in schema.split(", ")]
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
@@ -119,7 +141,7 @@ _HOT = "anchor long, segments long"
 
 def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors with many different segments in a batch."""
-    for batch in batches:
+    for batch in (part for b in batches for part in _slices(b, 0)):
         _, _, _, anchor, whole = _all_segments(batch.column(0), np.zeros(0, np.uint64))
         keys, counts = np.unique(anchor[np.unique(whole, return_index=True)[1]], return_counts=True)
         many = counts >= HOT_IN_TASK
@@ -133,7 +155,7 @@ def _hashed(buckets: int, hot: np.ndarray):
     """Per batch and bucket the segments of the smallest document; later documents of the batch are settled at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in _slices(b, 1)):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             row, _, _, anchor, whole = _all_segments(batch.column(1), hot)
             doc = ids[row]
@@ -218,7 +240,7 @@ def _fetched(hot: np.ndarray):
     """Bytes of the segments asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in _slices(b, 1)):
             row, start, windows, _, whole = _all_segments(batch.column(1), hot)
             edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
             out = [[], [], [], []]
@@ -312,7 +334,7 @@ def _kept(hot: np.ndarray, doc_id: str, schema_names: list[str]):
     """What is left of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in _slices(b, 1)):
             texts, found = batch.column(1), batch.column(2)
             row, start, windows, _, whole = _all_segments(pa.array([t if f.is_valid else None for t, f in zip(texts.to_pylist(), found, strict=True)], pa.large_string()), hot)
             edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
@@ -385,4 +407,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     )
     names = [doc_id, "n_bytes", "n_removed", "n_spans", "kept"]
     out = f"`{doc_id}` long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return source.join(answers, "doc", "left").select("doc", "text", "found").mapInArrow(_kept(hot, doc_id, names), out)
+    # Both joins deal the texts out alike, so Spark reuses the exchange.
+    kept = known.join(answers, "doc", "left").select("doc", "text", "found").mapInArrow(_kept(hot, doc_id, names), out)
+    lone = source.where("doc IS NULL").select("doc", "text", F.lit(None).cast("array<struct<segment:long,mask:long>>").alias("found"))
+    return kept.unionByName(lone.mapInArrow(_kept(hot, doc_id, names), out))
