@@ -192,9 +192,10 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id
 def decode(rows: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids") -> DataFrame:
     """The rows plus ``decoded``: the bytes of the id array in ``ids``; null for null, empty for no ids.
 
-    An id outside the vocabulary raises an error.
+    A column of that name is replaced. An id outside the vocabulary raises an error.
     """
     names = {rank: token for token, rank in ranks.items()}
+    source = rows.drop("decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _Tokenizer.of_worker(ranks, "")
@@ -210,4 +211,4 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids") -> Dat
                     out[i] = back
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, rows.schema.add("decoded", "binary"))
+    return source.mapInArrow(run, source.select("*").schema.add("decoded", "binary"))
