@@ -220,17 +220,18 @@ FROM (
 ) WHERE rn = 1"""
 
 
-def series(min_step_us: int) -> str:
+def series(min_step_us: int, condition: str = "TRUE") -> str:
     """Grid, known points and linear fill, one row per station and bin."""
     return f"""WITH {STATIONS},
 range_ AS (
-  SELECT epoch_us(MIN(EnqueuedTime)) AS a, epoch_us(MAX(EnqueuedTime)) AS b FROM stations
+  SELECT epoch_us(MIN(EnqueuedTime)) AS a, epoch_us(ANY_VALUE(t)) + 1 AS b
+  FROM stations, newest WHERE {condition}
 ),
 grid AS (SELECT a, b, GREATEST((b - a) // 100, {min_step_us}) AS s FROM range_),
 known AS (
   SELECT BikepointID, (epoch_us(EnqueuedTime) - a) // s AS bin, MAX(No_Empty_Docks) AS v
   FROM stations, grid
-  WHERE epoch_us(EnqueuedTime) >= a AND epoch_us(EnqueuedTime) < b
+  WHERE epoch_us(EnqueuedTime) >= a AND epoch_us(EnqueuedTime) < b AND {condition}
   GROUP BY ALL
 ),
 cells AS (
@@ -273,6 +274,35 @@ FROM placed GROUP BY bin_time"""
 
 DAY_US, TWO_MINUTES_US = 86_400_000_000, 120_000_000
 
+
+def dashboard_tiles(area: str) -> str:
+    """Rows and sums of the dashboard tiles of one neighbourhood."""
+    here = f"Neighbourhood = '{area}'"
+    hour = f"{here} AND EnqueuedTime > t - INTERVAL 1 HOUR"
+
+    def tile(name: str, total: str, rows: str) -> str:
+        return f"""SELECT '{name}' AS tile, COUNT(*) AS row_count,
+  CAST(COALESCE(SUM({total}), 0) AS BIGINT) AS total FROM ({rows})"""
+
+    stations = f"WITH {STATIONS} "
+    tiles = [
+        tile("fullest", "No_Bikes", change(hour)
+             + " SELECT * FROM ends ORDER BY fill_rate DESC NULLS LAST, BikepointID LIMIT 10"),
+        tile("emptiest", "No_Empty_Docks", change(hour)
+             + " SELECT * FROM ends ORDER BY fill_rate NULLS LAST, BikepointID LIMIT 10"),
+        tile("map", "No_Empty_Docks", station_map(hour)),
+        tile("bikes_per_street", "n",
+             f"{stations}SELECT SUM(No_Bikes) AS n FROM stations WHERE {here} GROUP BY Street"),
+        f"""SELECT 'event_counts', 3, COUNT(*) + COUNT(*) FILTER (EnqueuedTime > t - INTERVAL 1 HOUR)
+  + COUNT(*) FILTER (EnqueuedTime > t - INTERVAL 1 MINUTE)
+  FROM ({stations}SELECT EnqueuedTime, t FROM stations, newest WHERE {here})""",
+        tile("docks_fine", '"Available Docks"', series(TWO_MINUTES_US, here) + TOTAL_DOCKS),
+        tile("docks_daily", '"Available Docks"', series(DAY_US, here) + TOTAL_DOCKS),
+        tile("neighbourhood_choices", "0", f"{stations}SELECT DISTINCT Neighbourhood FROM stations"),
+        tile("street_choices", "0", f"{stations}SELECT DISTINCT Street FROM stations WHERE {here}"),
+    ]
+    return "\nUNION ALL\n".join(tiles)
+
 SALES_LINE = """SalesOrderNumber, SalesOrderLineNumber,
   strftime(OrderDate, '%Y-%m-%d') AS OrderDate, CustomerName, Email, Item, Quantity,
   CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(Tax AS DOUBLE) AS Tax"""
@@ -688,6 +718,9 @@ SELECT DISTINCT Neighbourhood FROM stations""",
 SELECT DISTINCT BikepointID FROM stations WHERE Street = 'click'""",
         "station_latest": latest("EnqueuedTime > t - INTERVAL 1 HOUR"),
         "station_latest_all": latest("TRUE"),
+        "station_latest_filtered": latest(
+            "EnqueuedTime > t - INTERVAL 1 HOUR AND Neighbourhood IN ('N1', 'N2')"
+        ),
         "station_change_all": change("TRUE") + "\nSELECT * FROM ends",
         "station_change_top10": change("EnqueuedTime > t - INTERVAL 1 DAY")
         + """
@@ -747,6 +780,9 @@ FROM (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER ({LATEST_FIRST}) AS rn FROM stations) WHERE rn <= 2
 )
 WINDOW w AS (PARTITION BY BikepointID ORDER BY EnqueuedTime, EventID)""",
+        "station_limit": f"""WITH {STATIONS}
+SELECT COUNT(*) AS row_count, COUNT(*) AS known_rows FROM (SELECT * FROM stations LIMIT 10)""",
+        "dashboard_tiles": dashboard_tiles("N3"),
         # series
         "series_daily_docks": series(DAY_US) + TOTAL_DOCKS,
         "series_2min_docks": series(TWO_MINUTES_US) + TOTAL_DOCKS,
@@ -764,9 +800,8 @@ SELECT Street, CAST(SUM(No_Bikes) AS DOUBLE) AS "SUM_No_Bikes",
        {TIME_TEXT.format('make_timestamp(w)')} AS "Window_End_Time"
 FROM (
   SELECT Street, No_Bikes, (epoch_us(EnqueuedTime) // 5000000 + 1) * 5000000 AS w FROM stations
-), newest
-GROUP BY Street, w, t
-HAVING w <= epoch_us(t) - 60000000""",
+)
+GROUP BY Street, w""",
         "stream_alert": f"""WITH {STATIONS}
 SELECT BikepointID, MAX(No_Empty_Docks) AS docks,
        {TIME_TEXT.format("date_trunc('day', EnqueuedTime)")} AS window_start

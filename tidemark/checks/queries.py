@@ -8,6 +8,7 @@ dates and times to text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -762,6 +763,41 @@ def station_latest_all(spark, sf):
     return _rate_rounded(stations.latest_state(stations.base(td.stations(spark, sf)), age=None))
 
 
+@query()
+def station_latest_filtered(spark, sf):
+    """The last hour of the table, not of the chosen neighbourhoods."""
+    table = td.stations(spark, sf)
+    chosen = stations.base(table, ["N1", "N2"])
+    return _rate_rounded(stations.latest_state(chosen, now=stations.newest(table)))
+
+
+@query()
+def dashboard_tiles(spark, sf):
+    """Rows and sums of every dashboard tile with a neighbourhood chosen."""
+    tiles = stations.dashboard(td.stations(spark, sf), ["N3"])
+    sums = {
+        "fullest": "No_Bikes",
+        "emptiest": "No_Empty_Docks",
+        "map": "No_Empty_Docks",
+        "bikes_per_street": "countBikes",
+        "event_counts": "Count",
+        "docks_fine": "Available Docks",
+        "docks_daily": "Available Docks",
+        "neighbourhood_choices": None,
+        "street_choices": None,
+    }
+    counted = [
+        tile.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.coalesce(F.sum(f"`{sums[name]}`") if sums[name] else F.lit(0), F.lit(0))
+            .cast("bigint")
+            .alias("total"),
+        ).select(F.lit(name).alias("tile"), "row_count", "total")
+        for name, tile in tiles.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query()
 def station_change_all(spark, sf):
     return _rate_rounded(stations.station_change(stations.base(td.stations(spark, sf))))
@@ -844,8 +880,14 @@ def station_prev_change(spark, sf):
 
 @query()
 def station_limit(spark, sf):
-    """Ten rows in no set order; only their number can be compared."""
-    return td.stations(spark, sf).limit(10)
+    """Ten rows in no set order: their number, and how many of them the table holds."""
+    table = td.stations(spark, sf)
+    known = table.select("EventID", F.lit(True).alias("known"))
+    return (
+        table.limit(10)
+        .join(known, "EventID", "left")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count_if("known").alias("known_rows"))
+    )
 
 
 # --- series ------------------------------------------------------------
@@ -885,11 +927,16 @@ def _run(stream_query) -> None:
         raise error
 
 
+# Files of a streamed backlog, one micro-batch each; they come in no order of time.
+BACKLOG_FILES = 4
+ANY_LATENESS = "3650 days"
+
+
 def _backlog(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
-    """JSON line files of ``rows`` as a stream that takes all of them at once."""
+    """JSON line files of ``rows`` as a stream that takes one at a time."""
     path = session.scratch_path(spark, label)
-    rows.write.json(path)
-    return spark.readStream.schema(rows.schema).json(path)
+    rows.repartition(BACKLOG_FILES).write.json(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(path)
 
 
 @query()
@@ -912,13 +959,17 @@ def stream_files(spark, sf):
 
 @query()
 def stream_tumbling(spark, sf):
-    """Closed 5-second windows; the last minute stays open for late events."""
+    """All 5-second windows of a backlog that arrives in several batches, out of order."""
     events = _backlog(spark, td.stations(spark, sf).drop("EventID"), "bikes")
     out, checkpoint = (session.scratch_path(spark, n) for n in ("windows", "windows_checkpoint"))
-    _run(sinks.append_files(windows.tumbling_bikes(events), out, checkpoint))
-    return spark.read.schema(
-        "Street string, SUM_No_Bikes double, Window_End_Time timestamp"
-    ).parquet(out)
+    summed = windows.tumbling_bikes(events, lateness=ANY_LATENESS)
+    _run(sinks.update_files(summed, out, checkpoint))
+    return sinks.current_results(
+        spark,
+        out,
+        "Street string, SUM_No_Bikes double, Window_End_Time timestamp",
+        ["Street", "Window_End_Time"],
+    )
 
 
 @query()
@@ -926,7 +977,7 @@ def stream_alert(spark, sf):
     """Days on which a station reached nine free docks, from an update sink."""
     events = _backlog(spark, td.stations(spark, sf).drop("EventID"), "docks")
     out, checkpoint = (session.scratch_path(spark, n) for n in ("alerts", "alerts_checkpoint"))
-    daily = windows.docks_per_window(events, "1 day", "2 days")
+    daily = windows.docks_per_window(events, "1 day", ANY_LATENESS)
     _run(sinks.update_files(windows.alerts(daily, "docks", 9), out, checkpoint))
     return sinks.current_results(
         spark,

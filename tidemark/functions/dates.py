@@ -26,9 +26,11 @@ def day_bin(column: Column) -> Column:
     return F.date_trunc("day", column)
 
 
-def as_of(df: DataFrame, time_column: str, moment: str | None = None) -> Column:
+def as_of(df: DataFrame, time_column: str, moment: str | Column | None = None) -> Column:
     """The report's "now": a given moment, or the newest time in ``df``.
 
+    Give the whole table, not a selection: "now" must not depend on a filter.
+
     The default is a scalar subquery, so it runs on the executors as one
     partially aggregated max and nothing is read back to the driver.
     """

@@ -28,20 +28,25 @@ class Grid(NamedTuple):
 
 
 def bind_grid(
-    df: DataFrame, time: str, min_step: str, now: str | None = None, since: str | None = None
+    df: DataFrame,
+    time: str,
+    min_step: str,
+    now: str | Column | None = None,
+    since: str | None = None,
 ) -> tuple[DataFrame, Grid]:
     """Attach the grid of a table's time column to its rows.
 
-    The range runs from the later of ``since`` and the first time to ``now`` (by
-    default the newest time). The bounds are one scalar subquery: an aggregate
+    The range runs from the later of ``since`` and the first time to ``now``,
+    which is not in it. By default it ends just past the newest time, so that
+    the newest rows are in it. The bounds are one scalar subquery: an aggregate
     with a single row that Spark runs once and hands to all tasks.
     """
     lower = F.unix_micros(F.min(time))
-    upper = F.unix_micros(F.max(time))
+    upper = F.unix_micros(F.max(time)) + 1
     if since is not None:
         lower = F.greatest(lower, F.unix_micros(F.lit(since).cast("timestamp")))
     if now is not None:
-        upper = F.unix_micros(F.lit(now).cast("timestamp"))
+        upper = F.first(F.unix_micros(F.lit(now).cast("timestamp")))
     shortest = F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {min_step}"))
     step = F.greatest(F.expr(f"(_end - _start) div {STEPS}"), shortest)
     bounds = (
@@ -59,7 +64,7 @@ def make_series(
     time: str,
     value: str,
     min_step: str,
-    now: str | None = None,
+    now: str | Column | None = None,
     since: str | None = None,
 ) -> DataFrame:
     """Largest value per key and bin, gaps filled along straight lines.

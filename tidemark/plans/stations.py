@@ -1,14 +1,15 @@
 """Bike station reports over the station table.
 
-``TIME`` is the landing time of an event. Reports about "now" take the moment as
-a parameter and default to the newest time in the table.
+``TIME`` is the landing time of an event. Reports about "now" take the moment
+``now`` as a parameter; :func:`newest` gives the newest time of the whole table,
+whatever is selected from it. Without ``now`` the rows given are the whole table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_of, day_bin, newer_than
@@ -39,7 +40,12 @@ def base(
     return chosen.withColumn("fill_rate", fill_rate(F.col("No_Bikes"), F.col("No_Empty_Docks")))
 
 
-def recent(rows: DataFrame, age: str = "1 hour", now: str | None = None) -> DataFrame:
+def newest(stations: DataFrame) -> Column:
+    """The newest time in the table, as a scalar subquery."""
+    return as_of(stations, TIME)
+
+
+def recent(rows: DataFrame, age: str = "1 hour", now: str | Column | None = None) -> DataFrame:
     return rows.where(newer_than(F.col(TIME), as_of(rows, TIME, now), age))
 
 
@@ -55,7 +61,9 @@ def points_on_street(stations: DataFrame, street: str) -> DataFrame:
     return stations.where(F.col("Street") == street).select(STATION).distinct()
 
 
-def latest_state(rows: DataFrame, age: str | None = "1 hour", now: str | None = None) -> DataFrame:
+def latest_state(
+    rows: DataFrame, age: str | None = "1 hour", now: str | Column | None = None
+) -> DataFrame:
     """Newest row of every station."""
     seen = rows if age is None else recent(rows, age, now)
     return latest(seen, [STATION], TIME, TIE)
@@ -78,7 +86,7 @@ def fullest(
     rows: DataFrame,
     n: int = 10,
     age: str | None = "1 hour",
-    now: str | None = None,
+    now: str | Column | None = None,
     emptiest: bool = False,
 ) -> DataFrame:
     """Stations with the highest (or lowest) fill rate and their change."""
@@ -89,7 +97,9 @@ def fullest(
     )
 
 
-def map_points(rows: DataFrame, age: str | None = "1 hour", now: str | None = None) -> DataFrame:
+def map_points(
+    rows: DataFrame, age: str | None = "1 hour", now: str | Column | None = None
+) -> DataFrame:
     """Map labels: one row per station place and per number of free docks seen.
 
     The label is part of the key, so a station shows once per dock count.
@@ -139,7 +149,7 @@ def bikes_per_day(rows: DataFrame) -> DataFrame:
     )
 
 
-def event_counts(rows: DataFrame, now: str | None = None) -> DataFrame:
+def event_counts(rows: DataFrame, now: str | Column | None = None) -> DataFrame:
     """Events in total, in the last hour and in the last minute, from one scan."""
     moment = as_of(rows, TIME, now)
     time = F.col(TIME)
@@ -184,7 +194,10 @@ def previous_change(rows: DataFrame) -> DataFrame:
 
 
 def available_docks(
-    rows: DataFrame, min_step: str = "2 minutes", now: str | None = None, since: str | None = None
+    rows: DataFrame,
+    min_step: str = "2 minutes",
+    now: str | Column | None = None,
+    since: str | None = None,
 ) -> DataFrame:
     """Free docks of all stations over time, gaps filled per station."""
     filled = series.make_series(rows, [STATION], TIME, "No_Empty_Docks", min_step, now, since)
@@ -198,7 +211,7 @@ ALERT_DOCKS = 1500
 def dock_alerts(
     rows: DataFrame,
     threshold: float = ALERT_DOCKS,
-    now: str | None = None,
+    now: str | Column | None = None,
     since: str | None = None,
 ) -> DataFrame:
     """Days on which the free docks reach the threshold."""
@@ -210,22 +223,26 @@ def dashboard(
     stations: DataFrame,
     neighbourhoods: Sequence[str] | None = None,
     streets: Sequence[str] | None = None,
-    now: str | None = None,
+    now: str | Column | None = None,
     since: str | None = None,
 ) -> dict[str, DataFrame]:
     """All dashboard tiles over one filtered base, each still lazy.
 
-    Give ``now`` to let all tiles agree on the moment while the table grows.
+    "Now" is the newest time of the unfiltered table, so an area without recent
+    events shows none. Give ``now`` to let all tiles agree on the moment while
+    the table grows; a series then ends before it.
     """
     rows = base(stations, neighbourhoods, streets)
+    end = now if now is not None else newest(stations) + F.expr("INTERVAL 1 microsecond")
+    now = now if now is not None else newest(stations)
     return {
         "fullest": fullest(rows, now=now),
         "emptiest": fullest(rows, now=now, emptiest=True),
         "map": map_points(rows, now=now),
         "bikes_per_street": bikes_per_street(rows),
         "event_counts": event_counts(rows, now),
-        "docks_fine": available_docks(rows, "2 minutes", now, since),
-        "docks_daily": available_docks(rows, "1 day", now, since),
+        "docks_fine": available_docks(rows, "2 minutes", end, since),
+        "docks_daily": available_docks(rows, "1 day", end, since),
         "neighbourhood_choices": neighbourhood_choices(stations),
         "street_choices": street_choices(stations, neighbourhoods),
     }
