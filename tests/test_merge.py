@@ -94,16 +94,6 @@ def test_merge_into_table_reads_and_appends(spark, database):
     assert rows(spark.table(name)) == [("a", D, 1), ("b", D, 2)]
 
 
-def test_replace_contents_of_the_table_being_read(spark, database):
-    name = f"{database}.t"
-    table(spark, ("a", D, 1), ("b", D, 2)).write.saveAsTable(name)
-    changed = merge.conditional_update(
-        spark.table(name), F.col("k") == "a", {"v": F.col("v") * 10}
-    )
-    merge.replace_contents(changed, name)
-    assert rows(spark.table(name)) == [("a", D, 10), ("b", D, 2)]
-
-
 def test_conditional_update_keeps_types_and_null_conditions(spark):
     df = spark.createDataFrame(
         [(Decimal("10.00"), "Mountain Bikes"), (Decimal("10.00"), None)],
@@ -180,32 +170,35 @@ def test_new_members_get_keys_above_the_old(spark):
 def log(spark, tmp_path):
     log = ChangeLog(spark, str(tmp_path / "log"), "id int, v string", ["id"])
     frame = lambda *r: spark.createDataFrame(list(r), "id int, v string")
-    log.commit(0, "WRITE", frame((1, "a"), (2, "b"), (3, "c")), "insert")
-    log.commit(1, "UPDATE", frame((2, "B")), "update")
-    log.commit(2, "MERGE", frame((4, "d")), "insert")
-    log.commit(3, "DELETE", frame((1, "a")), "delete")
-    log.commit(4, "MERGE", frame((1, "again")), "insert")
+    log.commit(0, "WRITE", {"insert": frame((1, "a"), (2, "b"), (3, "c"))})
+    log.update(1, F.col("id") == 2, {"v": F.lit("B")})
+    log.merge(2, frame((4, "d"), (3, "C")), when_matched={"v": "u.v"})
+    log.commit(3, "REVISION", {"delete": frame((1, "a")), "update": frame((4, "D"))})
+    log.merge(4, frame((1, "again"), (2, "kept")))
+    log.merge(5, frame((1, "same")))
     return log
 
 
 def test_versions(log):
     assert rows(log.as_of(0)) == [(1, "a"), (2, "b"), (3, "c")]
     assert rows(log.as_of(1)) == [(1, "a"), (2, "B"), (3, "c")]
-    assert rows(log.as_of(2)) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
-    assert rows(log.as_of(3)) == [(2, "B"), (3, "c"), (4, "d")]
-    assert rows(log.as_of(4)) == [(1, "again"), (2, "B"), (3, "c"), (4, "d")]
+    assert rows(log.as_of(2)) == [(1, "a"), (2, "B"), (3, "C"), (4, "d")]
+    assert rows(log.as_of(3)) == [(2, "B"), (3, "C"), (4, "D")]
+    assert rows(log.as_of(4)) == [(1, "again"), (2, "B"), (3, "C"), (4, "D")] == rows(log.as_of(5))
 
 
 def test_history_and_repeated_commit(spark, log):
-    again = spark.createDataFrame([(2, "B")], "id int, v string")
-    log.commit(1, "UPDATE", again, "update")
+    log.commit(1, "UPDATE", {"update": spark.createDataFrame([(2, "B")], "id int, v string")})
     assert rows(log.history()) == [
         (0, "WRITE", 3, 0, 0),
         (1, "UPDATE", 0, 1, 0),
-        (2, "MERGE", 1, 0, 0),
-        (3, "DELETE", 0, 0, 1),
+        (2, "MERGE", 1, 1, 0),
+        (3, "REVISION", 0, 1, 1),
         (4, "MERGE", 1, 0, 0),
+        (5, "MERGE", 0, 0, 0),
     ]
+    with pytest.raises(ValueError, match="upsert"):
+        log.commit(6, "MERGE", {"upsert": log.as_of(0)})
 
 
 def test_as_of_prunes_versions(log):

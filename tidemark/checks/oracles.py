@@ -441,12 +441,19 @@ SHIPPED = f"ShippedDate BETWEEN DATE '{SHIPPED_FROM}' AND DATE '{SHIPPED_TO}'"
 VERSIONED = f"""{PRODUCTS},
 v0 AS (SELECT * FROM products),
 v1 AS (
-  SELECT ProductID, ProductName, Category,
-         CAST(CASE WHEN Category = 'STANDARD' THEN ListPrice * 0.9 ELSE ListPrice END
-              AS DECIMAL(12,2)) AS ListPrice
-  FROM v0
+  SELECT * REPLACE (CAST(CASE WHEN Category = 'STANDARD' THEN ROUND(ListPrice * 0.9, 2)
+                              ELSE ListPrice END AS DECIMAL(12,2)) AS ListPrice) FROM v0
 ),
-v2 AS (SELECT * FROM v1 WHERE Category <> 'PROMO')"""
+v2 AS (
+  SELECT * REPLACE (CASE WHEN Category = 'ECONOMY' THEN upper(ProductName)
+                         ELSE ProductName END AS ProductName) FROM v1 WHERE Category <> 'PROMO'
+),
+v3 AS (
+  SELECT * REPLACE (CASE WHEN Category = 'STANDARD' THEN ProductName || ' II'
+                         ELSE ProductName END AS ProductName) FROM v2
+  UNION ALL
+  SELECT * REPLACE (ProductName || ' II' AS ProductName) FROM v0 WHERE Category = 'PROMO'
+)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -532,8 +539,8 @@ SELECT CustomerName, Email, split_part(CustomerName, ' ', 1) AS First,
        {SECOND_WORD.format('CustomerName')} AS Last
 FROM (SELECT DISTINCT CustomerName, Email FROM clean)""",
         "dim_product": f"""WITH {SALES}
-SELECT Item, {ITEM_NAME} AS ItemName, {ITEM_INFO} AS ItemInfo
-FROM (SELECT DISTINCT Item FROM sales)""",
+SELECT MIN(Item) AS Item, {ITEM_NAME} AS ItemName, {ITEM_INFO} AS ItemInfo
+FROM sales GROUP BY {ITEM_NAME}, {ITEM_INFO}""",
         "dim_customer_keys": f"""WITH {CLEAN},
 {keyed('clean', 'CustomerName, Email', 'CustomerName, Email', 'CustomerID')}
 SELECT CustomerName, Email, split_part(CustomerName, ' ', 1) AS First,
@@ -575,15 +582,21 @@ FROM target t FULL JOIN updates u ON t.order_id = u.order_id""",
         "version_as_of": f"""WITH {VERSIONED}
 SELECT {PRODUCTS_OUT}, version FROM (
   SELECT *, 0 AS version FROM v0 UNION ALL SELECT *, 1 FROM v1 UNION ALL SELECT *, 2 FROM v2
+  UNION ALL SELECT *, 3 FROM v3 UNION ALL SELECT *, 4 FROM v3
 )""",
-        "version_history": f"""WITH {PRODUCTS}
-SELECT 0 AS version, 'WRITE' AS operation, COUNT(*) AS rows_inserted,
-       CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted
-FROM products
-UNION ALL
-SELECT 1, 'UPDATE', 0, COUNT(*), 0 FROM products WHERE Category = 'STANDARD'
-UNION ALL
-SELECT 2, 'DELETE', 0, 0, COUNT(*) FROM products WHERE Category = 'PROMO'""",
+        "version_history": f"""WITH {PRODUCTS},
+n AS (
+  SELECT COUNT(*) AS every, COUNT(*) FILTER (Category = 'STANDARD') AS standard,
+         COUNT(*) FILTER (Category = 'ECONOMY') AS economy,
+         COUNT(*) FILTER (Category = 'PROMO') AS promo
+  FROM products
+)
+SELECT 0 AS version, 'WRITE' AS operation, every AS rows_inserted,
+       CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted FROM n
+UNION ALL SELECT 1, 'UPDATE', 0, standard, 0 FROM n
+UNION ALL SELECT 2, 'REVISION', 0, economy, promo FROM n
+UNION ALL SELECT 3, 'MERGE', promo, standard, 0 FROM n
+UNION ALL SELECT 4, 'MERGE', 0, 0, 0 FROM n""",
         "medallion_second_run": f"""WITH {CLEAN}
 SELECT 'sales_silver' AS table_name, COUNT(*) AS row_count FROM clean
 UNION ALL SELECT 'dimdate_gold', COUNT(DISTINCT OrderDate) FROM clean

@@ -428,31 +428,39 @@ def conditional_update(spark, sf):
 
 
 def _product_log(spark: SparkSession, sf: str) -> ChangeLog:
-    """Load, 10 % off one category, then another category withdrawn."""
+    """A load, 10 % off one category, a mixed version, a merge, and one that changes nothing.
+
+    The mixed version withdraws one category and renames another; the merge
+    brings the withdrawn products back with a new name.
+    """
     log = ChangeLog(
         spark,
         session.scratch_path(spark, "product_log"),
         "ProductID int, ProductName string, Category string, ListPrice decimal(12,2)",
         ["ProductID"],
     )
-    log.commit(0, "WRITE", td.products(spark, sf), "insert")
-    current = log.as_of(0)
-    touched = current.where(F.col("Category") == "STANDARD")
-    log.commit(
-        1,
-        "UPDATE",
-        merge.conditional_update(touched, F.lit(True), _cheaper(touched)),
-        "update",
-    )
-    log.commit(2, "DELETE", log.as_of(1).where(F.col("Category") == "PROMO"), "delete")
+    products = td.products(spark, sf)
+    log.commit(0, "WRITE", {"insert": products})
+    log.update(1, F.col("Category") == "STANDARD", {"ListPrice": F.expr("ListPrice * 0.9BD")})
+    current = log.as_of(1)
+    renamed = current.where(F.col("Category") == "ECONOMY").withColumn(
+        "ProductName", F.upper("ProductName")
+    )
+    gone = current.where(F.col("Category") == "PROMO")
+    log.commit(2, "REVISION", {"update": renamed, "delete": gone})
+    back = products.where(F.col("Category").isin("PROMO", "STANDARD")).withColumn(
+        "ProductName", F.concat("ProductName", F.lit(" II"))
+    )
+    log.merge(3, back, when_matched={"ProductName": "u.ProductName"})
+    log.commit(4, "MERGE", {})
     return log
 
 
 @query()
 def version_as_of(spark, sf):
     log = _product_log(spark, sf)
-    first, second, third = (log.as_of(v).withColumn("version", F.lit(v)) for v in (0, 1, 2))
-    return first.unionByName(second).unionByName(third)
+    states = [log.as_of(v).withColumn("version", F.lit(v)) for v in range(5)]
+    return reduce(DataFrame.unionByName, states)
 
 
 @query()
@@ -691,7 +699,7 @@ def employee_sales(spark, sf):
     return reports.employee_sales(
         td.trading_employees(spark, sf),
         td.trading_orders(spark, sf),
-        reports.order_subtotals(td.trading_details(spark, sf)),
+        td.trading_details(spark, sf),
         SHIPPED_FROM,
         SHIPPED_TO,
     )
@@ -701,7 +709,7 @@ def employee_sales(spark, sf):
 def sales_by_year(spark, sf):
     return reports.sales_by_year(
         td.trading_orders(spark, sf),
-        reports.order_subtotals(td.trading_details(spark, sf)),
+        td.trading_details(spark, sf),
         SHIPPED_FROM,
         SHIPPED_TO,
     )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tidemark.functions.numbers import exact_sum
-from tidemark.operators.joins import aggregate_for_join
 
 
 def row_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,8 +38,8 @@ def sum_where(
 ) -> DataFrame:
     """One ``<value>_<amount>`` sum of money per value of ``kind`` plus the total.
 
-    All sums come out of the same aggregation. The result is meant to be joined
-    back to the table that ``by`` is the key of.
+    All sums come out of the same aggregation. Joined to the table that ``by`` is
+    the key of, it needs no other shuffle.
     """
     money = F.col(amount)
     split = [
@@ -48,7 +47,7 @@ def sum_where(
         for v in values
     ]
     total = exact_sum(money).alias(f"total_{amount}")
-    return aggregate_for_join(df, by, *split, total)
+    return df.groupBy(*by).agg(*split, total)
 
 
 def latest(

@@ -46,8 +46,12 @@ def customer_dimension(sales: DataFrame) -> DataFrame:
 
 
 def product_dimension(sales: DataFrame) -> DataFrame:
-    """Distinct items split into name and info."""
+    """One row per item name and info, with the least item text that gives them.
+
+    Items that differ only beyond the second part, or in a trailing separator,
+    are one product, so that a sales line finds one member.
+    """
     item = F.col("Item")
-    return sales.select("Item").distinct().select(
-        "Item", item_name(item).alias("ItemName"), item_info(item).alias("ItemInfo")
-    )
+    return sales.groupBy(
+        item_name(item).alias("ItemName"), item_info(item).alias("ItemInfo")
+    ).agg(F.min("Item").alias("Item")).select("Item", "ItemName", "ItemInfo")

@@ -27,8 +27,9 @@ def key_bucket(keys: Sequence[str]) -> Column:
     """A number that follows from the key, to group by beside the key.
 
     It changes no group, but the grouped table is then not partitioned by the
-    key alone, so that a join on the key shuffles it again. The grouped table is
-    small next to the rows it is joined with.
+    key alone, so that a join on the key shuffles it again. Only for joins with
+    rows of possibly hot keys: against a side that is unique per key a plain
+    ``groupBy`` saves that shuffle.
     """
     return F.pmod(F.xxhash64(*columns(keys)), F.lit(BUCKETS)).alias(BUCKET)
 

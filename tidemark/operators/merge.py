@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import aggregate_for_join, rows_without_match, same_key
-from tidemark.session import scratch_path
 
 
 def rows_to_insert(
@@ -59,12 +58,27 @@ def merge(
     return _updated(target, updates, keys, when_matched, null_safe).unionByName(inserted)
 
 
+def merge_changes(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    when_matched: Mapping[str, str] | None = None,
+    when_not_matched: Mapping[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """Only the rows a merge adds (``insert``) and changes (``update``)."""
+    changes = {"insert": rows_to_insert(target, updates, keys, when_not_matched)}
+    if when_matched:
+        changes["update"] = _updated(target, updates, keys, when_matched, False, "inner")
+    return changes
+
+
 def _updated(
     target: DataFrame,
     updates: DataFrame,
     keys: Sequence[str],
     when_matched: Mapping[str, str],
     null_safe: bool,
+    kind: str = "left",
 ) -> DataFrame:
     # One row per key before the join: copies collapse map-side, and the count
     # tells an ambiguous update from a clean one.
@@ -77,7 +91,7 @@ def _updated(
     source = per_key.select(
         *[F.col(f"_row.`{c}`").alias(c) for c in updates.columns], F.col("_copies")
     ).alias("u")
-    joined = target.alias("t").join(source, same_key("t", "u", keys, null_safe), "left")
+    joined = target.alias("t").join(source, same_key("t", "u", keys, null_safe), kind)
     copies = F.col("u._copies")
     types = {f.name: f.dataType for f in target.schema.fields}
     merged = []
@@ -119,16 +133,3 @@ def merge_into_table(
     key columns of the table, not its full width.
     """
     rows_to_insert(spark.table(name), updates, keys).write.mode("append").saveAsTable(name)
-
-
-def replace_contents(df: DataFrame, name: str) -> None:
-    """Replace a table by a frame that may read that table.
-
-    The new rows are written in full to another folder of the shared root before
-    the table is pointed at it; the folder being read is never overwritten.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name.replace(".", "_"))
-    df.write.parquet(path)
-    spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")

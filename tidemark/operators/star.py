@@ -91,21 +91,16 @@ def measures_by(
 ) -> DataFrame:
     """Default measures grouped by dimension attributes.
 
-    Facts are summed per foreign key before the joins: every measure is a sum or
-    a count, so partial results add up, and a hot key reaches the joins as one
-    row however many facts it has.
+    Facts meet the dimensions as they are: the combination of all foreign keys
+    is near unique, so summing by it first would shuffle the fact for nothing.
+    Small dimensions are broadcast by their known size; where one is not, its
+    join is a plain shuffle that AQE can split at a hot key. The groups are few,
+    so the sums combine in each task.
     """
     used = [r for r in relations if attributes.get(r.dimension)]
-    per_key = fact.groupBy(*[r.fact_column for r in used]).agg(
-        *[_first_pass(kind, column) for column, kind in measures.items()]
-    )
-    wide = expand(per_key, dimensions, used, attributes)
+    wide = expand(fact, dimensions, used, attributes)
     by = [a for r in used for a in attributes[r.dimension]]
+    kinds = {"sum": F.sum, "count": F.count}
     return wide.groupBy(*by).agg(
-        *[F.sum(f"_{kind}_{column}").alias(f"{kind}_{column}") for column, kind in measures.items()]
+        *[kinds[kind](column).alias(f"{kind}_{column}") for column, kind in measures.items()]
     )
-
-
-def _first_pass(kind: str, column: str):
-    aggregate = {"sum": F.sum, "count": F.count}[kind]
-    return aggregate(column).alias(f"_{kind}_{column}")

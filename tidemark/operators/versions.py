@@ -1,21 +1,24 @@
 """Older states of a keyed table, kept as a log of changed rows.
 
-The log is a Parquet folder with one partition per version. Each version holds
-only the rows it changed, marked ``insert``, ``update`` or ``delete``. Version 0
-is the first full load.
+The log has two Parquet folders with one partition per version: the rows a
+version changed, each marked ``insert``, ``update`` or ``delete``, and one row
+per version that names its operation. Version 0 is the first full load.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.merge import conditional_update, merge_changes
+
 VERSION = "_version"
 CHANGE = "_change"
 OPERATION = "_operation"
-LOG_COLUMNS = (VERSION, CHANGE, OPERATION)
+CHANGES = ("insert", "update", "delete")
 
 
 class ChangeLog:
@@ -26,51 +29,81 @@ class ChangeLog:
         self.path = path
         self.key = list(key)
         self.schema = schema
-        self._log_schema = f"{schema}, {CHANGE} string, {OPERATION} string, {VERSION} int"
+        self._log_schema = f"{schema}, {CHANGE} string, {VERSION} int"
 
-    def commit(self, version: int, operation: str, rows: DataFrame, change: str) -> None:
-        """Add the rows that ``version`` inserted, updated or deleted.
+    def commit(self, version: int, operation: str, changes: Mapping[str, DataFrame]) -> None:
+        """Add a version: its operation and the rows it inserted, updated or deleted.
 
-        A version is one folder that is replaced as a whole, so running a commit
-        again after a failure leaves the same log.
+        ``changes`` maps kinds of change to rows; a key occurs in one kind only.
+        All kinds go into one folder that is replaced as a whole, and the version
+        counts once its operation is written after that, so a commit that is
+        tried again after a failure leaves the same log. A version may change
+        nothing.
         """
-        (
-            rows.withColumns({CHANGE: F.lit(change), OPERATION: F.lit(operation)})
-            .write.mode("overwrite")
-            .parquet(f"{self.path}/{VERSION}={version}")
+        if unknown := set(changes) - set(CHANGES):
+            raise ValueError(f"unknown kinds of change: {sorted(unknown)}")
+        marked = [rows.withColumn(CHANGE, F.lit(kind)) for kind, rows in changes.items()]
+        empty = self.spark.createDataFrame([], f"{self.schema}, {CHANGE} string")
+        rows = reduce(DataFrame.unionByName, marked) if marked else empty
+        rows.write.mode("overwrite").parquet(f"{self.path}/rows/{VERSION}={version}")
+        self.spark.createDataFrame([(operation,)], f"{OPERATION} string").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{self.path}/commits/{VERSION}={version}")
+
+    def merge(
+        self, version: int, updates: DataFrame, when_matched: Mapping[str, str] | None = None
+    ) -> None:
+        """Commit a merge into the state before ``version``: inserts and updates together."""
+        before = self.as_of(version - 1)
+        self.commit(version, "MERGE", merge_changes(before, updates, self.key, when_matched))
+
+    def update(self, version: int, condition: Column, changes: Mapping[str, Column]) -> None:
+        """Commit a conditional update of the state before ``version``."""
+        touched = self.as_of(version - 1).where(condition)
+        changed = conditional_update(touched, F.lit(True), changes)
+        self.commit(version, "UPDATE", {"update": changed})
+
+    def commits(self) -> DataFrame:
+        """One row per version: its number and operation."""
+        return self.spark.read.schema(f"{OPERATION} string, {VERSION} int").parquet(
+            f"{self.path}/commits"
         )
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(self._log_schema).parquet(self.path)
+        return self.spark.read.schema(self._log_schema).parquet(f"{self.path}/rows")
 
     def as_of(self, version: int) -> DataFrame:
         """Rows of the table as they were after ``version``.
 
-        Later versions change few rows, so only those are aggregated to their
-        newest change; the first load is streamed through an anti-join against
-        the changed keys and is shuffled only if these are too many to broadcast.
+        The versions in range are read once and reduced to the newest change of
+        each key, combined in each task before the shuffle; the partition filter
+        leaves later versions unread.
         """
-        columns = [c for c in self.log().columns if c not in LOG_COLUMNS]
-        base = self.log().where(F.col(VERSION) == 0)
-        later = self.log().where(F.col(VERSION).between(1, version))
-        newest = later.groupBy(*self.key).agg(
-            F.max_by(F.struct(CHANGE, *columns), F.col(VERSION)).alias("_last")
+        columns = [c for c in self.log().columns if c not in (VERSION, CHANGE)]
+        values = [c for c in columns if c not in self.key]
+        newest = (
+            self.log()
+            .where(F.col(VERSION) <= version)
+            .groupBy(*[F.col(f"`{c}`") for c in self.key])
+            .agg(F.max_by(F.struct(CHANGE, *[F.col(f"`{c}`") for c in values]), VERSION).alias("_last"))
         )
-        untouched = base.join(newest.select(*self.key), self.key, "left_anti").select(*columns)
-        changed = newest.where(F.col(f"_last.{CHANGE}") != "delete").select(
-            *[F.col(f"_last.`{c}`").alias(c) for c in columns]
+        kept = newest.where(F.col(f"_last.{CHANGE}") != "delete")
+        return kept.select(
+            *[F.col(f"`{c}`") if c in self.key else F.col(f"_last.`{c}`").alias(c) for c in columns]
         )
-        return untouched.unionByName(changed)
 
     def history(self) -> DataFrame:
-        """One row per version: operation and counts of changed rows."""
-        def rows(change: str):
-            return F.count_if(F.col(CHANGE) == change)
-
-        return self.log().groupBy(
-            F.col(VERSION).alias("version"), F.col(OPERATION).alias("operation")
-        ).agg(
-            rows("insert").alias("rows_inserted"),
-            rows("update").alias("rows_updated"),
-            rows("delete").alias("rows_deleted"),
+        """One row per version, also for those that changed nothing: operation and counts."""
+        counted = self.log().groupBy(VERSION).agg(
+            *[F.count_if(F.col(CHANGE) == kind).alias(kind) for kind in CHANGES]
+        )
+        names = dict(zip(CHANGES, ("rows_inserted", "rows_updated", "rows_deleted"), strict=True))
+        return (
+            self.commits()
+            .join(counted, VERSION, "left")
+            .select(
+                F.col(VERSION).alias("version"),
+                F.col(OPERATION).alias("operation"),
+                *[F.coalesce(kind, F.lit(0)).alias(name) for kind, name in names.items()],
+            )
         )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import slash_year, year_text
+from tidemark.functions.dates import year_text
 from tidemark.functions.numbers import (
     amount_of,
     coarser,
@@ -19,7 +19,6 @@ from tidemark.functions.numbers import (
     whole_percent,
 )
 from tidemark.operators.cleaning import where_between
-from tidemark.operators.joins import aggregate_for_join
 from tidemark.operators.ranking import top
 
 
@@ -40,11 +39,10 @@ def customer_order_history(
     else:
         customers = customers.where(F.col("CustomerID") == customer_id)
         orders = orders.where(F.col("CustomerID") == customer_id)
-    bought = (
-        details.select("OrderID", "ProductID", "Quantity")
-        .join(orders.select("OrderID", "CustomerID"), "OrderID")
-        .join(customers.select("CustomerID"), "CustomerID")
+    known = orders.select("OrderID", "CustomerID").join(
+        customers.select("CustomerID"), "CustomerID"
     )
+    bought = details.select("OrderID", "ProductID", "Quantity").join(known, "OrderID")
     per_product = bought.groupBy("CustomerID", "ProductID").agg(F.sum("Quantity").alias("_q"))
     named = per_product.join(products.select("ProductID", "ProductName"), "ProductID")
     return named.groupBy(*by).agg(F.sum("_q").alias("Total"))
@@ -77,20 +75,30 @@ def customer_orders(orders: DataFrame, customer_id=None) -> DataFrame:
     return orders.where(F.col("CustomerID") == customer_id).select(shown).orderBy("OrderID")
 
 
-def order_subtotals(details: DataFrame) -> DataFrame:
-    """Net amount per order."""
+def shipped_subtotals(orders: DataFrame, details: DataFrame, first, last) -> DataFrame:
+    """Net amount of the orders shipped in a date range, with their columns.
+
+    The range is applied before the details come in, and the sum per order keeps
+    the partitioning of the join: the details are shuffled once.
+    """
+    shipped = where_between(orders, "ShippedDate", first, last)
     net = net_line(F.col("Quantity"), F.col("Discount"), F.col("UnitPrice"))
-    return aggregate_for_join(details, ["OrderID"], exact_sum(net, 4).alias("Subtotal"))
+    lines = details.select("OrderID", "Quantity", "Discount", "UnitPrice")
+    columns = [c for c in ("EmployeeID", "ShippedDate") if c in shipped.columns]
+    return (
+        shipped.select("OrderID", *columns)
+        .join(lines, "OrderID")
+        .groupBy("OrderID", *columns)
+        .agg(exact_sum(net, 4).alias("Subtotal"))
+    )
 
 
 def employee_sales(
-    employees: DataFrame, orders: DataFrame, subtotals: DataFrame, first, last
+    employees: DataFrame, orders: DataFrame, details: DataFrame, first, last
 ) -> DataFrame:
     """Shipped orders in a date range with the employee who made them."""
-    shipped = where_between(orders, "ShippedDate", first, last)
     return (
-        shipped.select("OrderID", "EmployeeID", "ShippedDate")
-        .join(subtotals, "OrderID")
+        shipped_subtotals(orders, details, first, last)
         .join(employees.select("EmployeeID", "Country", "LastName", "FirstName"), "EmployeeID")
         .select(
             "Country",
@@ -103,15 +111,10 @@ def employee_sales(
     )
 
 
-def sales_by_year(orders: DataFrame, subtotals: DataFrame, first, last) -> DataFrame:
+def sales_by_year(orders: DataFrame, details: DataFrame, first, last) -> DataFrame:
     """Shipped orders in a date range with amount and year."""
-    shipped = where_between(orders, "ShippedDate", first, last)
-    return (
-        shipped.select("OrderID", "ShippedDate")
-        .join(subtotals, "OrderID")
-        .select(
-            "ShippedDate", "OrderID", "Subtotal", year_text(F.col("ShippedDate")).alias("Year")
-        )
+    return shipped_subtotals(orders, details, first, last).select(
+        "ShippedDate", "OrderID", "Subtotal", year_text(F.col("ShippedDate")).alias("Year")
     )
 
 
@@ -131,22 +134,24 @@ def sales_by_category(
     """Rounded purchases per product of a category in one year.
 
     Each line is rounded to cents before the sum. An unknown year means the
-    default year.
+    default year. The year is a date range, which reaches the scan, and lines of
+    other categories go before the orders come in.
     """
     chosen = year if year in REPORT_YEARS else DEFAULT_YEAR
     of_category = products.select("ProductID", "ProductName", "CategoryID").join(
         categories.where(F.col("CategoryName") == category).select("CategoryID"), "CategoryID"
     )
-    of_year = orders.where(slash_year(F.col("OrderDate")) == chosen).select("OrderID")
+    day = F.col("OrderDate")
+    new_year = F.lit(f"{chosen}-01-01").cast("date")
+    next_year = F.lit(f"{int(chosen) + 1}-01-01").cast("date")
+    of_year = orders.where((day >= new_year) & (day < next_year)).select("OrderID")
     net = net_line(F.col("Quantity"), F.col("Discount"), F.col("UnitPrice"))
     cents = coarser(units(net, 4))
-    per_product = (
-        details.join(of_year, "OrderID").groupBy("ProductID").agg(F.sum(cents).alias("_cents"))
-    )
     return (
-        per_product.join(of_category, "ProductID")
+        details.join(of_category.select("ProductID", "ProductName"), "ProductID")
+        .join(of_year, "OrderID")
         .groupBy("ProductName")
-        .agg(F.round(amount_of(F.sum("_cents")), 0).alias("TotalPurchase"))
+        .agg(F.round(amount_of(F.sum(cents)), 0).alias("TotalPurchase"))
         .orderBy("ProductName")
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import amount_of, cents_to_units, units
 from tidemark.operators import quality
 from tidemark.operators.aggregates import sum_where
-from tidemark.operators.joins import aggregate_for_join
 from tidemark.schemas import RAW_CUSTOMERS, RAW_ORDERS, RAW_PAYMENTS
 from tidemark.sources.readers import csv_with_header
 from tidemark.sources.writers import materialise
@@ -48,9 +47,7 @@ def stage_payments(raw: DataFrame) -> DataFrame:
 
 
 def _paid_per_order(payments: DataFrame) -> DataFrame:
-    return aggregate_for_join(
-        payments, ["order_id"], F.sum(units(F.col("amount"))).alias("_paid")
-    )
+    return payments.groupBy("order_id").agg(F.sum(units(F.col("amount"))).alias("_paid"))
 
 
 def customer_mart(customers: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
