@@ -499,6 +499,15 @@ FROM products""",
 SELECT CAST(ProductID AS BIGINT) AS ProductID, ProductName, Category,
        CASE WHEN Category <> 'PROMO' THEN CAST(ListPrice AS DOUBLE) END AS ListPrice
 FROM products""",
+        "typed_csv_replace": f"""WITH {PRODUCTS}
+SELECT * REPLACE (CAST(ProductID AS BIGINT) AS ProductID) FROM (
+  SELECT {PRODUCTS_OUT} FROM products)""",
+        "table_limit": f"""WITH {PRODUCTS}
+SELECT COUNT(*) AS row_count, COUNT(*) AS known_rows FROM (SELECT * FROM products LIMIT 7)""",
+        "provenance_counts": f"""WITH {SALES}
+SELECT CASE WHEN OrderDate < DATE '{FIRST_LOAD_BEFORE}' THEN 'early' ELSE 'late' END AS folder,
+       COUNT(*) AS row_count, COUNT(*) AS dated_today
+FROM sales GROUP BY 1""",
         "sales_partition_year": f"""WITH {SALES}
 SELECT {TRANSFORMED} FROM sales WHERE year(OrderDate) = 1997""",
         "typed_mapping_load": f"""
@@ -530,6 +539,15 @@ SELECT SalesOrderNumber, CAST(SalesOrderLineNumber AS VARCHAR) AS SalesOrderLine
        CAST(CAST(Tax AS DOUBLE) AS VARCHAR) AS TaxAmount
 FROM from_csv""",
         "typed_warehouse_load": f"WITH {WAREHOUSE} SELECT * FROM customers",
+        "typed_dim_date": f"""WITH {WAREHOUSE}
+SELECT * REPLACE (strftime(DateAltKey, '%Y-%m-%d') AS DateAltKey) FROM dates""",
+        "typed_dim_product": """
+SELECT CAST(p_partkey AS INTEGER) AS ProductKey, p_brand AS ProductAltKey,
+       p_name AS ProductName, p_type AS Category,
+       CAST(ROUND(CAST(p_retailprice AS DECIMAL(12,2)), 0) AS DOUBLE) AS ListPrice
+FROM part""",
+        "typed_fact_sales": f"""WITH {WAREHOUSE}
+SELECT * REPLACE (CAST(SalesTotal AS DOUBLE) AS SalesTotal) FROM fact""",
         # dimensions and facts
         "dim_date": DIM_DATE,
         "dim_date_warehouse": f"""WITH {WAREHOUSE}
@@ -601,8 +619,13 @@ UNION ALL SELECT 4, 'MERGE', 0, 0, 0 FROM n""",
 SELECT 'sales_silver' AS table_name, COUNT(*) AS row_count FROM clean
 UNION ALL SELECT 'dimdate_gold', COUNT(DISTINCT OrderDate) FROM clean
 UNION ALL SELECT 'dimcustomer_gold', COUNT(DISTINCT (CustomerName, Email)) FROM clean
-UNION ALL SELECT 'dimproduct_gold', COUNT(DISTINCT Item) FROM clean
+UNION ALL SELECT 'dimproduct_gold', COUNT(DISTINCT ({ITEM_NAME}, {ITEM_INFO})) FROM clean
 UNION ALL SELECT 'factsales_gold', COUNT(*) FROM clean""",
+        "medallion_totals": f"""WITH {CLEAN}
+SELECT CAST(year(OrderDate) AS INTEGER) AS Year, {ITEM_NAME} AS ItemName,
+       COUNT(*) AS line_count, CAST(SUM(Quantity) AS BIGINT) AS quantity,
+       COUNT(DISTINCT Email) AS buyers
+FROM clean GROUP BY ALL""",
         # shop
         "stg_customers": f"WITH {SHOP} SELECT * FROM stg_customers",
         "stg_orders": f"""WITH {SHOP}
@@ -615,6 +638,13 @@ SELECT customer_id, first_name, last_name,
        strftime(most_recent_order, '%Y-%m-%d') AS most_recent_order,
        CAST(number_of_orders AS DOUBLE) AS number_of_orders,
        CAST(customer_lifetime_value AS DOUBLE) AS customer_lifetime_value
+FROM mart_customers""",
+        "shop_seeds": f"""WITH {SHOP}
+SELECT customer_id, first_name, last_name,
+       strftime(first_order, '%Y-%m-%d') AS first_order,
+       strftime(most_recent_order, '%Y-%m-%d') AS most_recent_order,
+       CAST(number_of_orders AS DOUBLE) AS number_of_orders,
+       CAST(customer_lifetime_value AS DOUBLE) AS customer_lifetime_value
 FROM mart_customers""",
         "mart_orders": f"""WITH {SHOP}
 SELECT order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date, status,
@@ -759,6 +789,14 @@ SELECT Neighbourhood, COUNT(*) AS count_ FROM stations GROUP BY Neighbourhood"""
 SELECT COALESCE(NULLIF(Neighbourhood, ''), 'Unidentified') AS Neighbourhood,
        CAST(SUM(No_Bikes) AS BIGINT) AS "Total Number of Bikes"
 FROM stations GROUP BY 1 ORDER BY 2 DESC, 1""",
+        "station_neighbourhood_order": f"""WITH {STATIONS}
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY bikes DESC, Neighbourhood) AS INTEGER) AS place,
+       Neighbourhood
+FROM (
+  SELECT CASE WHEN Neighbourhood = '' THEN 'Unidentified' ELSE Neighbourhood END
+           AS Neighbourhood, SUM(No_Bikes) AS bikes
+  FROM stations GROUP BY 1
+)""",
         "station_daily": f"""WITH {STATIONS}
 SELECT {TIME_TEXT.format("date_trunc('day', EnqueuedTime)")} AS day,
        CAST(SUM(No_Bikes) AS BIGINT) AS "countBikes"

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
@@ -205,6 +205,50 @@ def typed_csv_load(spark, sf):
     return readers.csv_typed(spark, path, schemas.PRODUCTS_TYPED)
 
 
+@query()
+def typed_csv_replace(spark, sf):
+    """A typed table that a second, complete delivery replaces."""
+    name = f"{session.scratch_database(spark, 'refresh')}.products"
+    products = td.products(spark, sf)
+    for delivery in (products.where(F.col("Category") < "M"), products):
+        path = session.scratch_path(spark, "delivery")
+        writers.csv(delivery, path)
+        landing.refresh_products(spark, path, name)
+    return spark.table(name)
+
+
+@query()
+def table_limit(spark, sf):
+    """Rows of a named table in no set order: their number, and how many the table holds."""
+    name = f"{session.scratch_database(spark, 'limit')}.products"
+    writers.managed_table(td.products(spark, sf), name)
+    known = readers.table(spark, name).select("ProductID", F.lit(True).alias("known"))
+    return (
+        readers.table(spark, name, limit=7)
+        .join(known, "ProductID", "left")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count_if("known").alias("known_rows"))
+    )
+
+
+@query()
+def provenance_counts(spark, sf):
+    """Rows per delivered folder, and how many carry today's date twice."""
+    root = session.scratch_path(spark, "deliveries")
+    rows = td.sales(spark, sf)
+    early = F.col("OrderDate") < FIRST_LOAD_BEFORE
+    writers.csv(rows.where(early), f"{root}/early", header=False)
+    writers.csv(rows.where(~early), f"{root}/late", header=False)
+    read = readers.csv_files(spark, f"{root}/*/*.csv", schemas.ORDERS_CSV_WIDE)
+    today = F.current_timestamp().cast("date")
+    dated = (F.col("CreatedTS") == today) & (F.col("ModifiedTS") == today)
+    folder = F.element_at(F.split("FileName", "/"), -2).alias("folder")
+    return (
+        cleaning.with_provenance(read)
+        .groupBy(folder)
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count_if(dated).alias("dated_today"))
+    )
+
+
 @query()
 def copy_csv(spark, sf):
     first, second = session.scratch_path(spark, "copy"), session.scratch_path(spark, "copy")
@@ -260,9 +304,8 @@ def typed_mapping_load(spark, sf):
     root = session.scratch_path(spark, "trips")
     writers.partitioned_parquet(_trips(spark, sf), root, ["puYear", "puMonth"])
     database = session.scratch_database(spark, "trips")
-    loaded = readers.mapped_parquet(
-        spark, f"{root}/puYear=*/puMonth=*/*.parquet", schemas.TRIP_COLUMNS
-    )
+    delivered = _trips(spark, sf).drop("puYear", "puMonth").schema
+    loaded = readers.mapped_parquet(spark, root, schemas.TRIP_COLUMNS, delivered)
     writers.managed_table(loaded, f"{database}.green_trips")
     return readers.table(spark, f"{database}.green_trips")
 
@@ -312,6 +355,21 @@ def typed_warehouse_load(spark, sf):
     return readers.typed_load(td.warehouse_customers(spark, sf), schemas.DIM_CUSTOMER)
 
 
+@query()
+def typed_dim_date(spark, sf):
+    return readers.typed_load(_warehouse_dates(spark, sf), schemas.DIM_DATE)
+
+
+@query()
+def typed_dim_product(spark, sf):
+    return readers.typed_load(td.warehouse_products(spark, sf), schemas.DIM_PRODUCT)
+
+
+@query()
+def typed_fact_sales(spark, sf):
+    return readers.typed_load(td.warehouse_fact(spark, sf), schemas.FACT_SALES_ORDER)
+
+
 # --- dimensions and facts ------------------------------------------------------------
 
 
@@ -491,9 +549,49 @@ def medallion_second_run(spark, sf):
     return result
 
 
+@query()
+def medallion_totals(spark, sf):
+    """Gold facts read through their keys, by year and item name, after two runs."""
+    rows = td.sales(spark, sf)
+    root = session.scratch_path(spark, "bronze")
+    early = F.col("OrderDate") < FIRST_LOAD_BEFORE
+    database = session.scratch_database(spark, "gold")
+    for folder, delivery in (("first", rows.where(early)), ("second", rows.where(~early))):
+        writers.csv(delivery, f"{root}/{folder}", header=False)
+        tables = medallion.run(spark, f"{root}/*/*.csv", database, FLAG_BEFORE)
+    customers = tables["dimcustomer_gold"].select("CustomerID", "Email")
+    products = tables["dimproduct_gold"].select("ItemID", "ItemName")
+    dates = tables["dimdate_gold"].select("OrderDate", "Year")
+    return (
+        tables["factsales_gold"]
+        .join(dates, "OrderDate")
+        .join(products, "ItemID")
+        .join(customers, "CustomerID")
+        .groupBy("Year", "ItemName")
+        .agg(
+            F.count(F.lit(1)).alias("line_count"),
+            F.sum("Quantity").alias("quantity"),
+            F.count_distinct("Email").alias("buyers"),
+        )
+    )
+
+
 # --- shop ------------------------------------------------------------
 
 
+@query("number_of_orders")
+def shop_seeds(spark, sf):
+    """The customer mart from delivered seed files."""
+    folder = session.scratch_path(spark, "seeds")
+    for name in ("customers", "orders", "payments"):
+        raw = getattr(td, f"raw_{name}")(spark, sf)
+        writers.csv(raw, f"{folder}/raw_{name}.csv")
+    customers, orders, payments = shop.read_seeds(spark, folder)
+    return shop.customer_mart(
+        shop.stage_customers(customers), shop.stage_orders(orders), shop.stage_payments(payments)
+    )
+
+
 def _staged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
         shop.stage_customers(td.raw_customers(spark, sf)),
@@ -856,6 +954,15 @@ def station_neighbourhood(spark, sf):
     return stations.bikes_per_neighbourhood(td.stations(spark, sf))
 
 
+@query()
+def station_neighbourhood_order(spark, sf):
+    """The place of every row in the sorted report."""
+    report = stations.bikes_per_neighbourhood(td.stations(spark, sf))
+    at = report.withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("_at"))
+    return at.select(place.alias("place"), "Neighbourhood")
+
+
 @query()
 def station_daily(spark, sf):
     return stations.bikes_per_day(td.stations(spark, sf))

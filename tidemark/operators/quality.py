@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,56 @@ def accepted_values(df: DataFrame, table: str, column: str, values: Sequence[str
     )
 
 
+class Check(NamedTuple):
+    """A test of one column: ``unique``, ``not_null`` or ``accepted_values`` with its values."""
+
+    test: str
+    column: str
+    values: Sequence[str] | None = None
+
+
+def table_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """All tests of a table from one scan, one row per test.
+
+    Every row gives a cell per tested column: its value where values matter, and
+    whether it is null. Equal cells are counted, combined in each task first, and
+    the counts of a column's cells answer all its tests.
+    """
+    columns = list(dict.fromkeys(c.column for c in checks))
+    by_value = {c.column for c in checks if c.test != "not_null"}
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(f"`{c}`").isNull().alias("empty"),
+                (F.col(f"`{c}`").cast("string") if c in by_value else F.lit(None).cast("string")).alias("value"),
+            )
+            for c in columns
+        ]
+    )
+    counted = (
+        df.select(F.inline(cells))
+        .groupBy("column", "empty", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    filled = ~F.col("empty")
+
+    def failures(check: Check) -> Column:
+        own = F.col("column") == check.column
+        if check.test == "unique":
+            return F.count_if(own & filled & (F.col("n") > 1))
+        if check.test == "accepted_values":
+            return F.count_if(own & filled & ~F.col("value").isin(list(check.values or ())))
+        return F.coalesce(F.sum(F.when(own & F.col("empty"), F.col("n"))), F.lit(0))
+
+    one = counted.agg(*[failures(check).cast("bigint").alias(f"_{i}") for i, check in enumerate(checks)])
+    rows = [
+        F.struct(*_labels(table, check.test, check.column), F.col(f"_{i}").alias("failures"))
+        for i, check in enumerate(checks)
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
 def relationships(
     child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:

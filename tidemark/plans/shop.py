@@ -104,27 +104,53 @@ def order_mart(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def staging_tests(customers: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
+    check = quality.Check
     return quality.report(
-        quality.unique(customers, "stg_customers", "customer_id"),
-        quality.not_null(customers, "stg_customers", ["customer_id"]),
-        quality.unique(orders, "stg_orders", "order_id"),
-        quality.not_null(orders, "stg_orders", ["order_id"]),
-        quality.accepted_values(orders, "stg_orders", "status", ORDER_STATES),
-        quality.unique(payments, "stg_payments", "payment_id"),
-        quality.not_null(payments, "stg_payments", ["payment_id"]),
-        quality.accepted_values(payments, "stg_payments", "payment_method", PAYMENT_METHODS),
+        quality.table_checks(
+            customers,
+            "stg_customers",
+            [check("unique", "customer_id"), check("not_null", "customer_id")],
+        ),
+        quality.table_checks(
+            orders,
+            "stg_orders",
+            [
+                check("unique", "order_id"),
+                check("not_null", "order_id"),
+                check("accepted_values", "status", ORDER_STATES),
+            ],
+        ),
+        quality.table_checks(
+            payments,
+            "stg_payments",
+            [
+                check("unique", "payment_id"),
+                check("not_null", "payment_id"),
+                check("accepted_values", "payment_method", PAYMENT_METHODS),
+            ],
+        ),
     )
 
 
 def mart_tests(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    check = quality.Check
     amounts = [*[f"{m}_amount" for m in PAYMENT_METHODS], "amount"]
     return quality.report(
-        quality.unique(customers, "customers", "customer_id"),
-        quality.not_null(customers, "customers", ["customer_id"]),
-        quality.unique(orders, "orders", "order_id"),
-        quality.not_null(orders, "orders", ["order_id", "customer_id", *amounts]),
+        quality.table_checks(
+            customers,
+            "customers",
+            [check("unique", "customer_id"), check("not_null", "customer_id")],
+        ),
+        quality.table_checks(
+            orders,
+            "orders",
+            [
+                check("unique", "order_id"),
+                *[check("not_null", c) for c in ("order_id", "customer_id", *amounts)],
+                check("accepted_values", "status", ORDER_STATES),
+            ],
+        ),
         quality.relationships(orders, "orders", "customer_id", customers, "customer_id"),
-        quality.accepted_values(orders, "orders", "status", ORDER_STATES),
     )
 
 

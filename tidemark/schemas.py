@@ -12,6 +12,8 @@ def struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
+# The columns, types and order of all files and tables below.
+
 # --- sales files and tables -------------------------------------------------
 
 ORDERS_CSV = (

@@ -9,16 +9,22 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOT: dict[str, str] = {}
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def build_session(
-    app_name: str = "tidemark", master: str | None = None, **conf: str
+    app_name: str = "tidemark",
+    master: str | None = None,
+    initial_partitions: int | None = None,
+    **conf: str,
 ) -> SparkSession:
     """A session with the settings the operators count on.
 
     Times are UTC, AQE is on, and shuffles are hash-partitioned by size: Spark
-    coalesces small partitions and splits skewed ones at run time, so the
-    shuffle partition count only has to be large enough.
+    coalesces small partitions and splits skewed ones at run time, but never adds
+    any. ``initial_partitions`` is the number a shuffle starts with; give about
+    one for every 100 MB of the largest shuffle. Streams keep their state in
+    RocksDB, outside the heap.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -26,7 +32,15 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
+    if initial_partitions is not None:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", initial_partitions
+        )
     if master is not None:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -45,7 +59,7 @@ def shared_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     app_id = context.applicationId
     if app_id not in _LOCAL_ROOT:
@@ -62,7 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, not yet existing path under the shared folder."""
-    return os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def scratch_database(spark: SparkSession, label: str) -> str:
@@ -70,3 +86,12 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
     return name
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Drop the scratch data of the session so far; results that read it are void."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)

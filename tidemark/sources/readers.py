@@ -6,13 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.schemas import ColumnMap, struct
 
 
-def csv_with_header(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV whose first line is a header, read with a declared schema."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def csv_with_header(
+    spark: SparkSession, path: str, schema: str, by_position: bool = True
+) -> DataFrame:
+    """CSV whose first line is a header, read with a declared schema.
+
+    Columns are taken by their position; with ``by_position`` false a header
+    that names them otherwise fails the job.
+    """
+    reader = spark.read.schema(schema).option("header", True)
+    return reader.option("enforceSchema", by_position).csv(path)
 
 
 def csv_as_text(spark: SparkSession, path: str) -> DataFrame:
@@ -61,10 +69,6 @@ def delimited(
     )
 
 
-def parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    return spark.read.parquet(*paths)
-
-
 def parquet_subtree(spark: SparkSession, root: str, subtree: str) -> DataFrame:
     """One branch of a partitioned tree, partition columns kept."""
     return spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/{subtree}")
@@ -75,12 +79,19 @@ def mapped(df: DataFrame, mapping: Sequence[ColumnMap]) -> DataFrame:
     return df.select([F.col(f"`{m.source}`").cast(m.type).alias(m.target) for m in mapping])
 
 
-def mapped_parquet(spark: SparkSession, pattern: str, mapping: Sequence[ColumnMap]) -> DataFrame:
-    """Leaf files of a partitioned tree without partition discovery, mapped.
+def mapped_parquet(
+    spark: SparkSession,
+    root: str,
+    mapping: Sequence[ColumnMap],
+    schema: StructType | None = None,
+) -> DataFrame:
+    """All files below a folder without partition discovery, mapped.
 
-    The glob names the leaf files themselves, so the folder names add no columns.
+    The folder is listed by Spark and its names add no columns. With the files'
+    ``schema`` no footer is read before the job.
     """
-    return mapped(spark.read.parquet(pattern), mapping)
+    reader = spark.read.option("recursiveFileLookup", True)
+    return mapped((reader.schema(schema) if schema else reader).parquet(root), mapping)
 
 
 def table(spark: SparkSession, name: str, limit: int | None = None) -> DataFrame:

@@ -29,10 +29,6 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 def partitioned_parquet(
     df: DataFrame, path: str, by: Sequence[str], max_rows_per_file: int = 20_000_000
 ) -> None:
