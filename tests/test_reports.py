@@ -4,6 +4,8 @@ from decimal import Decimal
 import pytest
 
 from tests.conftest import rows
+from pyspark.sql import functions as F
+
 from tidemark.operators import aggregates, cleaning, dimensions, quality, star
 from tidemark.plans import reports, sales, shop, warehouse
 
@@ -131,7 +133,7 @@ def test_items_that_split_alike_are_one_product(spark):
     members = dimensions.product_dimension(lines)
     keyed = members.withColumn("ItemID", F.xxhash64("ItemName", "ItemInfo"))
     customers = lines.select("CustomerName", "Email").distinct().withColumn("CustomerID", F.lit(1))
-    assert rows(members.select("ItemName", "ItemInfo")) == [("A", "B"), (None, None), ("Pump", "")]
+    assert rows(members.select("ItemName", "ItemInfo")) == [("A", "B"), (None, ""), ("Pump", "")]
     fact = star.fact_sales(lines, customers, keyed)
     assert fact.count() == len(items)
     assert fact.where("ItemID IS NULL").count() == 1
@@ -346,3 +348,54 @@ def test_relationships_counts_rows_and_skips_null(spark):
     assert rows(quality.relationships(child, "t", "k", parent, "k")) == [
         ("t", "relationships", "k", 2)
     ]
+
+
+def test_table_checks_come_from_one_scan(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "a", None), (1, "b", 2.0), (None, "z", None), (3, None, 1.0)],
+        "k int, kind string, x double",
+    )
+    df.write.parquet(str(tmp_path / "t"))
+    check = quality.Check
+    done = quality.table_checks(
+        spark.read.parquet(str(tmp_path / "t")),
+        "t",
+        [
+            check("unique", "k"),
+            check("not_null", "k"),
+            check("not_null", "x"),
+            check("accepted_values", "kind", ["a", "b"]),
+        ],
+    )
+    assert done._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [tuple(r) for r in done.collect()] == [
+        ("t", "unique", "k", 1),
+        ("t", "not_null", "k", 1),
+        ("t", "not_null", "x", 2),
+        ("t", "accepted_values", "kind", 1),
+    ]
+    assert [r.failures for r in quality.table_checks(df.where("false"), "t", [check("not_null", "k")]).collect()] == [0]
+
+
+def exchanges(df):
+    """Hash exchanges of a plan."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_big_sides_are_shuffled_once(spark, conf, trading, seeds):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+    )
+    _, orders, payments = staged(seeds)
+    assert exchanges(shop.order_mart(orders, payments)) == 2
+    subtotals = reports.shipped_subtotals(
+        trading["orders"], trading["details"], "1998-01-01", "1998-12-31"
+    )
+    assert exchanges(subtotals) == 2
+    history = reports.customer_order_history(
+        *[trading[n] for n in ("products", "details", "orders", "customers")]
+    )
+    # Customers, orders, both by order, details, sums by product, products, and the last sum.
+    assert exchanges(history) <= 8

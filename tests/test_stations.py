@@ -207,13 +207,17 @@ def test_series_gap_edges_and_empty(spark):
 
 def test_series_end_is_excluded(spark):
     df = series_frame(spark, [("a", 0, 1), ("a", 20, 9)])
-    made = series.make_series(df, ["k"], "t", "v", "10 seconds")
+    last = df.selectExpr("CAST(MAX(t) AS STRING) AS t").first().t
+    made = series.make_series(df, ["k"], "t", "v", "10 seconds", now=last)
     assert [(r.bin, r.v) for r in made.orderBy("bin").collect()] == [(0, 1.0), (1, 1.0)]
+    # Without a given end the series goes just past the newest row.
+    whole = series.make_series(df, ["k"], "t", "v", "10 seconds")
+    assert [(r.bin, r.v) for r in whole.orderBy("bin").collect()] == [(0, 1.0), (1, 5.0), (2, 9.0)]
 
 
 def test_series_step_is_a_hundredth_of_the_range(spark):
     df = series_frame(spark, [("a", 0, 1), ("a", 500, 5), ("a", 1000, 9)])
-    assert series.make_series(df, ["k"], "t", "v", "1 second").count() == 100
+    assert series.make_series(df, ["k"], "t", "v", "1 second").count() == 101
 
 
 @settings(max_examples=8, deadline=None)
@@ -240,3 +244,40 @@ def test_totals_truncate_and_alert(spark, readings):
     assert series.at_least(total, "docks", 5).count() == 1
     assert series.at_least(total, "docks", 6).count() == 0
     assert stations.dock_alerts(readings, threshold=1).count() == 1
+
+
+def test_now_does_not_follow_the_selection(spark):
+    """An area whose last event is old has no recent rows, and no counts of the last hour."""
+    from pyspark.sql import functions as F
+
+    rows_ = [
+        ("BP_1", "Elm", "Old", 1, 1, "2024-01-01 00:00:00"),
+        ("BP_2", "Oak", "New", 1, 1, "2024-01-09 00:00:00"),
+    ]
+    table = spark.createDataFrame(
+        rows_,
+        "BikepointID string, Street string, Neighbourhood string, No_Bikes long,"
+        " No_Empty_Docks long, at string",
+    ).select(
+        "*",
+        F.col("at").cast("timestamp").alias("EnqueuedTime"),
+        F.lit(1.0).alias("Latitude"),
+        F.lit(1.0).alias("Longitude"),
+        F.lit(1).alias("EventID"),
+    )
+    tiles = stations.dashboard(table, ["Old"])
+    assert tiles["fullest"].count() == 0 == tiles["map"].count()
+    assert [r.Count for r in tiles["event_counts"].collect()] == [1, 0, 0]
+    assert tiles["docks_daily"].count() == 9
+    assert stations.latest_state(table).select("BikepointID").collect()[0][0] == "BP_2"
+
+
+def test_series_keeps_the_newest_rows(spark):
+    """A key seen only at the newest moment is in the series, also if it is the only moment."""
+    frame = spark.createDataFrame(
+        [("a", 0, 5), ("b", 100, 7)], "k string, s long, v long"
+    ).selectExpr("k", "timestamp_seconds(s) AS t", "v")
+    made = series.make_series(frame, ["k"], "t", "v", "10 seconds")
+    assert {r.k for r in made.collect()} == {"a", "b"}
+    one = series.make_series(frame.where("k = 'b'"), ["k"], "t", "v", "10 seconds")
+    assert [(r.k, r.v) for r in one.collect()] == [("b", 7.0)]
