@@ -17,16 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import components, written
-from tidemark.llm.words import chunks, mixed, word_bounds, word_hashes
+from tidemark.llm.words import chunks, mixed, slices, word_bounds, word_hashes
 
 WORDS = 5
 PERCENT = 80
 # Frequencies from here on are one class, ordered by hash.
 FREQUENT = 64
+# An n-gram is a hash of so many bits; with its frequency above them a long orders n-grams, rarest first.
+GRAM_BITS = 56
 # A set element that this share of a batch's documents hold is known to be frequent at once.
 BATCH_SHARE = 8
 # Bytes of text behind one group of the frequency count, and n-grams of a block and of a task's blocks.
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 12_000_000
 BLOCK_GRAMS = 1_000_000
 TASK_GRAMS = 1_500_000
 # Prefix keys of a document that find most links before the exact round over all keys.
@@ -50,14 +52,15 @@ def gram_sets(texts: pa.Array, words: int = WORDS) -> Iterator[tuple[int, np.nda
         total = np.zeros(len(full), np.uint64)
         for k in range(words):
             total += h[full + k] * salts[k]
-        grams = [mixed(total)]
+        grams = [mixed(total) >> np.uint64(64 - GRAM_BITS)]
         of = [owner[full]]
         short = np.flatnonzero((counts > 0) & (counts < words))
         if len(short):
             own = np.flatnonzero(counts[owner] < words)
             value = np.zeros(rows, np.uint64)
             np.add.at(value, owner[own], h[own] * salts[place[own]])
-            grams.append(mixed(value[short] + counts[short].astype(np.uint64) * salts[words]))
+            total = value[short] + counts[short].astype(np.uint64) * salts[words]
+            grams.append(mixed(total) >> np.uint64(64 - GRAM_BITS))
             of.append(short)
         gram, row = np.concatenate(grams), np.concatenate(of)
         order = np.lexsort((gram, row))
@@ -67,19 +70,52 @@ def gram_sets(texts: pa.Array, words: int = WORDS) -> Iterator[tuple[int, np.nda
         yield first, row[new], gram[new]
 
 
-_SETS = "bucket int, base boolean, docs binary, grams binary, more binary"
-_COUNTED = "uid long, doc_id long, n long, s1 long, s2 long, gram long, df int"
+_SETS = "bucket int, slice long, base boolean, docs binary, grams binary, more binary"
+_SHARED = "slice long, base boolean, docs binary, grams binary, more binary"
+_KNOWN = "uid long, doc_id long, n long, s1 long, s2 long, grams array<long>, keys array<long>"
+
+
+def _deltas(values: np.ndarray) -> bytes:
+    """Ascending numbers as their differences, in five bytes each if these do."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    width = 5 if int(steps.max(initial=0)) < 1 << 40 else 8
+    return bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _values(deltas: bytes) -> np.ndarray:
+    width = deltas[0]
+    steps = np.zeros(((len(deltas) - 1) // width, 8), np.uint8)
+    if len(steps):
+        steps[:, :width] = np.frombuffer(deltas, np.uint8, -1, 1).reshape(-1, width)
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each hash; ascending hashes have ascending buckets."""
+    return np.minimum((grams.astype(np.float64) * (buckets / 2.0**GRAM_BITS)).astype(np.int64), buckets - 1)
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    fields = [c.split() for c in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x, kinds[kind]) for x, (_, kind) in zip(columns, fields, strict=True)], [name for name, _ in fields]
+    )
 
 
 def _sets(buckets: int):
-    """Per batch: a base row for every document, and the n-grams of its first copies by bucket."""
+    """Per slice of rows: one base row for all its documents, and the n-grams of its first copies by bucket.
+
+    A document goes by its place in the slice, and the slice by a hash of its documents.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, 2)):
             uid = batch.column(0).to_numpy()
             parts = list(gram_sets(batch.column(2)))
-            row = np.concatenate([r + first for first, r, _ in parts]) if parts else np.zeros(0, np.int64)
-            gram = np.concatenate([g for _, _, g in parts]) if parts else np.zeros(0, np.uint64)
+            row = np.concatenate([r + first for first, r, _ in parts])
+            gram = np.concatenate([g for _, _, g in parts])
             n = np.bincount(row, minlength=len(uid))
             has = np.flatnonzero(n)
             s1, s2 = np.zeros(len(uid), np.uint64), np.zeros(len(uid), np.uint64)
@@ -92,94 +128,129 @@ def _sets(buckets: int):
             copy = np.zeros(len(uid), bool)
             a, b = order[1:], order[:-1]
             copy[a] = (n[a] == n[b]) & (s1[a] == s1[b]) & (s2[a] == s2[b])
-            base = np.column_stack([uid, n, s1.view(np.int64), s2.view(np.int64)])
             keep = ~copy[row]
             row, gram = row[keep], gram[keep]
-            # Very common n-grams of the batch go with their documents at once and are only announced to the count.
+            # Very common n-grams of the slice go with their documents at once and are only announced to the count.
             value, place, count = np.unique(gram, return_inverse=True, return_counts=True)
             common = (count >= FREQUENT) & (count * BATCH_SHARE >= len(uid))
             often = common[place]
-            out = [[], [], [], [], []]
-
-            def put(bucket: int, is_base: bool, docs: bytes, grams: bytes, more: bytes) -> None:
-                for column, x in zip(out, (bucket, is_base, docs, grams, more), strict=True):
-                    column.append(x)
-
-            spread = int(mixed(uid[:1].view(np.uint64))[0] % np.uint64(buckets)) if len(uid) else 0
-            ids = batch.column(1).fill_null(0).to_numpy()
+            base = np.column_stack([uid, n, s1.view(np.int64), s2.view(np.int64)]).astype(np.int64)
+            ids = batch.column(1).fill_null(0).to_numpy().astype(np.int64)
             known = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
-            put(spread, True, base.astype(np.int64).tobytes(), ids.tobytes(), known.tobytes())
-            put(spread, False, b"", gram[often].tobytes(), uid[row[often]].tobytes())
+            places = np.arange(len(uid), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            whole = mixed(np.atleast_1d(mixed(uid.view(np.uint64) + places).sum(dtype=np.uint64)))
+            here, at = int(whole.view(np.int64)[0]), int(whole[0] % np.uint64(buckets))
+            kind = np.uint16 if len(uid) < 1 << 16 else np.uint32
+            rows = [
+                (at, here, True, base.tobytes(), ids.tobytes(), known.tobytes()),
+                (at, here, False, row[often].astype(kind).tobytes(), b"", gram[often].tobytes()),
+            ]
             announced = value[common]
             row, gram = row[~often], gram[~often]
-            order = np.argsort(gram)
+            order = np.argsort(gram, kind="stable")
             row, gram = row[order], gram[order]
-            edges = np.searchsorted(gram, _bounds(buckets))
-            heard = np.searchsorted(announced, _bounds(buckets))
-            for k in range(buckets):
-                a, b = edges[k], edges[k + 1] if k + 1 < buckets else len(gram)
-                c, d = heard[k], heard[k + 1] if k + 1 < buckets else len(announced)
-                if b > a or d > c:
-                    present, short = np.unique(row[a:b], return_inverse=True)
-                    kind = np.uint16 if len(present) < 1 << 16 else np.uint32
-                    docs = np.int64(len(present)).tobytes() + uid[present].tobytes() + short.astype(kind).tobytes()
-                    put(k, False, docs, gram[a:b].tobytes(), announced[c:d].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int32()), pa.array(out[1], pa.bool_()), *(pa.array(o, pa.binary()) for o in out[2:])],
-                ["bucket", "base", "docs", "grams", "more"],
-            )
+            # Equal ranges of all hashes are the buckets; only those that are met are written.
+            own, heard = _bucket(gram, buckets), _bucket(announced, buckets)
+            met = np.union1d(own, heard)
+            a, b, c, d = (np.searchsorted(x, met, side) for x in (own, heard) for side in ("left", "right"))
+            for k, bucket in enumerate(met.tolist()):
+                inside = slice(a[k], b[k])
+                rows.append(
+                    (bucket, here, False, row[inside].astype(kind).tobytes(), _deltas(gram[inside]), announced[c[k] : d[k]].tobytes())
+                )
+            yield _batch(_SETS, rows)
 
     return run
 
 
-def _bounds(buckets: int) -> np.ndarray:
-    """First hash of each bucket: equal ranges of all hashes."""
-    return np.array([(k << 64) // buckets for k in range(buckets)], np.uint64)
+def _places(packed: bytes, n: int) -> np.ndarray:
+    """Numbers of ``n`` documents of a slice."""
+    return np.frombuffer(packed, np.uint16 if len(packed) == 2 * n else np.uint32)
 
 
-def _counted(table: pa.Table) -> pa.Table:
-    """Base rows as they are, and the n-grams that more than one document holds with their capped frequency."""
-    base, ids, known, docs, grams, announced, loud = [], [], [], [], [], [], []
-    for is_base, doc, gram, more in zip(*(table.column(c) for c in ("base", "docs", "grams", "more")), strict=True):
-        if is_base.as_py():
-            base.append(np.frombuffer(doc.as_py(), np.int64).reshape(-1, 4))
-            ids.append(np.frombuffer(gram.as_py(), np.int64))
-            known.append(np.frombuffer(more.as_py(), bool))
-        elif not len(packed := doc.as_py()):
-            loud.append((np.frombuffer(more.as_py(), np.int64), np.frombuffer(gram.as_py(), np.uint64)))
+def _shared(table: pa.Table) -> pa.Table:
+    """Base rows as they are; per slice the n-grams that more than one document holds, below their capped frequency."""
+    passed, slices_, places, grams, announced, sizes = [], [], [], [], [], []
+    columns = (table.column(c).to_pylist() for c in ("slice", "base", "docs", "grams", "more"))
+    for here, is_base, docs, gram, more in zip(*columns, strict=True):
+        if is_base:
+            passed.append((here, True, docs, gram, more))
+        elif not gram:
+            if more:
+                loud = np.frombuffer(more, np.uint64).view(np.int64) | np.int64(FREQUENT) << GRAM_BITS
+                passed.append((here, False, docs, loud.tobytes(), b""))
         else:
-            n = int(np.frombuffer(packed, np.int64, 1)[0])
-            present = np.frombuffer(packed, np.int64, n, 8)
-            docs.append(present[np.frombuffer(packed, np.uint16 if n < 1 << 16 else np.uint32, -1, 8 + 8 * n)])
-            grams.append(np.frombuffer(gram.as_py(), np.uint64))
-            announced.append(np.frombuffer(more.as_py(), np.uint64))
-    out_uid, out_gram, out_df = [u for u, _ in loud], [g for _, g in loud], [np.full(len(u), FREQUENT) for u, _ in loud]
-    if docs:
-        uid, gram = np.concatenate(docs), np.concatenate(grams)
-        order = np.argsort(gram, kind="stable")
-        uid, gram = uid[order], gram[order]
-        opens = np.ones(len(gram), bool)
-        opens[1:] = gram[1:] != gram[:-1]
-        first = np.flatnonzero(opens)
-        df = np.minimum(np.diff(np.append(first, len(gram))), FREQUENT)
-        df[np.isin(gram[first], np.concatenate(announced))] = FREQUENT
-        each = df[np.cumsum(opens) - 1] if len(gram) else df
-        shared = each > 1
-        out_uid.append(uid[shared])
-        out_gram.append(gram[shared])
-        out_df.append(each[shared])
-    rows = np.concatenate(base) if base else np.zeros((0, 4), np.int64)
-    uid = np.concatenate(out_uid) if out_uid else np.zeros(0, np.int64)
-    n_base, n_gram = len(rows), len(uid)
-    doc_id = pa.array(np.concatenate(ids), mask=~np.concatenate(known)) if base else pa.nulls(0, pa.int64())
-    longs = [pa.array(rows[:, k]) for k in range(4)]
-    return pa.concat_tables([
-        pa.table({"uid": longs[0], "doc_id": doc_id, "n": longs[1], "s1": longs[2], "s2": longs[3],
-                  "gram": pa.nulls(n_base, pa.int64()), "df": pa.nulls(n_base, pa.int32())}),
-        pa.table({"uid": uid, **{c: pa.nulls(n_gram, pa.int64()) for c in ("doc_id", "n", "s1", "s2")},
-                  "gram": np.concatenate(out_gram).view(np.int64) if n_gram else np.zeros(0, np.int64),
-                  "df": np.concatenate(out_df).astype(np.int32) if n_gram else np.zeros(0, np.int32)}),
-    ])
+            own = _values(gram)
+            slices_.append(here)
+            sizes.append(len(own))
+            grams.append(own)
+            places.append(_places(docs, len(own)).astype(np.uint32))
+            announced.append(np.frombuffer(more, np.uint64))
+    if slices_:
+        gram = np.concatenate(grams)
+        value, place, count = np.unique(gram, return_inverse=True, return_counts=True)
+        df = np.minimum(count, FREQUENT)
+        df[np.isin(value, np.concatenate(announced))] = FREQUENT
+        each = df[place]
+        ordered = gram.view(np.int64) | each.astype(np.int64) << GRAM_BITS
+        end = 0
+        for here, size, own in zip(slices_, sizes, places, strict=True):
+            inside = np.flatnonzero(each[end : end + size] > 1)
+            if len(inside):
+                kind = np.uint16 if int(own.max()) < 1 << 16 else np.uint32
+                passed.append((here, False, own[inside].astype(kind).tobytes(), ordered[end + inside].tobytes(), b""))
+            end += size
+    return pa.Table.from_batches([_batch(_SHARED, passed)])
+
+
+def _lists(values: np.ndarray, opens: np.ndarray) -> pa.Array:
+    """Values as lists that begin at the given places."""
+    return pa.ListArray.from_arrays(pa.array(np.append(opens, len(values)).astype(np.int32)), pa.array(values))
+
+
+def _prefixes(table: pa.Table) -> pa.Table:
+    """Base rows, and the sets of a slice that can link: their shared n-grams, and of these the keys of the prefix.
+
+    Rarest first come the n-grams of one document, then the shared ones. A set
+    without a shared n-gram among its first n - ceil(0.8 n) + 1 has no link.
+    """
+    row, gram, base = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], []
+    columns = (table.column(c).to_pylist() for c in ("base", "docs", "grams", "more"))
+    for is_base, docs, grams, more in zip(*columns, strict=True):
+        if is_base:
+            ids = pa.array(np.frombuffer(grams, np.int64), mask=~np.frombuffer(more, bool))
+            base.append((np.frombuffer(docs, np.int64).reshape(-1, 4), ids))
+        else:
+            gram.append(np.frombuffer(grams, np.int64))
+            row.append(_places(docs, len(gram[-1])).astype(np.uint32))
+    uid, n = base[0][0][:, 0], base[0][0][:, 1]  # equal slices have equal documents
+    row, gram = np.concatenate(row), np.concatenate(gram)
+    order = np.lexsort((gram, row))
+    row, gram = row[order], gram[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
+    row, gram = row[new], gram[new]
+    opens = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(opens, len(row)))
+    of = row[opens]
+    reach = n[of] - -(-n[of] * PERCENT // 100) + 1 - (n[of] - counts)
+    can = np.flatnonzero(reach > 0)
+    place = np.arange(len(row)) - np.repeat(opens, counts)
+    kept = np.repeat(reach > 0, counts)
+    key = place < np.repeat(reach, counts)
+    keys = np.minimum(reach[can], counts[can])
+    longs, none = pa.int64(), pa.list_(pa.int64())
+    out = [
+        pa.table({"uid": b[:, 0], "doc_id": ids, "n": b[:, 1], "s1": b[:, 2], "s2": b[:, 3], "grams": pa.nulls(len(b), none), "keys": pa.nulls(len(b), none)})
+        for b, ids in base
+    ]
+    out.append(
+        pa.table({
+            "uid": uid[of[can]], "doc_id": pa.nulls(len(can), longs), "n": n[of[can]], "s1": pa.nulls(len(can), longs), "s2": pa.nulls(len(can), longs),
+            "grams": _lists(gram[kept], np.cumsum(counts[can]) - counts[can]), "keys": _lists(gram[kept & key], np.cumsum(keys) - keys),
+        })
+    )
+    return pa.concat_tables(out)
 
 
 class Forest:
@@ -367,22 +438,13 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     )
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    counted = written(
-        source.mapInArrow(_sets(buckets), _SETS).groupBy("bucket").applyInArrow(_counted, _COUNTED), "grams"
-    )
-    base = counted.where("n IS NOT NULL").select("uid", "doc_id", "n", "s1", "s2")
+    shared = source.mapInArrow(_sets(buckets), _SETS).groupBy("bucket").applyInArrow(_shared, _SHARED)
+    known = written(shared.groupBy("slice").applyInArrow(_prefixes, _KNOWN), "sets")
+    base = known.where("keys IS NULL").select("uid", "doc_id", "n", "s1", "s2")
     speakers = base.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("uid").alias("speaker"))
     copies = base.where("n > 0").join(speakers, ["n", "s1", "s2"]).where("uid <> speaker").select(F.col("uid").alias("a"), F.col("speaker").alias("b"))
-    shared = counted.where("gram IS NOT NULL").groupBy("uid").agg(F.collect_set(F.struct("df", "gram")).alias("g"))
-    # Rarest first: n-grams of one document, then those of few. Without a shared one in the prefix there is no link.
-    reach = (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.size("g"))).cast("int")
-    sets = written(
-        shared.join(speakers.select(F.col("speaker").alias("uid"), "n"), "uid")
-        .withColumn("reach", reach)
-        .where("reach > 0")
-        .select("uid", "n", F.transform("g", lambda x: x["gram"]).alias("grams"), F.transform(F.slice(F.array_sort("g"), 1, F.col("reach")), lambda x: x["gram"]).alias("keys")),
-        "sets",
-    )
+    sets = known.where("keys IS NOT NULL").select("uid", "n", "grams", "keys")
+    sets = sets.join(speakers.select(F.col("speaker").alias("uid")), "uid", "left_semi")
     first = sets.select(F.explode(F.slice("keys", 1, FIRST_KEYS)).alias("key"), "uid", "n", F.col("uid").alias("label"))
     links = written(_block_rows(first, sets, whole=False), "links")
     labels = components(links)
