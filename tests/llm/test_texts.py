@@ -107,6 +107,7 @@ def test_article_text():
 @pytest.mark.parametrize("page, want", [
     ("", []), ("plain words", ["plain words"]), ("<p>a<p>b", ["a", "b"]), ("<article>x <b", ["x"]), ("<script>never closed", []),
     ("<div class='sidebar'><article>kept</article></div>", ["kept"]), ("<main><p>m</p><nav>n</nav></main><p>o</p>", ["m"]),
+    ("<p title=it's>a</p><p>b</p>", ["a", "b"]), ("<p " + "x='" * 3000 + "<p>a", ["a"]),
     ("<p hidden>no</p><p style='display: none'>no</p><p>yes</p>", ["yes"]), ("<p>a</p><!-- <p>no</p> --><p>b", ["a", "b"]),
 ])
 def test_pages_with_odd_markup(page, want):

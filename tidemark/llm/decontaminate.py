@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import lower_ascii
+from tidemark.llm.common import lower_ascii, written
 
 WINDOW = 13
 # Benchmark words up to which the windows are broadcast (some 100 bytes each, at most 200 MB); more are shuffled.
@@ -49,7 +49,7 @@ def contamination(
     input are left out. Equal document ids are one document only if their texts
     are equal; such rows are repeated in the result.
     """
-    windows = _windows(items, item_id, item_text).persist()
+    windows = written(_windows(items, item_id, item_text), "windows")
     sized = windows.groupBy("len").agg(F.count(F.lit(1)).alias("n")).collect()  # at most WINDOW rows
     small = sum(r["n"] for r in sized) <= BROADCAST_WORDS
     bounded = F.broadcast if small else (lambda df: df)

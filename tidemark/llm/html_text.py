@@ -44,7 +44,13 @@ _HINTS = frozenset(
     " contentinfo complementary dialog alertdialog menubar".split()
 )
 _NOT_HINT = frozenset("has with no without content article main post entry body text story page".split())
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
+_TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"""  # a stray quote
+    r"""|<[!?][^>]*>""",
+    re.S,
+)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 
@@ -110,10 +116,11 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
             break
         add(page[at : found.start()])
         at = position = found.end()
-        closing, name = found[1], (found[2] or "").lower()
+        closing, name, attributes = found.groups()[:3] if found[2] else found.groups()[3:]
+        name = (name or "").lower()
         if not name:
             continue
-        if not closing and name in _NO_TEXT and not found[3].endswith("/"):
+        if not closing and name in _NO_TEXT and not attributes.endswith("/"):
             if name in _BLOCKS or name == "head":
                 end_block()
             stop = re.compile(rf"</{re.escape(name)}\s*>" + (r"|<body\b" if name == "head" else ""), re.I).search(page, at)
@@ -147,7 +154,7 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
                 state[1] = 0
         elif name == "a":
             kind = 3
-        elif name in _BESIDE or name == "header" and not state[2] or found[3] and name not in ("html", "body") and _beside(found[3]):
+        elif name in _BESIDE or name == "header" and not state[2] or attributes and name not in ("html", "body") and _beside(attributes):
             kind = 1
         if name in ("p", "li", "dt", "dd", "option", "tr") and opened and opened[-1][0] == name:
             state[opened.pop()[1]] -= 1  # its end tag is optional

@@ -7,6 +7,10 @@ position) stays; the lines that any later occurrence covers go.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 LINES = 3
@@ -56,26 +60,33 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
 
     Kept lines are joined by \\n. A null text stays null with no lines; an empty
     text is one line. A text all of whose lines go becomes empty. Columns of the
-    input stay as they were but for ``text``.
+    input stay as they were but for ``text``; those of the names added are replaced.
     """
+    docs = docs.drop("n_lines", "n_lines_removed")
     gone = repeated_lines(docs, doc_id=doc_id, text=text)
     gone = gone.select(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"), F.col("gone").alias("_gone"))
     joined = docs.join(gone, (docs[doc_id] == gone["_doc"]) & (F.xxhash64(docs[text]) == gone["_copy"]), "left")
-    lines = _lines(F.col(text))
-    kept = F.transform(
-        F.filter(
-            F.arrays_zip(lines.alias("l"), F.sequence(F.lit(0), F.size(lines) - 1).alias("i")),
-            lambda x: ~F.array_contains("_gone", x["i"]),
-        ),
-        lambda x: x["l"],
-    )
-    return joined.select(
-        *[
-            F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text)
-            if c == text
-            else docs[c]
-            for c in docs.columns
-        ],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+    counted = joined.select(
+        *docs.columns,
+        F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(F.col(text)))).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_lines_removed"),
+        "_gone",
     )
+    schema = counted.drop("_gone").select("*").schema
+    return counted.mapInArrow(_without(docs.columns.index(text)), schema)
+
+
+def _without(at: int):
+    """Rows whose text column, at a position, loses the lines of the last column, which goes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, gone = batch.columns[:-1], batch.columns[-1]
+            texts = columns[at].to_pylist()
+            for i in np.flatnonzero(gone.is_valid().to_numpy(zero_copy_only=False)):
+                lost = set(gone[int(i)].as_py())
+                texts[i] = "\n".join(line for k, line in enumerate(texts[i].split("\n")) if k not in lost)
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    return run

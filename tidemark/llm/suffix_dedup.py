@@ -15,11 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import written
-from tidemark.llm.words import chunks, mixed
+from tidemark.llm.words import chunks, mixed, slices
 
 SPAN = 50
 GRAM = 24
@@ -27,8 +26,6 @@ _WINDOW = SPAN - GRAM + 1  # grams of a window
 # Bytes of text behind one group of segment hashes, and bytes of segments in one suffix array.
 BUCKET_BYTES = 24_000_000
 SORTED_BYTES = 1_000_000
-# Bytes of text whose segments a task holds at once.
-SLICE_BYTES = 8_000_000
 # An anchor with this many different segments in a task and in all is cut into single windows.
 HOT_IN_TASK, HOT = 64, 500_000
 
@@ -120,17 +117,6 @@ def _all_segments(texts: pa.Array, hot: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else segments(np.zeros(0, np.uint8), np.zeros(1, int), hot)
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of a bounded number of bytes of text; a longer text stands alone."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
-    first = 0
-    while first < batch.num_rows:
-        before = sizes[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
-        yield batch.slice(first, last - first)
-        first = last
-
-
 def _table(schema: str, *columns) -> pa.RecordBatch:
     names = [c.split()[0] for c in schema.split(", ")]
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
@@ -141,7 +127,7 @@ _HOT = "anchor long, segments long"
 
 def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors with many different segments in a batch."""
-    for batch in (part for b in batches for part in _slices(b, 0)):
+    for batch in (part for b in batches for part in slices(b, 0)):
         _, _, _, anchor, whole = _all_segments(batch.column(0), np.zeros(0, np.uint64))
         keys, counts = np.unique(anchor[np.unique(whole, return_index=True)[1]], return_counts=True)
         many = counts >= HOT_IN_TASK
@@ -155,7 +141,7 @@ def _hashed(buckets: int, hot: np.ndarray):
     """Per batch and bucket the segments of the smallest document; later documents of the batch are settled at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for b in batches for part in _slices(b, 1)):
+        for batch in (part for b in batches for part in slices(b, 1)):
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             row, _, _, anchor, whole = _all_segments(batch.column(1), hot)
             doc = ids[row]
@@ -240,7 +226,7 @@ def _fetched(hot: np.ndarray):
     """Bytes of the segments asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for b in batches for part in _slices(b, 1)):
+        for batch in (part for b in batches for part in slices(b, 1)):
             row, start, windows, _, whole = _all_segments(batch.column(1), hot)
             edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
             out = [[], [], [], []]
@@ -334,7 +320,7 @@ def _kept(hot: np.ndarray, doc_id: str, schema_names: list[str]):
     """What is left of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for b in batches for part in _slices(b, 1)):
+        for batch in (part for b in batches for part in slices(b, 1)):
             texts, found = batch.column(1), batch.column(2)
             row, start, windows, _, whole = _all_segments(pa.array([t if f.is_valid else None for t, f in zip(texts.to_pylist(), found, strict=True)], pa.large_string()), hot)
             edges = np.searchsorted(row, np.arange(batch.num_rows + 1))

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 
 # Bytes of text turned into arrays at once; a longer text stands alone.
 CHUNK_BYTES = 2_000_000
+# Bytes of text whose words a task holds at once.
+SLICE_BYTES = 8_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -26,6 +28,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of a bounded number of bytes of text; a longer text stands alone."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    first = 0
+    while first < batch.num_rows:
+        before = sizes[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, bytes and row offsets (from 0) of ranges of texts; null is empty."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
