@@ -762,7 +762,7 @@ SELECT DISTINCT BikepointID FROM stations WHERE Street = 'click'""",
         "station_latest": latest("EnqueuedTime > t - INTERVAL 1 HOUR"),
         "station_latest_all": latest("TRUE"),
         "station_latest_filtered": latest(
-            "EnqueuedTime > t - INTERVAL 1 HOUR AND Neighbourhood IN ('N1', 'N2')"
+            "EnqueuedTime > t - INTERVAL 1 DAY AND Neighbourhood IN ('N1', 'N2')"
         ),
         "station_change_all": change("TRUE") + "\nSELECT * FROM ends",
         "station_change_top10": change("EnqueuedTime > t - INTERVAL 1 DAY")

@@ -871,10 +871,10 @@ def station_latest_all(spark, sf):
 
 @query()
 def station_latest_filtered(spark, sf):
-    """The last hour of the table, not of the chosen neighbourhoods."""
+    """The last day of the table, not of the chosen neighbourhoods."""
     table = td.stations(spark, sf)
     chosen = stations.base(table, ["N1", "N2"])
-    return _rate_rounded(stations.latest_state(chosen, now=stations.newest(table)))
+    return _rate_rounded(stations.latest_state(chosen, "1 day", stations.newest(table)))
 
 
 @query()
