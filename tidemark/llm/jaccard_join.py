@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.common import components, written
 from tidemark.llm.words import chunks, mixed, slices, word_bounds, word_hashes
@@ -397,31 +398,50 @@ def _links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def _block_rows(members: DataFrame, sets: DataFrame, whole: bool) -> DataFrame:
-    """Links of the blocks of ``members`` (key, uid, n, label).
+def _linked(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of the blocks (key, part): rows of uid, its component so far (``label``) and ``n``, many blocks to a task."""
+    total = blocks.agg(F.sum("n")).first()[0] or 0
+    bins = max(1, -(-total // TASK_GRAMS))
+    rows = blocks.drop("n").join(sets.select("uid", "n", "grams"), "uid")
+    placed = rows.withColumn("bin", F.pmod(F.xxhash64("key", "part"), F.lit(bins)))
+    return placed.groupBy("bin").applyInArrow(_links, "a long, b long")
+
 
-    Keys of the same members count once. A block above BLOCK_GRAMS is dealt out
-    to parts; if ``whole``, to each pair of parts, so that every two members meet.
+def _key_blocks(members: DataFrame, whole: bool) -> DataFrame:
+    """Blocks of the sets of one key each, from ``members`` (key, uid, n, label).
+
+    Keys of the same members count once, keys of one component not at all. A
+    block above BLOCK_GRAMS is dealt out to parts; if ``whole``, to each pair of
+    parts, so that every two members meet.
     """
     one, two = F.bit_xor(F.xxhash64("uid")).alias("x"), F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("y")
-    keys = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"), one, two, F.min("label").alias("lo"), F.max("label").alias("hi"))
+    keys = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"), one, two, F.min("label").alias("lo"), F.max("label").alias("hi")
+    )
     chosen = keys.where("size > 1 AND lo <> hi").groupBy("size", "grams", "x", "y").agg(F.min("key").alias("key")).select("key", "grams")
-    chosen = written(chosen, "block-keys")
-    total = chosen.agg(F.sum("grams")).first()[0] or 0
-    bins = max(1, -(-total // TASK_GRAMS))
-    parts = F.ceil(F.col("grams") / BLOCK_GRAMS).cast("int")
-    dealt = members.join(chosen, "key").withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("uid", "key"), F.col("parts")).cast("int"))
+    dealt = (
+        members.join(chosen, "key")
+        .withColumn("parts", F.ceil(F.col("grams") / BLOCK_GRAMS).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("uid", "key"), F.col("parts")).cast("int"))
+    )
+    part = F.col("own").cast("long")
     if whole:
         pair = F.transform(
             F.sequence(F.lit(0), F.col("parts") - 1),
             lambda j: (F.least("own", j) * F.col("parts") + F.greatest("own", j)).cast("long"),
         )
-        dealt = dealt.withColumn("part", F.explode(pair))
-    else:
-        dealt = dealt.withColumn("part", F.col("own").cast("long"))
-    rows = dealt.select("key", "part", "uid", "label").join(sets.select("uid", "n", "grams"), "uid")
-    placed = rows.withColumn("bin", F.pmod(F.xxhash64("key", "part"), F.lit(bins)))
-    return placed.groupBy("bin").applyInArrow(_links, "a long, b long")
+        part = F.explode(pair)
+    return written(dealt.select("key", part.alias("part"), "uid", "label", "n"), "blocks")
+
+
+def _large_family_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of families above a block: most by a few keys of each set, then all keys whose sets are not connected yet."""
+    nth = F.row_number().over(Window.partitionBy("uid").orderBy("key"))
+    first = members.withColumn("nth", nth).where(F.col("nth") <= FIRST_KEYS).drop("nth")
+    links = written(_linked(_key_blocks(first.withColumn("label", F.col("uid")), whole=False), sets), "links")
+    labels = components(links).withColumnRenamed("v", "uid")
+    every = members.join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    return links.unionByName(_linked(_key_blocks(every, whole=True), sets))
 
 
 def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -445,16 +465,19 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     copies = base.where("n > 0").join(speakers, ["n", "s1", "s2"]).where("uid <> speaker").select(F.col("uid").alias("a"), F.col("speaker").alias("b"))
     sets = known.where("keys IS NOT NULL").select("uid", "n", "grams", "keys")
     sets = sets.join(speakers.select(F.col("speaker").alias("uid")), "uid", "left_semi")
-    first = sets.select(F.explode(F.slice("keys", 1, FIRST_KEYS)).alias("key"), "uid", "n", F.col("uid").alias("label"))
-    links = written(_block_rows(first, sets, whole=False), "links")
-    labels = components(links)
-    every = (
-        sets.select(F.explode("keys").alias("key"), "uid", "n")
-        .join(labels.withColumnRenamed("v", "uid"), "uid", "left")
-        .withColumn("label", F.coalesce("label", "uid"))
-    )
-    more = _block_rows(every, sets, whole=True)
-    final = components(links.unionByName(more).unionByName(copies))
+    members = written(sets.select(F.explode("keys").alias("key"), "uid", "n"), "prefix-keys")
+    # Sets that share keys, directly or through others, are a family. One that fits is a single block.
+    hubs = members.groupBy("key").agg(F.min("uid").alias("b"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    families = components(members.join(hubs, "key").select(F.col("uid").alias("a"), "b"))
+    grouped = sets.select("uid", "n").join(families.withColumnRenamed("v", "uid"), "uid")
+    sizes = grouped.groupBy("label").agg(F.sum("n").alias("grams"))
+    fits = written(grouped.join(sizes, "label").withColumn("fits", F.col("grams") <= BLOCK_GRAMS), "families")
+    small = fits.where("fits").select(F.col("label").alias("key"), F.lit(0).cast("long").alias("part"), "uid", F.col("uid").alias("label"), "n")
+    links = written(_linked(small, sets), "links")
+    large = members.join(fits.where("NOT fits").select("uid"), "uid", "left_semi")
+    if large.limit(1).count():
+        links = links.unionByName(_large_family_links(large, sets))
+    final = components(links.unionByName(copies))
     labelled = base.join(final.withColumnRenamed("v", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     smallest = labelled.groupBy("label").agg(
         F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid")))["uid"].alias("first")
