@@ -9,9 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text turned into arrays at once; a longer text stands alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 # Bytes of text whose words a task holds at once.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
