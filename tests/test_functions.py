@@ -108,3 +108,10 @@ def test_as_of_default_is_newest(spark):
     )
     assert rows(df.select(dates.as_of(df, "t")).distinct()) == [(datetime(2024, 1, 3),)]
     assert df.select(dates.as_of(df, "t", "2020-01-01")).first()[0] == datetime(2020, 1, 1)
+
+
+def test_units_are_exact_or_an_error(spark):
+    assert one(spark, numbers.units(F.col("x")), x=90071992547409.0) == 9007199254740900
+    assert one(spark, numbers.units(F.col("x")), x=-1.005) == -100
+    with pytest.raises(Exception, match="too large"):
+        one(spark, numbers.units(F.col("x")), x=1e15)

@@ -3,7 +3,7 @@
 Money is added up as whole smallest units in 64-bit integers. That is exact, so
 a total does not depend on the order of the rows, and it stays in primitive
 arithmetic where wide decimals would not. ANSI mode turns an overflow into an
-error. One amount must stay below 2**53 units.
+error, and so is one amount of 2**53 units or more, which would not be exact.
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ def net_line(quantity: Column, discount: Column, price: Column) -> Column:
 
 
 def units(amount: Column, places: int = 2) -> Column:
-    """An amount as a whole number of its smallest units."""
-    return F.floor(amount.cast("double") * float(10**places) + 0.5)
+    """An amount as a whole number of its smallest units; too large a one fails the job."""
+    scaled = amount.cast("double") * float(10**places) + 0.5
+    inexact = F.raise_error(F.lit("amount too large to add exactly")).cast("bigint")
+    return F.when(F.abs(scaled) >= float(2**53), inexact).otherwise(F.floor(scaled))
 
 
 def coarser(whole: Column, dropped: int = 2) -> Column:
