@@ -17,10 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.words import slices
+
 # Characters split at once and pieces kept in a task: bounds of memory, not of the result.
-BATCH_CHARS = 4_000_000
-PIECES_KEPT = 600_000
-PIECES_ASKED = 100_000
+BATCH_CHARS = 2_000_000
+PIECES_KEPT = 400_000
+PIECES_ASKED = 25_000
 # Longer pieces keep only their last state, shorter ones all states up to the fixpoint.
 SHORT = 64
 
@@ -77,7 +79,7 @@ class _Tokenizer:
         self.ids: dict[str, bytes] = {}
         self.texts: dict[str, bytes] = {}
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         merges = [
             (ranks[token[:i]] << 32 | ranks[token[i:]], rank)
             for token, rank in ranks.items()
@@ -177,7 +179,7 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _Tokenizer.of_worker(ranks, pattern)
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, 1)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for start, end in _groups(texts):
                 ids, back = tokenizer.round_trips(texts[start:end])

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.words import slices
+
 LINES = 3
 
 
@@ -80,7 +82,7 @@ def _without(at: int):
     """Rows whose text column, at a position, loses the lines of the last column, which goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, at)):
             columns, gone = batch.columns[:-1], batch.columns[-1]
             texts = columns[at].to_pylist()
             for i in np.flatnonzero(gone.is_valid().to_numpy(zero_copy_only=False)):

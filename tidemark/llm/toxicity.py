@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.words import chunks, mixed, word_bounds, word_hashes
+from tidemark.llm.words import chunks, mixed, slices, word_bounds, word_hashes
 
 # Labelled rows of each class the model is fitted on, taken in the order of a hash of their key.
 SAMPLE_ROWS = 10_000
@@ -55,7 +55,7 @@ def _keys(word: str) -> list[str]:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
     """Slices of the batches with the words of their last column; null has none."""
-    for batch in batches:
+    for batch in (part for b in batches for part in slices(b, b.num_columns - 1)):
         texts = batch.column(batch.num_columns - 1).to_pylist()
         start = size = 0
         for i, text in enumerate(texts):
