@@ -8,6 +8,10 @@ from tidemark.llm import decontaminate, jaccard_join, line_dedup, queries, toxic
 from tidemark.llm.common import table, written
 
 
+# Workers have served four stages before they encode: they keep fewer pieces.
+PIECES_KEPT = 150_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model calls toxic go; the prior counts the stage's documents."""
     model = toxicity.fit(docs, queries.toxicity_labels(spark, sf_dir))
@@ -34,7 +38,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of each document's ids and of the bytes they decode to."""
-    return queries.token_digests(docs)
+    return queries.token_digests(docs, PIECES_KEPT)
 
 
 STAGES = [

@@ -78,6 +78,7 @@ class _Tokenizer:
         self.ranks = ranks
         self.ids: dict[str, bytes] = {}
         self.texts: dict[str, bytes] = {}
+        self.kept = PIECES_KEPT
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         merges = [
@@ -134,7 +135,7 @@ class _Tokenizer:
 
     def round_trips(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Ids and decoded bytes of short texts, learnt together, or of one long text."""
-        if len(self.ids) > PIECES_KEPT:
+        if len(self.ids) > self.kept:
             self.ids.clear()
             self.texts.clear()
         ids, back = [], []
@@ -168,17 +169,21 @@ def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id: str = "doc_id", text: str = "text", pieces_kept: int = PIECES_KEPT
+) -> DataFrame:
     """Per row: key, ``ids`` (little-endian unsigned 32-bit integers) and ``decoded``, the bytes these ids stand for.
 
     Each match of the pattern is encoded on its own, without special tokens. A
     null or empty text has no ids. Texts are encoded whole; repeated rows are
-    repeated in the result, other columns are left out.
+    repeated in the result, other columns are left out. ``pieces_kept`` bounds
+    the memory of a worker, not the result.
     """
     schema = docs.select(doc_id).schema.add("ids", "binary").add("decoded", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _Tokenizer.of_worker(ranks, pattern)
+        tokenizer.kept = pieces_kept
         for batch in (part for b in batches for part in slices(b, 1)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for start, end in _groups(texts):

@@ -59,12 +59,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
+def token_digests(docs: DataFrame, pieces_kept: int = bpe.PIECES_KEPT) -> DataFrame:
     """Token count and digests of the ids and of the decoded bytes of each document."""
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN, pieces_kept=pieces_kept).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
