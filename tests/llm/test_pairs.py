@@ -65,6 +65,27 @@ def test_join_with_small_blocks_keeps_every_link(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_components(docs).collect()} == want
 
 
+def test_join_of_a_table_delivered_twice_keeps_every_link(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = []
+    for family in range(6):  # families of different texts that share a few passages, each with its near copies
+        base = [f"f{family}w{i}" for i in range(120)]
+        for i in range(20):
+            text = list(base)
+            for place in rng.sample(range(120), rng.randrange(0, 12)):
+                text[place] = f"e{family}x{i}x{place}"
+            rows.append((family * 100 + i, " ".join([f"p{family % 2}q{k}" for k in range(10)] + text)))
+    for name, value in (("BLOCK_GRAMS", 1500), ("TASK_GRAMS", 3000), ("BUCKET_BYTES", 5000), ("FREQUENT", 8)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    want = {key[0]: value for key, value in brute_components(rows).items()}
+    again = list(rows)
+    rng.shuffle(again)
+    once, twice = (spark.createDataFrame(r, "doc_id long, text string").repartition(n) for r, n in ((rows, 3), (again, 4)))
+    found = jaccard_join.link_components(once.unionByName(twice)).collect()
+    assert len(found) == 2 * len(rows)
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in found} == {(i, *value) for i, value in want.items()}
+
+
 def test_one_document_of_each_component_stays(spark):
     docs = documents(spark)
     kept = jaccard_join.one_of_each(docs)

@@ -73,7 +73,7 @@ def gram_sets(texts: pa.Array, words: int = WORDS) -> Iterator[tuple[int, np.nda
 
 _SETS = "bucket int, slice long, base boolean, docs binary, grams binary, more binary"
 _SHARED = "slice long, base boolean, docs binary, grams binary, more binary"
-_KNOWN = "uid long, doc_id long, n long, s1 long, s2 long, grams array<long>, keys array<long>"
+_KNOWN = "slice long, uid long, doc_id long, n long, s1 long, s2 long, grams array<long>, keys array<long>"
 
 
 def _deltas(values: np.ndarray) -> bytes:
@@ -225,6 +225,7 @@ def _prefixes(table: pa.Table) -> pa.Table:
             gram.append(np.frombuffer(grams, np.int64))
             row.append(_places(docs, len(gram[-1])).astype(np.uint32))
     uid, n = base[0][0][:, 0], base[0][0][:, 1]  # equal slices have equal documents
+    here = table.column("slice")[0].as_py()
     row, gram = np.concatenate(row), np.concatenate(gram)
     order = np.lexsort((gram, row))
     row, gram = row[order], gram[order]
@@ -242,12 +243,12 @@ def _prefixes(table: pa.Table) -> pa.Table:
     keys = np.minimum(reach[can], counts[can])
     longs, none = pa.int64(), pa.list_(pa.int64())
     out = [
-        pa.table({"uid": b[:, 0], "doc_id": ids, "n": b[:, 1], "s1": b[:, 2], "s2": b[:, 3], "grams": pa.nulls(len(b), none), "keys": pa.nulls(len(b), none)})
+        pa.table({"slice": np.full(len(b), here), "uid": b[:, 0], "doc_id": ids, "n": b[:, 1], "s1": b[:, 2], "s2": b[:, 3], "grams": pa.nulls(len(b), none), "keys": pa.nulls(len(b), none)})
         for b, ids in base
     ]
     out.append(
         pa.table({
-            "uid": uid[of[can]], "doc_id": pa.nulls(len(can), longs), "n": n[of[can]], "s1": pa.nulls(len(can), longs), "s2": pa.nulls(len(can), longs),
+            "slice": np.full(len(can), here), "uid": uid[of[can]], "doc_id": pa.nulls(len(can), longs), "n": n[of[can]], "s1": pa.nulls(len(can), longs), "s2": pa.nulls(len(can), longs),
             "grams": _lists(gram[kept], np.cumsum(counts[can]) - counts[can]), "keys": _lists(gram[kept & key], np.cumsum(keys) - keys),
         })
     )
@@ -461,10 +462,17 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     shared = source.mapInArrow(_sets(buckets), _SETS).groupBy("bucket").applyInArrow(_shared, _SHARED)
     known = written(shared.groupBy("slice").applyInArrow(_prefixes, _KNOWN), "sets")
     base = known.where("keys IS NULL").select("uid", "doc_id", "n", "s1", "s2")
-    speakers = base.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("uid").alias("speaker"))
-    copies = base.where("n > 0").join(speakers, ["n", "s1", "s2"]).where("uid <> speaker").select(F.col("uid").alias("a"), F.col("speaker").alias("b"))
-    sets = known.where("keys IS NOT NULL").select("uid", "n", "grams", "keys")
-    sets = sets.join(speakers.select(F.col("speaker").alias("uid")), "uid", "left_semi")
+    # A row that several slices hold has its set from each of them; that of one slice counts.
+    least = F.min(F.struct("uid", "slice"))
+    speakers = (
+        known.where("keys IS NULL AND n > 0")
+        .groupBy("n", "s1", "s2")
+        .agg(least.alias("least"))
+        .select("n", "s1", "s2", F.col("least.uid").alias("speaker"), F.col("least.slice").alias("slice"))
+    )
+    copies = base.where("n > 0").join(speakers.drop("slice"), ["n", "s1", "s2"]).where("uid <> speaker").select(F.col("uid").alias("a"), F.col("speaker").alias("b"))
+    sets = known.where("keys IS NOT NULL").select("slice", "uid", "n", "grams", "keys")
+    sets = sets.join(speakers.select(F.col("speaker").alias("uid"), "slice"), ["uid", "slice"], "left_semi").drop("slice")
     members = written(sets.select(F.explode("keys").alias("key"), "uid", "n"), "prefix-keys")
     # Sets that share keys, directly or through others, are a family. One that fits is a single block.
     hubs = members.groupBy("key").agg(F.min("uid").alias("b"), F.count(F.lit(1)).alias("size")).where("size > 1")
