@@ -124,6 +124,20 @@ def test_host_boilerplate_goes_from_pages_without_article(spark):
     assert html_text.extract(empty(spark, "page_id long, url string, html string")).collect() == []
 
 
+def test_host_boilerplate_goes_from_inside_articles(spark):
+    notice = "Sign up today for all of our daily letters"
+    page = "<body><article><p>{0}</p><p>" + notice + "</p><p>{1} " + notice + "</p></article></body>"
+    rows = [(i, "https://h.example/p", page.format(f"Story {i} " + " ".join(words(i, 30)), f"Second part with end{i}")) for i in range(8)]
+    few = "a sentence that only four of the articles have in common"
+    rows += [(20 + i, "https://k.example/p", f"<article><p>Other story {i} {i} {i}</p><p>{few if i < 4 else i}</p></article>") for i in range(7)]
+    rows += [(40 + i, "https://c.example/p", "<article><p>one and the same copy of an article</p></article>") for i in range(9)]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    text = {r.page_id: r.text for r in found}
+    assert all(text[i] == f"Story {i} {' '.join(words(i, 30))}\nSecond part with end{i}" for i in range(8))
+    assert all(text[20 + i] == f"Other story {i} {i} {i}\n{few if i < 4 else i}" for i in range(7))
+    assert {text[40 + i] for i in range(9)} == {"one and the same copy of an article"}
+
+
 def test_suffix_order_by_depth():
     order, common = html_text.suffix_order(np.array([1, 2, 3, -1, 1, 2, 3, -2]), 3)
     at = [i for i in range(1, 8) if common[i]]

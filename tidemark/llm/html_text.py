@@ -2,9 +2,9 @@
 
 A page is cut into blocks. The article or main element holds the text if there
 is one; blocks of menus, forms, notices and the like go by their elements. Token
-streams of what lies outside the article are concatenated per host and their
-suffixes sorted: runs that many distinct pages of the host share are its
-boilerplate, and blocks that such runs cover go from every page.
+streams of whole pages are concatenated per host and their suffixes sorted: runs
+that many distinct pages of the host share are its boilerplate, and their words
+go from every page, inside articles too.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql.types import ArrayType, StringType
 RUN_WORDS = 6
 PAGE_SHARE = 0.5
 LEAST_PAGES = 3
+# Distinct pages that hold a run inside articles too; fewer articles may have a sentence in common.
+LEAST_ARTICLES = 5
 # Pages of one suffix array; hosts with more are split by a hash and their counts added up.
 PAGES_SORTED = 1000
 # Boilerplate runs of all hosts up to which they are broadcast (16 bytes each); more are joined by host.
@@ -178,15 +180,14 @@ def _number(words: list[str]) -> int:
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page with text outside its article: host and that text, a block per line."""
+    """Per page with text: host and its text, a block per line after its place."""
     for batch in batches:
         hosts, texts = [], []
         for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = blocks(page or "")
-            outside = [b for b, place, _ in found if place < 2]
-            if outside:
+            if found:
                 hosts.append(name)
-                texts.append("\n".join(outside))
+                texts.append("\n".join(f"{place}{block}" for block, place, _ in found))
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(texts, pa.string())], ["host", "stream"])
 
 
@@ -211,44 +212,70 @@ def suffix_order(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Runs that several pages of a group share: host, run, pages."""
-    name, found = table.column("host")[0].as_py(), {}
-    words, pages, tokens, ids = [], [], [], {}
-    for page, stream in enumerate(table.column("stream").to_pylist()):
+    """Runs that several distinct pages of a group share: host, run, pages, pages that hold it outside articles.
+
+    The row without a run has the distinct pages of the group.
+    """
+    name, found = table.column("host")[0].as_py(), []
+    words, pages, outside, ids = [], [], [], {}
+    streams = table.column("stream").unique().to_pylist()
+    for page, stream in enumerate(streams):
         for line in stream.split("\n"):
-            own = line.split()
+            own = line[1:].split()
             # A block shorter than a run is filled up, so that it matches as a whole; a break no other block has follows.
             filled = own + [""] * (RUN_WORDS - len(own))
             words.extend([*filled, None])
-            pages.extend([page] * (len(filled) + 1))
-    for i, word in enumerate(words):
-        tokens.append(-1 - i if word is None else ids.setdefault(word, len(ids)))
-    order, common = suffix_order(np.array(tokens, np.int64), RUN_WORDS)
-    owner = np.array(pages)[order]
-    opens = np.flatnonzero(common < RUN_WORDS)
-    for first, end in zip(opens, np.append(opens[1:], len(order)), strict=True):
-        if end - first > 1 and (support := len(np.unique(owner[first:end]))) > 1:
-            run = [w for w in words[order[first] : order[first] + RUN_WORDS] if w]
-            found[_number(run)] = support
-    return pa.table({"host": pa.array([name] * len(found), pa.string()), "run": pa.array(found, pa.int64()), "pages": pa.array(found.values(), pa.int64())})
+            pages.append((page, len(filled) + 1))
+            outside.append(line[0] != "2")
+    tokens = np.array([-1 if word is None else ids.setdefault(word, len(ids)) for word in words], np.int64)
+    breaks = np.flatnonzero(tokens < 0)
+    tokens[breaks] = -1 - breaks
+    order, common = suffix_order(tokens, RUN_WORDS)
+    number, length = np.array(pages, np.int64).T
+    owner, out = np.repeat(number, length)[order], np.repeat(np.array(outside), length)[order]
+    # Suffixes of one run are in page order: a page counts at its first one.
+    opens = common < RUN_WORDS
+    group = np.cumsum(opens) - 1
+    new = opens | (owner != np.append(-1, owner[:-1]))
+    support = np.bincount(group[new])
+    apart, at = owner[out], group[out]
+    first = np.append(True, (apart[1:] != apart[:-1]) | (at[1:] != at[:-1]))[: len(at)]
+    beside = np.bincount(at[first], minlength=len(support))
+    start = order[np.flatnonzero(opens)]
+    for k in np.flatnonzero(support > 1).tolist():
+        run = [w for w in words[start[k] : start[k] + RUN_WORDS] if w]
+        found.append((_number(run), int(support[k]), int(beside[k])))
+    found.append((None, len(streams), 0))
+    runs, many, beside = zip(*found, strict=True)
+    return pa.table({"host": pa.array([name] * len(found), pa.string()), "run": pa.array(runs, pa.int64()), "pages": pa.array(many, pa.int64()), "outside": pa.array(beside, pa.int64())})
 
 
 def host_boilerplate(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """Runs of words that at least half of a host's pages hold outside their articles: ``host``, ``run``.
+    """Runs of words that at least half of a host's distinct pages hold: ``host``, ``run``.
 
-    A host's runs are fewer than twice the words of its mean page.
+    LEAST_PAGES hold it outside their articles, or LEAST_ARTICLES anywhere. Pages of
+    equal blocks are one. A host's runs are fewer than twice the words of its mean page.
     """
+    from tidemark.llm.common import written
+
     known = pages.select(host(F.col(url)).alias("host"), F.col(html))
-    sizes = known.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    parts = F.ceil(F.count(F.lit(1)) / PAGES_SORTED)
+    split = known.groupBy("host").agg(parts.alias("parts")).where("parts > 1")  # a row for PAGES_SORTED pages or more
     streams = known.mapInArrow(_streams, "host string, stream string")
-    parts = F.ceil(F.col("host_pages") / PAGES_SORTED)
-    dealt = streams.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("stream", F.monotonically_increasing_id()), parts))
-    found = dealt.select("host", "part", "stream").groupBy("host", "part").applyInArrow(_repeated, "host string, run long, pages long")
+    # Equal pages of a host meet in one part.
+    part = F.pmod(F.xxhash64("stream"), F.coalesce("parts", F.lit(1)))
+    dealt = streams.join(F.broadcast(split), "host", "left").select("host", part.alias("part"), "stream")
+    found = written(dealt.groupBy("host", "part").applyInArrow(_repeated, "host string, run long, pages long, outside long"), "runs")
+    sizes = found.where("run IS NULL").groupBy("host").agg(F.sum("pages").alias("host_pages"))
+    half = PAGE_SHARE * F.col("host_pages")
+    inside = (F.col("pages") >= LEAST_ARTICLES) & (F.col("pages") >= half)
     return (
-        found.groupBy("host", "run")
-        .agg(F.sum("pages").alias("pages"))
+        found.where("run IS NOT NULL")
+        .groupBy("host", "run")
+        .agg(F.sum("pages").alias("pages"), F.sum("outside").alias("outside"))
+        .where(F.col("pages") >= LEAST_PAGES)
         .join(sizes, "host")
-        .where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= PAGE_SHARE * F.col("host_pages")))
+        .where(inside | (F.col("outside") >= LEAST_PAGES) & (F.col("outside") >= half))
         .select("host", "run")
     )
 
@@ -258,8 +285,9 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
 
     A null or empty html gives an empty text. Pages without a host are one host.
     In a page without article or main element, all blocks count that are not
-    beside it, mostly links or host boilerplate. Inside an article only blocks of
-    a whole run or more can be boilerplate. Repeated rows are repeated.
+    beside it, mostly links or host boilerplate. Inside an article only runs of
+    RUN_WORDS words or more can be boilerplate; an article of nothing else stays
+    as it is. Repeated rows are repeated.
     """
     from tidemark.llm.common import written
 
@@ -293,23 +321,20 @@ def _extracted(page_id: str, url: str):
 
 def _kept(found: list[tuple[str, int, bool]], boilerplate: frozenset) -> list[str]:
     place = 2 if any(p == 2 for _, p, _ in found) else 1
-    out = []
-    for block, own, links in found:
-        if own != place or place == 1 and links:
-            continue
-        words = block.split() if boilerplate else []
-        if boilerplate and (place == 1 or len(words) >= RUN_WORDS) and _covered(words, boilerplate):
-            continue
-        out.append(block)
-    return out
-
-
-def _covered(words: list[str], boilerplate: frozenset) -> bool:
-    """Whether runs of boilerplate cover every word."""
-    reach = 0
-    for i, run in enumerate(_runs(words)):
-        if run in boilerplate:
-            reach = i + RUN_WORDS
-        elif i >= reach:
-            return False
-    return reach >= len(words)
+    own = [b for b, p, links in found if p == place and not (place == 1 and links)]
+    if not boilerplate:
+        return own
+    out = [left for b in own if (left := _left(b, boilerplate, place))]
+    return out if out or place == 1 else own
+
+
+def _left(block: str, boilerplate: frozenset, place: int) -> str:
+    """The block without the words of its boilerplate runs."""
+    words = block.split()
+    if place == 2 and len(words) < RUN_WORDS:
+        return block
+    hits = [i for i, run in enumerate(_runs(words)) if run in boilerplate]
+    if not hits:
+        return block
+    gone = {k for i in hits for k in range(i, i + RUN_WORDS)}
+    return " ".join(w for k, w in enumerate(words) if k not in gone)
