@@ -124,6 +124,29 @@ def test_host_boilerplate_goes_from_pages_without_article(spark):
     assert html_text.extract(empty(spark, "page_id long, url string, html string")).collect() == []
 
 
+LONG = "a long text of the page that is more than any of the others are"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article><p>{LONG}</p></article><section class='comments'><article>First!</article><article>{LONG} {LONG}</article></section>", [LONG]),
+    (f"<article>{LONG}</article><ul><li class='comment'><article class='comment-body'>{LONG} {LONG}</article></ul>", [LONG]),
+    (f"<article>{LONG}<div class='comments'><article>First!</article></div><p>end</p></article>", [LONG, "end"]),
+    (f"<article>{LONG}</article><article class='comment'>First!</article>", [LONG]),
+    (f"<div><p>{LONG}</p></div><section class='related'><article>One teaser</article><article>Two</article></section>", [LONG]),
+    (f"<div><p>{LONG}</p></div><div><article>One teaser</article><article>Two</article></div>", [LONG]),
+    (f"<div class='related'><article>Teaser</article></div><article>{LONG}</article>", [LONG]),
+    (f"<div class='sidebar'><article>{LONG}<p class='share'>no</p></article></div><p>o</p>", [LONG]),
+    (f"<div class='sidebar'><main><h1>T</h1><article>{LONG}</article></main></div><div class='comments'><article>{LONG} {LONG}</article></div>", ["T", LONG]),
+    (f"<article class='post category-social'>{LONG}</article><div class='comments'><article>{LONG} {LONG}</article></div>", [LONG]),
+    (f"<article class='post category-social'>{LONG}</article><p>o</p>", [LONG]),
+    (f"<p>intro</p><article>{LONG}</article><article>{LONG} two</article>", [LONG, f"{LONG} two"]),
+    (f"<main><article>{LONG}</article><section id='comments'><article>No</article></section></main>", [LONG]),
+    (f"<main><p>{LONG}</p><section id='comments'><article>{LONG} {LONG}</article></section></main>", [LONG]),
+])
+def test_comments_and_teasers_are_no_article(page, want):
+    assert html_text._kept(html_text.blocks(page), frozenset()) == want
+
+
 def test_host_boilerplate_goes_from_inside_articles(spark):
     notice = "Sign up today for all of our daily letters"
     page = "<body><article><p>{0}</p><p>" + notice + "</p><p>{1} " + notice + "</p></article></body>"

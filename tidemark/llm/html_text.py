@@ -54,6 +54,7 @@ _TAG = re.compile(
     re.S,
 )
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TOPIC = re.compile(r"\b(?:category|tag)-[\w-]+")  # of an article, not its part in the page
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 
 
@@ -77,6 +78,10 @@ def _beside(attributes: str) -> bool:
 def blocks(page: str) -> list[tuple[str, int, bool]]:
     """Text blocks in page order: text, place (2 inside article or main, 1 elsewhere, 0 beside it), and mostly links.
 
+    An article that its own attributes or a hint around it call something else is
+    doubtful. The page's largest one counts, if it is longer than the text outside
+    and neither nested in another article nor after one; other doubtful ones are
+    beside the text. Several articles shorter than the text outside are teasers.
     White space inside a block is one space. An element that is never closed
     ends with the element around it; markup that ends inside a tag is text no more.
     """
@@ -85,6 +90,10 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
     linked = 0
     opened: list[tuple[str, int]] = []  # open elements that matter, and what they open: 1 beside, 2 main, 3 link
     state = [0, 0, 0, 0]  # elements open of each kind
+    articles: list[tuple[str, bool, bool]] = [("", False, False)]  # element, whether doubtful, whether another is around or before it
+    inside: list[int] = []  # article of each block, 0 for none
+    own = 0  # article that is open
+    held: dict[int, tuple[int, int]] = {}  # by place in opened: hints around an article, without effect in it, and the article around it
     at = 0
 
     def end_block() -> None:
@@ -99,6 +108,7 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
                 joined = " ".join(words)
                 place = 0 if state[1] else 2 if state[2] else 1
                 out.append((joined, place, linked * 2 > len(joined)))
+                inside.append(own if place == 2 else 0)
         linked = 0
 
     def add(piece: str) -> None:
@@ -142,18 +152,24 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
         if closing:
             for i in range(len(opened) - 1, -1, -1):
                 if opened[i][0] == name:
-                    for _, kind in opened[i:]:
-                        state[kind] -= 1
+                    for k in range(len(opened) - 1, i - 1, -1):
+                        state[opened[k][1]] -= 1
+                        if k in held:
+                            hints, own = held.pop(k)
+                            state[1] += hints
                     del opened[i:]
                     break
             continue
         kind = 0
         if name in ("article", "main"):
             kind = 2
-            if state[1] and not any(k == 1 and n in _BESIDE for n, k in opened):  # a hint around an article misleads
-                opened = [(n, 0 if k == 1 else k) for n, k in opened]
-                state[0] += state[1]
-                state[1] = 0
+            if not (state[1] and any(k == 1 and n in _BESIDE for n, k in opened)):
+                doubt = state[1] > 0 or name == "article" and _beside(_TOPIC.sub("", attributes))
+                if doubt or not own:
+                    held[len(opened)] = state[1], own
+                    state[1] = 0
+                    articles.append((name, doubt, own > 0 or any(n == "main" or not doubtful for n, doubtful, _ in articles[1:])))
+                    own = len(articles) - 1
         elif name == "a":
             kind = 3
         elif name in _BESIDE or name == "header" and not state[2] or attributes and name not in ("html", "body") and _beside(attributes):
@@ -164,7 +180,27 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
             opened.append((name, kind))
             state[kind] += 1
     end_block()
-    return out
+    return _placed(out, inside, articles)
+
+
+def _placed(found: list[tuple[str, int, bool]], inside: list[int], articles: list[tuple[str, bool, bool]]) -> list[tuple[str, int, bool]]:
+    """The blocks, those of doubtful articles and of teasers beside the text."""
+    sizes = [0] * len(articles)
+    for (block, place, links), k in zip(found, inside, strict=True):
+        if k or place == 1 and not links:
+            sizes[k] += len(block)
+    sure = [k for k in range(1, len(articles)) if not articles[k][1]]
+    gone = {k for k in range(1, len(articles)) if articles[k][1]}
+    if gone:
+        first = [k for k in gone if not articles[k][2]]
+        largest = max(first + sure, key=sizes.__getitem__, default=0)
+        if sizes[largest] > sizes[0]:
+            gone.discard(largest)
+    if len(sure) > 1 and all(articles[k][0] == "article" for k in sure) and sum(sizes[k] for k in sure) < sizes[0]:
+        gone.update(sure)
+    if not gone:
+        return found
+    return [(block, 0 if k in gone else place, links) for (block, place, links), k in zip(found, inside, strict=True)]
 
 
 def _runs(words: list[str]) -> list[int]:
