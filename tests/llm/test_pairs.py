@@ -154,6 +154,20 @@ def test_random_overlaps_equal_brute_force(spark):
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute_removed(rows)
 
 
+def test_anchors_spread_over_many_tasks_are_not_sorted_at_once(spark, monkeypatch):
+    rng = random.Random(21)
+    phrase = "a phrase of two dozen let"
+    pool = ["".join(rng.choice("abcdé ") for _ in range(40)) for _ in range(8)]
+    rows = [(i, rng.choice(pool) + f"{i % 9}" + phrase + rng.choice(pool) + rng.choice(pool)) for i in range(80)]
+    by_window, used = suffix_dedup._by_window, []
+    monkeypatch.setattr(suffix_dedup, "SORTED_SEGMENTS", 3)
+    monkeypatch.setattr(suffix_dedup, "_by_window", lambda strings: used.append(1) or by_window(strings))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(20)
+    found = suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_removed(rows)
+    assert used
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.remove_repeats(empty(spark)).collect() == []
 

@@ -28,6 +28,8 @@ BUCKET_BYTES = 24_000_000
 SORTED_BYTES = 1_000_000
 # An anchor with this many different segments in a task and in all is cut into single windows.
 HOT_IN_TASK, HOT = 64, 500_000
+# Different segments of an anchor up to which their suffixes are sorted in one task; windows of more are settled by hash.
+SORTED_SEGMENTS = 20_000
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -316,6 +318,36 @@ def _compared(table: pa.Table) -> pa.Table:
     return pa.table({"doc": doc[some], "segment": table.column("segment").to_numpy()[some], "mask": masks[some], "anchor": np.zeros(len(some), np.int64)})
 
 
+_WINDOWS = "window long, doc long, segment long, place int"
+
+
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash of each window of the segments."""
+    for batch in (part for b in batches for part in slices(b, 3)):
+        sizes = np.array([len(s) for s in batch.column(3).to_pylist()], np.int64)
+        if not len(sizes):
+            continue
+        text = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8)
+        windows = sizes - SPAN + 1
+        owner = np.repeat(np.arange(len(sizes)), windows)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        start = (np.cumsum(sizes) - sizes)[owner] + place
+        h32, _ = _windowed(text)
+        with np.errstate(over="ignore"):
+            window = mixed(h32[start] * np.uint64(0xA0761D6478BD642F) + h32[start + SPAN - 32] * np.uint64(0xE7037ED1A0B428DB))
+        doc, segment = (batch.column(c).to_numpy()[owner] for c in (2, 1))
+        yield _table(_WINDOWS, window.view(np.int64), doc, segment, place.astype(np.int32))
+
+
+def _by_window(strings: DataFrame) -> DataFrame:
+    """What _compared gives, for segments of any number: each window by its hash and smallest document."""
+    windows = written(strings.mapInArrow(_single, _WINDOWS), "windows")
+    least = windows.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    gone = windows.join(least, "window").where("doc > least")
+    mask = F.expr("bit_or(shiftleft(1L, place))")
+    return gone.groupBy("doc", "segment").agg(mask.alias("mask")).select("doc", "segment", "mask", F.lit(0).cast("long").alias("anchor"))
+
+
 def _kept(hot: np.ndarray, doc_id: str, schema_names: list[str]):
     """What is left of each text."""
 
@@ -380,11 +412,24 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     hot = np.array(sorted(r["anchor"] for r in crowded.where(F.col("n") >= HOT).collect()), np.uint64)
     entries = known.mapInArrow(_hashed(buckets, hot), _ENTRIES)
     settled = written(entries.groupBy("bucket").applyInArrow(_settled, _ANSWERS), "segments")
-    asked = settled.where("mask = 0").groupBy("doc").agg(F.collect_list(F.struct("segment", "anchor")).alias("asked"))
-    strings = known.join(asked, "doc").select("doc", "text", "asked").mapInArrow(_fetched(hot), _STRINGS)
-    unsure = settled.where("mask = 0").count()
+    unsettled = settled.where("mask = 0")
+
+    def fetched(wanted: DataFrame) -> DataFrame:
+        asked = wanted.groupBy("doc").agg(F.collect_list(F.struct("segment", "anchor")).alias("asked"))
+        return known.join(asked, "doc").select("doc", "text", "asked").mapInArrow(_fetched(hot), _STRINGS)
+
+    # Each large anchor has more than SORTED_SEGMENTS segments, so they are few.
+    large = [r["anchor"] for r in unsettled.groupBy("anchor").count().where(F.col("count") > SORTED_SEGMENTS).collect()]
+    sorted_, single = unsettled, None
+    if large:
+        many = F.broadcast(docs.sparkSession.createDataFrame([(a,) for a in large], "anchor long"))
+        sorted_, single = unsettled.join(many, "anchor", "left_anti"), unsettled.join(many, "anchor", "left_semi")
+    strings = fetched(sorted_)
+    unsure = sorted_.count()
     arrays = max(1, -(-unsure * 64 // SORTED_BYTES))
     compared = strings.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(arrays)).alias("array")).applyInArrow(_compared, _ANSWERS)
+    if single is not None:
+        compared = compared.unionByName(_by_window(fetched(single)))
     answers = (
         settled.where("mask <> 0")
         .unionByName(compared)
