@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from tidemark.session import scratch_path
@@ -24,6 +25,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fields_and(df: DataFrame, ddl: str) -> StructType:
+    """The fields of ``df`` and those of a DDL text, as a schema."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case; every other character stays."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

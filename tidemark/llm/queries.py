@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, html_text, jaccard_join, line_dedup, quality, sharding, suffix_dedup, topk, toxicity
+from tidemark.llm import bpe, chat_format, decontaminate, fill_middle, html_text, jaccard_join, line_dedup, quality, sharding, suffix_dedup, topk, toxicity, whitening
 from tidemark.llm.common import table
 
 
@@ -109,9 +109,38 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An exact deviation beyond a long fails the query; the operator itself gives a decimal."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), 8)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+# The conversation that the query adds to the table: its texts are made of the template's own marks.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, k, role, CONTROL_TEXT) for k, role in enumerate(("user", "assistant"))], rows.schema)
+    return chat_format.digests(chat_format.format_conversations(rows.unionByName(added)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f for f in (op1_jaccard_join, op2_suffix_dedup, op3_decontaminate, op4_html_text, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality)
+        f.__name__: f for f in (op1_jaccard_join, op2_suffix_dedup, op3_decontaminate, op4_html_text, op5_topk, op6_sharding, op7_bpe, op8_line_dedup, op9_toxicity, op10_quality, op11_fill_middle, op12_whitening, op13_chat_format)
     }
 
 
@@ -155,5 +184,36 @@ FROM l LEFT JOIN gone USING (doc_id)
 """
 
 
+_OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+                  sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS r FROM d),
+c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 50 THEN 'plain'
+                  WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT doc_id, n, t, form, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+_OP13 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length('<s>[INST] ' || ' [/INST]' || chr(10) || '</s>' || chr(10))
+                + length(regexp_replace(role, '(<\\*)(/?s>)|(\[\\*)(/?INST\]|image |audio |document )', '\1\3\\\2\4', 'g'))
+                + length(regexp_replace(text, '(<\\*)(/?s>)|(\[\\*)(/?INST\]|image |audio |document )', '\1\3\\\2\4', 'g')) AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": _OP3, "op5_topk": _OP5, "op8_line_dedup": _OP8}
+    return {"op3_decontaminate": _OP3, "op5_topk": _OP5, "op8_line_dedup": _OP8, "op11_fill_middle": _OP11, "op13_chat_format": _OP13}
