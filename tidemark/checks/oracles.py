@@ -180,6 +180,35 @@ STATE_OUT = f"""BikepointID, Street, Neighbourhood, Latitude, Longitude, No_Bike
 LATEST_FIRST = "PARTITION BY BikepointID ORDER BY EnqueuedTime DESC, EventID DESC"
 
 
+EVENT_COUNTS = f"""WITH {STATIONS}
+SELECT 'Total' AS Label, COUNT(*) AS Count, 1 AS "Order" FROM stations
+UNION ALL
+SELECT 'Last hour', COUNT(*), 2 FROM stations, newest WHERE EnqueuedTime > t - INTERVAL 1 HOUR
+UNION ALL
+SELECT 'Last minute', COUNT(*), 3 FROM stations, newest
+WHERE EnqueuedTime > t - INTERVAL 1 MINUTE"""
+# Events by micro-batch; from the third on, those up to a day before the newest event of the
+# micro-batches before the last one are late. A watermark has whole milliseconds.
+ARRIVALS = (
+    STATIONS
+    + """,
+arrived AS (
+  SELECT *, epoch_us(EnqueuedTime) AS us,
+         CASE WHEN EventID % 5 = 0 THEN EventID * 7919 % {delay} ELSE 0 END AS delayed
+  FROM stations
+),
+steps AS (
+  SELECT *, least(4, ((us - (SELECT MIN(us) FROM arrived)) // 3600000000 + delayed) // 144) AS step
+  FROM arrived
+),
+judged AS (
+  SELECT s.*, (SELECT MAX(us) // 1000 * 1000 - 86400000000 FROM steps e WHERE e.step <= s.step - 2)
+    AS late_until
+  FROM steps s
+)"""
+)
+
+
 def latest(condition: str) -> str:
     return f"""WITH {STATIONS}
 SELECT {STATE_OUT} FROM (
@@ -765,6 +794,7 @@ SELECT DISTINCT BikepointID FROM stations WHERE Street = 'click'""",
             "EnqueuedTime > t - INTERVAL 1 DAY AND Neighbourhood IN ('N1', 'N2')"
         ),
         "station_change_all": change("TRUE") + "\nSELECT * FROM ends",
+        "stream_station_change": change("TRUE") + "\nSELECT * FROM ends",
         "station_change_top10": change("EnqueuedTime > t - INTERVAL 1 DAY")
         + """
 SELECT BikepointID, Neighbourhood, Street, No_Bikes, No_Empty_Docks, Bikes_change
@@ -801,13 +831,8 @@ FROM (
 SELECT {TIME_TEXT.format("date_trunc('day', EnqueuedTime)")} AS day,
        CAST(SUM(No_Bikes) AS BIGINT) AS "countBikes"
 FROM stations GROUP BY 1""",
-        "station_counts": f"""WITH {STATIONS}
-SELECT 'Total' AS Label, COUNT(*) AS Count, 1 AS "Order" FROM stations
-UNION ALL
-SELECT 'Last hour', COUNT(*), 2 FROM stations, newest WHERE EnqueuedTime > t - INTERVAL 1 HOUR
-UNION ALL
-SELECT 'Last minute', COUNT(*), 3 FROM stations, newest
-WHERE EnqueuedTime > t - INTERVAL 1 MINUTE""",
+        "station_counts": EVENT_COUNTS,
+        "stream_counts": EVENT_COUNTS,
         "station_matrix": f"""WITH {STATIONS}
 SELECT Neighbourhood, Street, BikepointID,
        CAST(GROUPING(Neighbourhood) + GROUPING(Street) + GROUPING(BikepointID) AS INTEGER)
@@ -858,4 +883,25 @@ SELECT BikepointID, MAX(No_Empty_Docks) AS docks,
        {TIME_TEXT.format("date_trunc('day', EnqueuedTime)")} AS window_start
 FROM stations GROUP BY BikepointID, date_trunc('day', EnqueuedTime)
 HAVING MAX(No_Empty_Docks) >= 9""",
+        "stream_closed_windows": f"""WITH {ARRIVALS.format(delay=288)}
+SELECT Street, CAST(SUM(No_Bikes) AS DOUBLE) AS "SUM_No_Bikes", COUNT(*) AS n_events,
+       {TIME_TEXT.format('make_timestamp(w)')} AS "Window_End_Time"
+FROM (
+  SELECT Street, No_Bikes, (us // 5000000 + 1) * 5000000 AS w FROM judged
+  WHERE late_until IS NULL OR us > late_until
+)
+WHERE w <= (SELECT MAX(us) // 1000 * 1000 - 86400000000 FROM judged)
+GROUP BY Street, w""",
+        "stream_late_events": f"""WITH {ARRIVALS.format(delay=288)}
+SELECT CAST(step AS INTEGER) AS step, COUNT(*) AS input_rows,
+       COUNT(*) FILTER (us <= late_until) AS late_rows
+FROM judged GROUP BY step""",
+        "stream_broker": f"""WITH {STATIONS}
+SELECT CASE WHEN EventID % 10 <> 0 THEN Street END AS Street, COUNT(*) AS events,
+       CAST(SUM(CASE WHEN EventID % 10 <> 0 THEN No_Bikes END) AS DOUBLE) AS bikes,
+       {TIME_TEXT.format('MAX(EnqueuedTime)')} AS last_arrival
+FROM stations GROUP BY 1""",
+        "table_described": """SELECT * FROM (VALUES
+  ('n_nationkey', 'int'), ('n_name', 'string'), ('n_regionkey', 'int')
+) AS c(col_name, data_type), (SELECT COUNT(*) AS row_count, TRUE AS gone FROM nation)""",
     }

@@ -29,7 +29,7 @@ from tidemark.operators import (
 from tidemark.operators.versions import ChangeLog
 from tidemark.plans import landing, medallion, reports, sales, shop, stations, warehouse
 from tidemark.sources import readers, writers
-from tidemark.streaming import sinks, sources, windows
+from tidemark.streaming import live, progress, sinks, sources, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -576,6 +576,20 @@ def medallion_totals(spark, sf):
     )
 
 
+@query()
+def table_described(spark, sf):
+    """Columns of a table as described, its rows, and that it is gone once dropped."""
+    name = f"{session.scratch_database(spark, 'described')}.nation"
+    writers.managed_table(td.read(spark, sf, "nation"), name)
+    listed = writers.describe(spark, name).select("col_name", "data_type").collect()
+    columns = [tuple(r) for r in listed[: next(i for i, r in enumerate(listed) if not r.col_name)]]
+    rows = spark.table(name).count()
+    writers.drop_table(spark, name)
+    gone = not spark.catalog.tableExists(name)
+    found = spark.createDataFrame(columns, "col_name string, data_type string")
+    return found.select("*", F.lit(rows).cast("bigint").alias("row_count"), F.lit(gone).alias("gone"))
+
+
 # --- shop ------------------------------------------------------------
 
 
@@ -1045,13 +1059,33 @@ def _run(stream_query) -> None:
 # Files of a streamed backlog, one micro-batch each; they come in no order of time.
 BACKLOG_FILES = 4
 ANY_LATENESS = "3650 days"
+_TIMES = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def _backlog(spark: SparkSession, rows: DataFrame, label: str, more: str | None = None) -> DataFrame:
+    """Station events as a stream of JSON line files that takes one at a time."""
+    path = session.scratch_path(spark, label)
+    rows.repartition(BACKLOG_FILES).write.option("timestampFormat", _TIMES).json(path)
+    return sources.station_events(spark, path, more=more)
+
 
+# Days of arrivals in one micro-batch, and the most of them.
+STEP_DAYS, STEPS = 6, 5
+# Every fifth event comes later than it happened, by up to so many hours.
+LONG_DELAY, SHORT_DELAY = 288, 48
 
-def _backlog(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
-    """JSON line files of ``rows`` as a stream that takes one at a time."""
+
+def _arrivals(spark: SparkSession, rows: DataFrame, label: str, delay_hours: int) -> DataFrame:
+    """Station events in the order of arrival, some days of arrivals in each micro-batch."""
     path = session.scratch_path(spark, label)
-    rows.repartition(BACKLOG_FILES).write.json(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).json(path)
+    delay = F.when(F.col("EventID") % 5 == 0, F.col("EventID") * 7919 % delay_hours).otherwise(0)
+    first = rows.agg(F.min(F.unix_micros("EnqueuedTime")).alias("first")).scalar()
+    hours = (F.unix_micros("EnqueuedTime") - first) / 3_600_000_000 + delay
+    step = F.least(F.floor(hours / (24 * STEP_DAYS)), F.lit(STEPS - 1))
+    for k in range(STEPS):  # files are taken by their age
+        files = rows.where(step == k).repartition(1)
+        files.write.mode("append").option("timestampFormat", _TIMES).json(path)
+    return sources.station_events(spark, path, more="EventID bigint")
 
 
 @query()
@@ -1100,3 +1134,76 @@ def stream_alert(spark, sf):
         "BikepointID string, docks bigint, window_start timestamp",
         ["BikepointID", "window_start"],
     )
+
+
+def _closed(spark: SparkSession, sf: str):
+    """Run the closing windows over late arrivals: the folder written and the finished stream."""
+    events = _arrivals(spark, td.stations(spark, sf), "late", LONG_DELAY)
+    out, checkpoint = (session.scratch_path(spark, n) for n in ("closed", "closed_checkpoint"))
+    stream = sinks.append_files(windows.closed_windows(events, "EventID", lateness="1 day"), out, checkpoint)
+    _run(stream)
+    return out, stream
+
+
+@query()
+def stream_closed_windows(spark, sf):
+    """Windows that a watermark of one day closed, without the events that came later."""
+    out, _ = _closed(spark, sf)
+    schema = "Street string, SUM_No_Bikes double, n_events bigint, Window_End_Time timestamp"
+    return spark.read.schema(schema).parquet(out)
+
+
+@query()
+def stream_late_events(spark, sf):
+    """Events of each micro-batch and those of them that came too late for their window."""
+    _, stream = _closed(spark, sf)
+    report = progress.batches(spark, stream).where("input_rows > 0")
+    place = F.row_number().over(Window.orderBy("batch")) - 1
+    return report.select(place.alias("step"), "input_rows", "late_rows")
+
+
+@query()
+def stream_counts(spark, sf):
+    """Counters kept by a stream whose events come up to two days late."""
+    events = _arrivals(spark, td.stations(spark, sf), "counted", SHORT_DELAY)
+    out, checkpoint = (session.scratch_path(spark, n) for n in ("counts", "counts_checkpoint"))
+    counts = live.rolling_counts(events, "2 days", bucket="1 day", shards=2)
+    _run(sinks.update_files(counts, out, checkpoint))
+    return live.current_counts(spark, out)
+
+
+@query()
+def stream_station_change(spark, sf):
+    """Newest state and change of every station, from a backlog that delivers a fifth twice."""
+    rows = td.stations(spark, sf)
+    events = _backlog(
+        spark, rows.unionByName(rows.where("EventID % 5 = 0")), "states", "EventID bigint"
+    )
+    out, checkpoint = (session.scratch_path(spark, n) for n in ("states_out", "states_checkpoint"))
+    state = live.station_state(events)
+    _run(sinks.update_files(state, out, checkpoint))
+    return _rate_rounded(
+        sinks.current_results(spark, out, state.schema.toDDL(), [stations.STATION])
+    )
+
+
+@query("bikes")
+def stream_broker(spark, sf):
+    """Events per street from broker messages, a tenth of which is no JSON."""
+    rows = td.stations(spark, sf)
+    event = F.to_json(F.struct(*schemas.struct(schemas.STATION_EVENTS).names))
+    body = F.when(F.col("EventID") % 10 == 0, F.concat(F.lit("!"), event)).otherwise(event)
+    path = session.scratch_path(spark, "messages")
+    messages = rows.select(body.alias("body"), "EnqueuedTime").repartition(BACKLOG_FILES)
+    messages.write.option("timestampFormat", _TIMES).json(path)
+    out, checkpoint = (session.scratch_path(spark, n) for n in ("broker", "broker_checkpoint"))
+    parsed = sources.parse_station_events(
+        sources.broker_messages(spark, path), "body", "EnqueuedTime"
+    )
+    _run(sinks.append_files(parsed, out, checkpoint))
+    stored = spark.read.schema(schemas.STATION_TABLE).parquet(out)
+    return stored.groupBy("Street").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum("No_Bikes").alias("bikes"),
+        F.max("EnqueuedTime").alias("last_arrival"),
+    )

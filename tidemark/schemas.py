@@ -101,6 +101,7 @@ STATION_TABLE = (
     "BikepointID string, Street string, Neighbourhood string, Latitude double, "
     "Longitude double, No_Bikes bigint, No_Empty_Docks bigint, EnqueuedTime timestamp"
 )
+BROKER_MESSAGES = "body string, EnqueuedTime timestamp"
 DEVICE_STATUS = "device string not null, status string not null"
 
 
