@@ -43,6 +43,18 @@ SECOND_WORD = "CASE WHEN contains({0}, ' ') THEN split_part({0}, ' ', 2) END"
 ITEM_NAME = "split_part(Item, ', ', 1)"
 ITEM_INFO = "split_part(Item, ', ', 2)"
 
+TABLE_ROWS = f"""WITH {CLEAN}
+SELECT 'sales_silver' AS part, COUNT(*) AS row_count FROM clean
+UNION ALL SELECT 'dimdate_gold', COUNT(DISTINCT OrderDate) FROM clean
+UNION ALL SELECT 'dimcustomer_gold', COUNT(DISTINCT (CustomerName, Email)) FROM clean
+UNION ALL SELECT 'dimproduct_gold', COUNT(DISTINCT ({ITEM_NAME}, {ITEM_INFO})) FROM clean
+UNION ALL SELECT 'factsales_gold', COUNT(*) FROM clean"""
+GOLD_TOTALS = f"""WITH {CLEAN}
+SELECT CAST(year(OrderDate) AS INTEGER) AS Year, {ITEM_NAME} AS ItemName,
+       COUNT(*) AS line_count, CAST(SUM(Quantity) AS BIGINT) AS quantity,
+       COUNT(DISTINCT Email) AS buyers
+FROM clean GROUP BY ALL"""
+
 PRODUCTS = """
 products AS (
   SELECT CAST(p_partkey AS INTEGER) AS ProductID, p_name AS ProductName, p_type AS Category,
@@ -644,17 +656,12 @@ UNION ALL SELECT 1, 'UPDATE', 0, standard, 0 FROM n
 UNION ALL SELECT 2, 'REVISION', 0, economy, promo FROM n
 UNION ALL SELECT 3, 'MERGE', promo, standard, 0 FROM n
 UNION ALL SELECT 4, 'MERGE', 0, 0, 0 FROM n""",
-        "medallion_second_run": f"""WITH {CLEAN}
-SELECT 'sales_silver' AS table_name, COUNT(*) AS row_count FROM clean
-UNION ALL SELECT 'dimdate_gold', COUNT(DISTINCT OrderDate) FROM clean
-UNION ALL SELECT 'dimcustomer_gold', COUNT(DISTINCT (CustomerName, Email)) FROM clean
-UNION ALL SELECT 'dimproduct_gold', COUNT(DISTINCT ({ITEM_NAME}, {ITEM_INFO})) FROM clean
-UNION ALL SELECT 'factsales_gold', COUNT(*) FROM clean""",
-        "medallion_totals": f"""WITH {CLEAN}
-SELECT CAST(year(OrderDate) AS INTEGER) AS Year, {ITEM_NAME} AS ItemName,
-       COUNT(*) AS line_count, CAST(SUM(Quantity) AS BIGINT) AS quantity,
-       COUNT(DISTINCT Email) AS buyers
-FROM clean GROUP BY ALL""",
+        "medallion_second_run": f"SELECT part AS table_name, row_count FROM ({TABLE_ROWS})",
+        "medallion_feed": f"""{TABLE_ROWS}
+UNION ALL SELECT 'delivery 1', COUNT(*) FROM clean WHERE OrderDate < DATE '{FIRST_LOAD_BEFORE}'
+UNION ALL SELECT 'delivery 2', COUNT(*) FROM clean WHERE OrderDate >= DATE '{FIRST_LOAD_BEFORE}'""",
+        "medallion_totals": GOLD_TOTALS,
+        "medallion_feed_totals": GOLD_TOTALS,
         # shop
         "stg_customers": f"WITH {SHOP} SELECT * FROM stg_customers",
         "stg_orders": f"""WITH {SHOP}

@@ -28,6 +28,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.versions import ChangeLog
 from tidemark.plans import landing, medallion, reports, sales, shop, stations, warehouse
+from tidemark.plans import medallion_feed as medallion_feed_plan
 from tidemark.sources import readers, writers
 from tidemark.streaming import live, progress, sinks, sources, windows
 
@@ -549,6 +550,41 @@ def medallion_second_run(spark, sf):
     return result
 
 
+def _deliveries(spark: SparkSession, sf: str, label: str):
+    """Two bronze deliveries, the second with all rows of the first, and a database."""
+    rows = td.sales(spark, sf)
+    root = session.scratch_path(spark, "bronze")
+    early = F.col("OrderDate") < FIRST_LOAD_BEFORE
+    writers.csv(rows.where(early), f"{root}/first", header=False)
+    writers.csv(rows, f"{root}/second", header=False)
+    return [f"{root}/{d}/*.csv" for d in ("first", "second")], session.scratch_database(spark, label)
+
+
+@query()
+def medallion_feed(spark, sf):
+    """Rows of every table after two deliveries, and those that each brought to gold."""
+    deliveries, database = _deliveries(spark, sf, "feed")
+    for pattern in deliveries:
+        tables = medallion_feed_plan.run(spark, pattern, database, FLAG_BEFORE, buckets=4, period="yyyy")
+    one = F.count(F.lit(1)).alias("row_count")
+    counts = [t.rows().agg(one).select(F.lit(n).alias("part"), "row_count") for n, t in tables.items()]
+    fed = tables["sales_silver"]
+    counts += [
+        fed.changes(k - 1, k).agg(one).select(F.lit(f"delivery {k}").alias("part"), "row_count")
+        for k in (1, 2)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query()
+def medallion_feed_totals(spark, sf):
+    """Gold facts of two deliveries by year and item name, read through their keys."""
+    deliveries, database = _deliveries(spark, sf, "fed")
+    for pattern in deliveries:
+        tables = medallion_feed_plan.run(spark, pattern, database, FLAG_BEFORE, buckets=4, period="yyyy")
+    return _gold_totals({name: table.rows() for name, table in tables.items()})
+
+
 @query()
 def medallion_totals(spark, sf):
     """Gold facts read through their keys, by year and item name, after two runs."""
@@ -559,6 +595,10 @@ def medallion_totals(spark, sf):
     for folder, delivery in (("first", rows.where(early)), ("second", rows.where(~early))):
         writers.csv(delivery, f"{root}/{folder}", header=False)
         tables = medallion.run(spark, f"{root}/*/*.csv", database, FLAG_BEFORE)
+    return _gold_totals(tables)
+
+
+def _gold_totals(tables: dict[str, DataFrame]) -> DataFrame:
     customers = tables["dimcustomer_gold"].select("CustomerID", "Email")
     products = tables["dimproduct_gold"].select("ItemID", "ItemName")
     dates = tables["dimdate_gold"].select("OrderDate", "Year")
