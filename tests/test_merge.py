@@ -1,3 +1,4 @@
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -8,12 +9,17 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators import joins, keys, merge
-from tidemark.operators.versions import ChangeLog
+from tidemark.operators.versions import VERSION, ChangeLog
 
 TABLE = "k string, d date, v int"
 D = date(2020, 1, 1)
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(conf):
+    conf(spark__sql__shuffle__partitions="2")
+
+
 def table(spark, *data):
     return spark.createDataFrame(list(data), TABLE)
 
@@ -187,6 +193,54 @@ def test_versions(log):
     assert rows(log.as_of(4)) == [(1, "again"), (2, "B"), (3, "C"), (4, "D")] == rows(log.as_of(5))
 
 
+def test_a_read_starts_at_a_snapshot(spark, tmp_path):
+    """Many versions, a snapshot every three: one snapshot and the versions after it are read."""
+    path = tmp_path / "log"
+    log = ChangeLog(spark, str(path), "id int, v int", ["id"], snapshot_every=3)
+    plain = ChangeLog(spark, str(tmp_path / "plain"), "id int, v int", ["id"])
+    state = dict.fromkeys([None, *range(20)], 0)
+    states = {}
+    for version in range(9):
+        if version == 0:
+            changes = {"insert": list(state.items())}
+        else:
+            new, gone, moved = 100 + version, version + 1 if version < 19 else None, version % 20
+            changes = {"insert": [(new, version)], "delete": [(gone, 0)] if gone in state and gone is not None else []}
+            if moved in state and moved != gone:
+                changes["update"] = [(moved, version)]
+        frames = {k: spark.createDataFrame(r, "id int, v int").coalesce(1) for k, r in changes.items() if r}
+        log.commit(version, "W", frames)
+        if version <= 4:
+            plain.commit(version, "W", frames)
+        for k, v in changes.get("insert", []) + changes.get("update", []):
+            state[k] = v
+        for k, _ in changes.get("delete", []):
+            state.pop(k, None)
+        states[version] = sorted(state.items(), key=str)
+    assert log.snapshots() == [3, 6]
+    for version in (0, 2, 3, 5, 8):
+        assert sorted((tuple(r) for r in log.as_of(version).collect()), key=str) == states[version]
+    assert rows(plain.as_of(4)) == rows(log.as_of(4))
+    read = log.as_of(8)
+    assert {f.split("_version=")[1][0] for f in read.inputFiles() if "/snapshots/" in f} == {"6"}
+    scans = [x for x in read._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x and "_change:string" in x]
+    assert scans and all(re.search(rf"{VERSION}#\d+ > 6\), \({VERSION}#\d+ <= 8", s) for s in scans)
+
+
+def test_an_unmarked_snapshot_is_not_read(spark, tmp_path):
+    """A crash after the snapshot and before its mark, then another try."""
+    log = ChangeLog(spark, str(tmp_path / "log"), "id int, v string", ["id"])
+    log.commit(0, "WRITE", {"insert": spark.createDataFrame([(1, "a")], "id int, v string")})
+    log.update(1, F.lit(True), {"v": F.lit("b")})
+    wrong = spark.createDataFrame([(9, "half")], "id int, v string")
+    wrong.write.parquet(f"{log.path}/snapshots/_version=1")
+    assert log.snapshots() == [] and rows(log.as_of(1)) == [(1, "b")]
+    for _ in range(2):
+        log.snapshot(1)
+        assert log.snapshots() == [1] and rows(log.as_of(1)) == [(1, "b")]
+    assert rows(log.as_of(0)) == [(1, "a")]
+
+
 def test_history_and_repeated_commit(spark, log):
     log.commit(1, "UPDATE", {"update": spark.createDataFrame([(2, "B")], "id int, v string")})
     assert rows(log.history()) == [

@@ -643,6 +643,12 @@ SELECT {PRODUCTS_OUT}, version FROM (
   SELECT *, 0 AS version FROM v0 UNION ALL SELECT *, 1 FROM v1 UNION ALL SELECT *, 2 FROM v2
   UNION ALL SELECT *, 3 FROM v3 UNION ALL SELECT *, 4 FROM v3
 )""",
+        "version_snapshots": f"""WITH {PRODUCTS}
+SELECT ProductID, ProductName, Category, version,
+       CAST(ListPrice + (
+         SELECT COALESCE(SUM(s), 0) FROM unnest(range(1, 8)) r(s) WHERE s <= version AND s % 5 = ProductID % 5
+       ) AS DOUBLE) AS ListPrice
+FROM products, (VALUES (0), (2), (3), (5), (7)) AS v(version)""",
         "version_history": f"""WITH {PRODUCTS},
 n AS (
   SELECT COUNT(*) AS every, COUNT(*) FILTER (Category = 'STANDARD') AS standard,

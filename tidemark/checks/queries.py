@@ -522,6 +522,24 @@ def version_as_of(spark, sf):
     return reduce(DataFrame.unionByName, states)
 
 
+@query()
+def version_snapshots(spark, sf):
+    """States of a log that writes a snapshot every third version."""
+    log = ChangeLog(
+        spark,
+        session.scratch_path(spark, "snapshot_log"),
+        "ProductID int, ProductName string, Category string, ListPrice decimal(12,2)",
+        ["ProductID"],
+        snapshot_every=3,
+    )
+    log.commit(0, "WRITE", {"insert": td.products(spark, sf)})
+    for v in range(1, 8):
+        dearer = F.expr(f"CAST(ListPrice + {v} AS DECIMAL(12,2))")
+        log.update(v, F.col("ProductID") % 5 == v % 5, {"ListPrice": dearer})
+    states = [log.as_of(v).withColumn("version", F.lit(v)) for v in (0, 2, 3, 5, 7)]
+    return reduce(DataFrame.unionByName, states)
+
+
 @query()
 def version_history(spark, sf):
     return _product_log(spark, sf).history()

@@ -49,9 +49,14 @@ def product_dimension(sales: DataFrame) -> DataFrame:
     """One row per item name and info, with the least item text that gives them.
 
     Items that differ only beyond the second part, or in a trailing separator,
-    are one product, so that a sales line finds one member.
+    are one product, so that a sales line finds one member. Items are made
+    distinct before they are split.
     """
     item = F.col("Item")
-    return sales.groupBy(
-        item_name(item).alias("ItemName"), item_info(item).alias("ItemInfo")
-    ).agg(F.min("Item").alias("Item")).select("Item", "ItemName", "ItemInfo")
+    return (
+        sales.select("Item")
+        .distinct()
+        .groupBy(item_name(item).alias("ItemName"), item_info(item).alias("ItemInfo"))
+        .agg(F.min("Item").alias("Item"))
+        .select("Item", "ItemName", "ItemInfo")
+    )

@@ -2,7 +2,9 @@
 
 The log has two Parquet folders with one partition per version: the rows a
 version changed, each marked ``insert``, ``update`` or ``delete``, and one row
-per version that names its operation. Version 0 is the first full load.
+per version that names its operation. Version 0 is the first full load. Every
+so many versions the whole table is written beside the log, so that a read
+starts at the newest such snapshot and adds the few versions after it.
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import rows_without_match
 from tidemark.operators.merge import conditional_update, merge_changes
+from tidemark.session import folder_names
 
 VERSION = "_version"
 CHANGE = "_change"
@@ -22,13 +26,24 @@ CHANGES = ("insert", "update", "delete")
 
 
 class ChangeLog:
-    """A keyed table with readable history at ``path``."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, key: Sequence[str]):
+    """A keyed table with readable history at ``path``.
+
+    ``snapshot_every`` versions a snapshot is written; none without it.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: str,
+        key: Sequence[str],
+        snapshot_every: int | None = None,
+    ):
         self.spark = spark
         self.path = path
         self.key = list(key)
         self.schema = schema
+        self.snapshot_every = snapshot_every
         self._log_schema = f"{schema}, {CHANGE} string, {VERSION} int"
 
     def commit(self, version: int, operation: str, changes: Mapping[str, DataFrame]) -> None:
@@ -49,6 +64,25 @@ class ChangeLog:
         self.spark.createDataFrame([(operation,)], f"{OPERATION} string").coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{self.path}/commits/{VERSION}={version}")
+        if self.snapshot_every and version and version % self.snapshot_every == 0:
+            self.snapshot(version)
+
+    def snapshot(self, version: int) -> None:
+        """Write the table as of a version, for later reads to start from.
+
+        It counts once its mark is written after it, so one that stopped half
+        way is never read, and is replaced when it is tried again.
+        """
+        self._state(version, version - 1).write.mode("overwrite").parquet(
+            f"{self.path}/snapshots/{VERSION}={version}"
+        )
+        mark = self.spark.createDataFrame([(version,)], "version int").coalesce(1)
+        mark.write.mode("overwrite").parquet(f"{self.path}/marks/{VERSION}={version}")
+
+    def snapshots(self) -> list[int]:
+        """The versions that have a finished snapshot."""
+        names = folder_names(self.spark, f"{self.path}/marks")
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{VERSION}="))
 
     def merge(
         self, version: int, updates: DataFrame, when_matched: Mapping[str, str] | None = None
@@ -75,22 +109,33 @@ class ChangeLog:
     def as_of(self, version: int) -> DataFrame:
         """Rows of the table as they were after ``version``.
 
-        The versions in range are read once and reduced to the newest change of
-        each key, combined in each task before the shuffle; the partition filter
-        leaves later versions unread.
+        Reads the newest snapshot up to it, or else the first load, and the
+        versions after that. These few are reduced to the newest change of each
+        key; the others of the snapshot's rows stay as they are, so it is read
+        without a sort, and not shuffled either while Spark knows the changes
+        to be small.
         """
-        columns = [c for c in self.log().columns if c not in (VERSION, CHANGE)]
-        values = [c for c in columns if c not in self.key]
+        return self._state(version, version)
+
+    def _state(self, version: int, newest_snapshot: int) -> DataFrame:
+        base = max((v for v in self.snapshots() if v <= newest_snapshot), default=0)
+        if base:
+            start = self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshots/{VERSION}={base}")
+        else:
+            start = self.log().where(F.col(VERSION) == 0).drop(VERSION, CHANGE)
+        if version <= base:
+            return start
+        values = [c for c in start.columns if c not in self.key]
         newest = (
             self.log()
-            .where(F.col(VERSION) <= version)
+            .where((F.col(VERSION) > base) & (F.col(VERSION) <= version))
             .groupBy(*[F.col(f"`{c}`") for c in self.key])
             .agg(F.max_by(F.struct(CHANGE, *[F.col(f"`{c}`") for c in values]), VERSION).alias("_last"))
         )
-        kept = newest.where(F.col(f"_last.{CHANGE}") != "delete")
-        return kept.select(
-            *[F.col(f"`{c}`") if c in self.key else F.col(f"_last.`{c}`").alias(c) for c in columns]
+        changed = newest.where(F.col(f"_last.{CHANGE}") != "delete").select(
+            *[F.col(f"`{c}`") if c in self.key else F.col(f"_last.`{c}`").alias(c) for c in start.columns]
         )
+        return rows_without_match(start, newest, self.key, null_safe=True).unionByName(changed)
 
     def history(self) -> DataFrame:
         """One row per version, also for those that changed nothing: operation and counts."""

@@ -88,6 +88,15 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder of any file system Spark reaches; none if it is absent."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = jvm.org.apache.hadoop.fs.Path(f"{path}/*")
+    listed = found.getFileSystem(conf).globStatus(found) or []
+    return [s.getPath().getName() for s in listed if s.isDirectory()]
+
+
 def cleanup(spark: SparkSession) -> None:
     """Drop the scratch data of the session so far; results that read it are void."""
     jvm = spark.sparkContext._jvm
