@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators import series
+from tidemark.operators.alerts import AlertLog
 from tidemark.plans import stations
 
 NOW = datetime(2024, 5, 1, 12, 0, 0)
@@ -281,3 +282,21 @@ def test_series_keeps_the_newest_rows(spark):
     assert {r.k for r in made.collect()} == {"a", "b"}
     one = series.make_series(frame.where("k = 'b'"), ["k"], "t", "v", "10 seconds")
     assert [(r.k, r.v) for r in one.collect()] == [("b", 7.0)]
+
+
+def test_alerts_are_raised_once_corrected_and_cleared(spark, tmp_path):
+    log = AlertLog(spark, str(tmp_path / "alerts"), "day", "int")
+    series = lambda *r: spark.createDataFrame(list(r), "day int, value int")
+    run = lambda n, *r: sorted((e.day, e.value, e.event) for e in log.run(n, series(*r), 10).collect())
+    assert run(1, (1, 12), (2, 9), (None, 50), (4, None)) == [(1, 12.0, "raised")]
+    again = [(1, 12), (2, 10), (3, 30)]
+    assert run(2, *again) == [(2, 10.0, "raised"), (3, 30.0, "raised")]
+    assert run(2, *again) == [(2, 10.0, "raised"), (3, 30.0, "raised")]  # tried again
+    assert run(3, *again) == []
+    # Day 1 is out of the range now, day 2 was corrected to less, day 3 to more.
+    assert run(4, (2, 8), (3, 31)) == [(2, 10.0, "cleared"), (3, 31.0, "corrected")]
+    assert run(5, (2, 11), (3, 31)) == [(2, 11.0, "raised")]
+    assert rows(log.standing(5)) == [(1, 12.0), (2, 11.0), (3, 31.0)]
+    assert run(6) == []
+    with pytest.raises(ValueError):
+        log.run(0, series(), 10)

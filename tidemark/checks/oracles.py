@@ -880,6 +880,24 @@ SELECT COUNT(*) AS row_count, COUNT(*) AS known_rows FROM (SELECT * FROM station
 SELECT BikepointID, bin, bin_time, ROUND(v, 6) AS No_Empty_Docks FROM placed""",
         "series_alert": f"""SELECT * FROM ({series(DAY_US)}{TOTAL_DOCKS})
 WHERE "Available Docks" >= 900""",
+        "alert_runs": f"""WITH r1 AS (
+  SELECT left(bin_time, 10) AS day, CAST("Available Docks" AS DOUBLE) AS docks
+  FROM ({series(DAY_US, 'EventID % 3 <> 0')}{TOTAL_DOCKS})
+),
+r2 AS (
+  SELECT left(bin_time, 10) AS day, CAST("Available Docks" AS DOUBLE) AS docks
+  FROM ({series(DAY_US)}{TOTAL_DOCKS})
+)
+SELECT 1 AS run, 'raised' AS event, day, docks FROM r1 WHERE docks >= 60
+UNION ALL
+SELECT 2, 'raised', day, docks FROM r2
+WHERE docks >= 60 AND day NOT IN (SELECT day FROM r1 WHERE docks >= 60)
+UNION ALL
+SELECT 2, 'corrected', day, r2.docks FROM r2 JOIN r1 USING (day)
+WHERE r1.docks >= 60 AND r2.docks >= 60 AND r1.docks <> r2.docks
+UNION ALL
+SELECT 2, 'cleared', day, r1.docks FROM r2 JOIN r1 USING (day)
+WHERE r1.docks >= 60 AND r2.docks < 60""",
         # streams
         "stream_files": """
 SELECT 'Dev' || user_id AS device, event_type AS status, COUNT(*) AS readings

@@ -26,6 +26,7 @@ from tidemark.operators import (
     series,
     star,
 )
+from tidemark.operators.alerts import AlertLog
 from tidemark.operators.versions import ChangeLog
 from tidemark.plans import landing, medallion, reports, sales, shop, stations, warehouse
 from tidemark.plans import medallion_feed as medallion_feed_plan
@@ -1104,6 +1105,20 @@ def series_alert(spark, sf):
     return stations.dock_alerts(td.stations(spark, sf), threshold=900)
 
 
+@query()
+def alert_runs(spark, sf):
+    """Events of three scheduled runs: without a third of the rows, with all, and again."""
+    rows = td.stations(spark, sf)
+    end = stations.newest(rows) + F.expr("INTERVAL 1 microsecond")
+    log = AlertLog(spark, session.scratch_path(spark, "alerts"), "day", "date", "docks")
+    deliveries = [rows.where("EventID % 3 <> 0"), rows, rows]
+    events = [
+        stations.dock_alert_run(log, k, delivered, 60, end).withColumn("run", F.lit(k))
+        for k, delivered in enumerate(deliveries, start=1)
+    ]
+    return reduce(DataFrame.unionByName, events)
+
+
 # --- streams ------------------------------------------------------------
 
 

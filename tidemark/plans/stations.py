@@ -22,6 +22,7 @@ from tidemark.operators.aggregates import (
     latest_and_earliest,
     subtotals,
 )
+from tidemark.operators.alerts import AlertLog
 from tidemark.operators.cleaning import where_in
 from tidemark.operators.ranking import change_from_previous, top
 
@@ -219,6 +220,27 @@ def dock_alerts(
     return series.at_least(daily, "Available Docks", threshold)
 
 
+def dock_alert_run(
+    log: AlertLog,
+    number: int,
+    rows: DataFrame,
+    threshold: float = ALERT_DOCKS,
+    now: str | Column | None = None,
+    since: str | None = None,
+) -> DataFrame:
+    """A scheduled run over the rows so far: what it raised, corrected or cleared, by day.
+
+    The days come from the same series as :func:`dock_alerts`. A day that stays
+    above the threshold is raised by the first run that sees it and by no other.
+    """
+    daily = available_docks(rows, "1 day", now, since)
+    return log.run(
+        number,
+        daily.select(F.to_date("bin_time").alias("day"), F.col("Available Docks").alias("docks")),
+        threshold,
+    )
+
+
 def dashboard(
     stations: DataFrame,
     neighbourhoods: Sequence[str] | None = None,
