@@ -181,3 +181,41 @@ def test_two_stage_order_is_the_order_of_suffixes():
     tails = [text[i : ends[np.searchsorted(ends, i, "right")]].tobytes() for i in order]
     assert sorted(order.tolist()) == list(range(len(text)))
     assert tails == sorted(tails)
+
+
+def test_long_words_of_permuted_blocks_differ():
+    """Words of equal bytes per place in a block, in another order of the blocks."""
+    from tidemark.llm.words import word_hashes
+
+    rng = random.Random(12)
+    blocks = [bytes([rng.choice(b"abcdef")]) * 64 for _ in range(6)]
+    words = {b"".join(rng.sample(blocks, k)) + tail for k in range(1, 7) for _ in range(60) for tail in (b"", b"x", b"ab" * 20)}
+    words |= {b"a" * 64 + b"b" * 128 + b"a" * 64, b"b" * 64 + b"a" * 128 + b"b" * 64}
+    words = sorted(words)
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    hashes = word_hashes(data, ends - [len(w) for w in words], ends)
+    assert len(set(hashes.tolist())) == len(words)
+
+
+def test_documents_of_long_words_link_by_their_words_only(spark):
+    a, b = "a" * 64, "b" * 64
+    rows = [(1, f"{a}{b}{b}{a}"), (2, f"{b}{a}{a}{b}"), (3, f"{a}{b}{b}{a}"), (4, f"{b}{a}{a}{b} {a}{b}{b}{a}"), (5, f"{a}{b}{b}{a} {b}{a}{a}{b}")]
+    rows += [(10 + k, " ".join([f"{a}{b}{b}{a}"] * k + [f"{b}{a}{a}{b}"] * (30 - k))) for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_components(docs).collect()}
+    assert found == {key[0]: value for key, value in brute_components(rows).items()}
+
+
+def test_a_hot_window_is_joined_so_that_it_can_be_split(spark, conf):
+    """A third of all windows is one window: AQE cuts its partition, and the result is whole."""
+    from tidemark.llm import line_dedup
+
+    small = {"spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "4k", "spark__sql__adaptive__advisoryPartitionSizeInBytes": "4k"}
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5", **small)
+    rows = [(i, "hot a\nhot b\nhot c\n" + "\n".join(f"line {i} {k}" for k in range(6))) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    gone = line_dedup.repeated_lines(docs)
+    found = gone.collect()
+    assert len(found) == 2999 and all(r.gone == [0, 1, 2] for r in found)
+    assert "SortMergeJoin(skew=true)" in gone._jdf.queryExecution().executedPlan().toString()

@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import components, written
 from tidemark.llm.words import chunks, mixed, slices, word_bounds, word_hashes
+from tidemark.operators.joins import aggregate_for_join
 
 WORDS = 5
 PERCENT = 80
@@ -464,11 +465,9 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     base = known.where("keys IS NULL").select("uid", "doc_id", "n", "s1", "s2")
     # A row that several slices hold has its set from each of them; that of one slice counts.
     least = F.min(F.struct("uid", "slice"))
-    speakers = (
-        known.where("keys IS NULL AND n > 0")
-        .groupBy("n", "s1", "s2")
-        .agg(least.alias("least"))
-        .select("n", "s1", "s2", F.col("least.uid").alias("speaker"), F.col("least.slice").alias("slice"))
+    # A group of copies or a component may hold a third of all rows: joins with it are ones that AQE can split.
+    speakers = aggregate_for_join(known.where("keys IS NULL AND n > 0"), ["n", "s1", "s2"], least.alias("least")).select(
+        "n", "s1", "s2", F.col("least.uid").alias("speaker"), F.col("least.slice").alias("slice")
     )
     copies = base.where("n > 0").join(speakers.drop("slice"), ["n", "s1", "s2"]).where("uid <> speaker").select(F.col("uid").alias("a"), F.col("speaker").alias("b"))
     sets = known.where("keys IS NOT NULL").select("slice", "uid", "n", "grams", "keys")
@@ -478,7 +477,7 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     hubs = members.groupBy("key").agg(F.min("uid").alias("b"), F.count(F.lit(1)).alias("size")).where("size > 1")
     families = components(members.join(hubs, "key").select(F.col("uid").alias("a"), "b"))
     grouped = sets.select("uid", "n").join(families.withColumnRenamed("v", "uid"), "uid")
-    sizes = grouped.groupBy("label").agg(F.sum("n").alias("grams"))
+    sizes = aggregate_for_join(grouped, ["label"], F.sum("n").alias("grams"))
     fits = written(grouped.join(sizes, "label").withColumn("fits", F.col("grams") <= BLOCK_GRAMS), "families")
     small = fits.where("fits").select(F.col("label").alias("key"), F.lit(0).cast("long").alias("part"), "uid", F.col("uid").alias("label"), "n")
     links = written(_linked(small, sets), "links")
@@ -487,9 +486,8 @@ def link_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         links = links.unionByName(_large_family_links(large, sets))
     final = components(links.unionByName(copies))
     labelled = base.join(final.withColumnRenamed("v", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-    smallest = labelled.groupBy("label").agg(
-        F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid")))["uid"].alias("first")
-    )
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid")))["uid"].alias("first")
+    smallest = aggregate_for_join(labelled, ["label"], F.min("doc_id").alias("component_id"), first)
     lone = F.col("n") == 0
     return labelled.join(smallest, "label").select(
         F.col("doc_id").alias(doc_id),

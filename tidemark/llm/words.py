@@ -82,6 +82,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(first, lengths)
     letters = _LOWER[data[np.repeat(starts, lengths) + place]]
     values = _MIX[place % _PLACES, letters]
-    if int(lengths.max()) > _PLACES:
-        values = values * (2 * (place // _PLACES) + 1).astype(np.uint64)
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        # The block is mixed into each byte's value, so that no sum of blocks tells the same as another.
+        values[far] = mixed(values[far] ^ ((place[far] // _PLACES).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
     return mixed(np.add.reduceat(values, first) + lengths.astype(np.uint64))
