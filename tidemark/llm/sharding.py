@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import numbered, written
+from tidemark.operators.joins import aggregate_for_join
 
 ROUNDS = 6
 # Share of its quota that a shard may hold above it between rounds; the last step is exact.
@@ -35,10 +36,11 @@ def shard(docs: DataFrame, shards: int, *, doc_id: str = "doc_id", text: str = "
         (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0)).alias("text_crc32"),
     )
-    # Equal rows get different numbers, so that a hot row spreads like any other.
-    base = written(rows.withColumn("row_key", F.xxhash64("doc", F.monotonically_increasing_id())), "shard-rows")
+    # Equal rows get different numbers; their hashes spread a hot row like any other.
+    base = written(rows.withColumn("row_key", F.monotonically_increasing_id()), "shard-rows")
     total = base.count()
-    sizes = base.where("text_key IS NOT NULL").groupBy("text_key").agg(F.count(F.lit(1)).alias("members"))
+    # A hot text's rows meet its one row in joins that AQE can split.
+    sizes = aggregate_for_join(base.where("text_key IS NOT NULL"), ["text_key"], F.count(F.lit(1)).alias("members"))
     linked = sizes.where("members > 1")
     unit_rows = max(1, min(UNIT_ROWS, total // shards))
     part = F.pmod(F.xxhash64("row_key", F.lit(1)), F.ceil(F.col("members") / unit_rows)).cast("int")
@@ -109,7 +111,7 @@ def _requests(state: DataFrame, n: int, total: int, shards: int) -> DataFrame:
     )
     choice = F.element_at("leading", F.pmod("part", F.size("leading")) + 1)
     wish = F.when(F.array_contains("leading", F.col("shard")), F.col("shard")).otherwise(choice)
-    return state.join(leaders, "text_key").select("row_key", "text_key", "part", "unit", "shard", wish.alias("wish"))
+    return state.join(written(leaders, "shard-leaders"), "text_key").select("row_key", "text_key", "part", "unit", "shard", wish.alias("wish"))
 
 
 def _grant(wishes: dict, here: dict[int, int], quota: dict[int, int], shards: int) -> dict:
