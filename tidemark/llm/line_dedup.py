@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.words import slices
+from tidemark.operators.joins import aggregate_for_join
 
 LINES = 3
 
@@ -43,13 +44,10 @@ def repeated_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         .select("doc", "copy", F.explode(spots).alias("s"))
         .select("doc", "copy", "s.*")
     )
-    # Counts combine in each task; windows seen once end here. A hot window is one row on this side of the join.
-    first = (
-        windows.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc", "at", "copy")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
-        .drop("n")
-    )
+    # Counts combine in each task; windows seen once end here. A hot window is one row on this side of the join
+    # and all its occurrences on the other, which AQE can split.
+    least, n = F.min(F.struct("doc", "at", "copy")).alias("first"), F.count(F.lit(1)).alias("n")
+    first = aggregate_for_join(windows, ["h1", "h2"], least, n).where(F.col("n") > 1).drop("n")
     later = windows.join(first, ["h1", "h2"]).where(F.struct("doc", "at", "copy") != F.col("first"))
     covered = F.sequence("at", F.col("at") + LINES - 1)
     return later.groupBy("doc", "copy").agg(
