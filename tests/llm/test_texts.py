@@ -1,6 +1,7 @@
 """Operators on single texts: decontamination, pages, BPE, lines and the two models."""
 
 import hashlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -161,6 +162,61 @@ def test_host_boilerplate_goes_from_inside_articles(spark):
     assert {text[40 + i] for i in range(9)} == {"one and the same copy of an article"}
 
 
+def host_pages():
+    """Hosts with near copies, an inner notice, copies of rows, long pages, and awkward rows."""
+    base = words(77, 120)
+    near = [" ".join([*base[:60], f"edit{k}", *base[61:]]) for k in range(8)]
+    rows = [(i, "https://n.example/p", f"<h1>no</h1><article><h1>Title</h1><p>{t}</p></article>") for i, t in enumerate(near)]
+    notice = "Sign up today for all of our daily letters"
+    story = "<article><p>Story {0} {1}</p><p>{2} part{0} of the end{0} {2}</p></article>"
+    rows += [(100 + i, "https://h.example/p", story.format(i, " ".join(words(i, 30)), notice)) for i in range(6)]
+    plain = "<body><div>Buy our very fine goods now or never</div><p>Unique number {0} of all the pages here {0}</p></body>"
+    rows += [(200 + i, "https://d.example/p", plain.format(i)) for i in range(6)]
+    rows += [(300 + i, "https://l.example/p", f"<article><p>{' '.join(words(300 + i, 30_000))}</p></article>") for i in range(2)]
+    return rows + [(None, "https://n.example/p", None), (None, None, "<p>lone"), (400, "", ""), (401, "no address", "<article>x</article>")]
+
+
+def brute_runs(rows):
+    """Boilerplate runs of each host by counting pages one by one."""
+    hosts = {}
+    for _, url, page in rows:
+        name = url.split("/")[2] if url and "://" in url else ""
+        found = html_text.blocks(page or "")
+        if found:
+            hosts.setdefault(name, set()).add(tuple((b, p == 2) for b, p, _ in found))
+    out = set()
+    for name, pages in hosts.items():
+        anywhere, outside = Counter(), Counter()
+        for page in pages:
+            runs = [(run, inside) for block, inside in page for run in set(html_text._runs(block.split()))]
+            anywhere.update({run for run, _ in runs})
+            outside.update({run for run, inside in runs if not inside})
+        half = len(pages) / 2
+        out |= {(name, r) for r, n in anywhere.items() if n >= 5 and n >= half}
+        out |= {(name, r) for r, n in outside.items() if n >= 3 and n >= half}
+    return out
+
+
+@pytest.mark.parametrize("sorted_pages, copies", [(1000, 1), (1000, 3), (2, 1), (2, 3)])
+def test_boilerplate_does_not_depend_on_parts_or_copies(spark, monkeypatch, sorted_pages, copies):
+    monkeypatch.setattr(html_text, "PAGES_SORTED", sorted_pages)
+    rows = host_pages()
+    clashing = "page_id long, url string, html string, host string, runs int, text string, blocks int, part int, _html int"
+    pages = spark.createDataFrame([(*r, "h", 1, "t", 2, 3, 4) for r in rows * copies], clashing).repartition(4)
+    assert {tuple(r) for r in html_text.host_boilerplate(pages).collect()} == brute_runs(rows)
+    found = html_text.extract(pages).collect()
+    assert len(found) == len(rows) * copies
+    text = {r.page_id: r.text for r in found if r.page_id is not None}
+    base = words(77, 120)
+    for k in range(8):  # near copies of an article are whole
+        assert text[k] == "Title\n" + " ".join([*base[:60], f"edit{k}", *base[61:]])
+    for i in range(6):
+        assert text[100 + i] == f"Story {i} {' '.join(words(i, 30))}\npart{i} of the end{i}"
+        assert text[200 + i] == f"Unique number {i} of all the pages here {i}"
+    assert text[300] == " ".join(words(300, 30_000)) and text[400] == "" and text[401] == "x"
+    assert {r.text for r in found if r.page_id is None} == {"", "lone"}
+
+
 def test_suffix_order_by_depth():
     order, common = html_text.suffix_order(np.array([1, 2, 3, -1, 1, 2, 3, -2]), 3)
     at = [i for i in range(1, 8) if common[i]]

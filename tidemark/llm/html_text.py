@@ -18,14 +18,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from tidemark.operators.joins import aggregate_for_join
+
 # Words of a run, and the share and number of a host's pages that make it boilerplate.
 RUN_WORDS = 6
 PAGE_SHARE = 0.5
 LEAST_PAGES = 3
 # Distinct pages that hold a run inside articles too; fewer articles may have a sentence in common.
 LEAST_ARTICLES = 5
-# Pages of one suffix array; hosts with more are split by a hash and their counts added up.
+# Share of an article's words in such runs from which on it is a near copy of others and stays as it is.
+COPY_SHARE = 0.7
+# Pages and bytes of one suffix array; hosts with more are split by a hash and their counts added up.
 PAGES_SORTED = 1000
+BYTES_SORTED = 64_000_000
+# Distinct pages of a part of a host up to which it tells every run, not only those of several pages.
+PAGES_TOLD = 64
 # Boilerplate runs of all hosts up to which they are broadcast (16 bytes each); more are joined by host.
 BROADCAST_RUNS = 1_000_000
 
@@ -250,7 +257,8 @@ def suffix_order(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
 def _repeated(table: pa.Table) -> pa.Table:
     """Runs that several distinct pages of a group share: host, run, pages, pages that hold it outside articles.
 
-    The row without a run has the distinct pages of the group.
+    The row without a run has the distinct pages of the group. A small part of a
+    host tells the runs of single pages too, as its other parts may hold them.
     """
     name, found = table.column("host")[0].as_py(), []
     words, pages, outside, ids = [], [], [], {}
@@ -278,8 +286,12 @@ def _repeated(table: pa.Table) -> pa.Table:
     first = np.append(True, (apart[1:] != apart[:-1]) | (at[1:] != at[:-1]))[: len(at)]
     beside = np.bincount(at[first], minlength=len(support))
     start = order[np.flatnonzero(opens)]
-    for k in np.flatnonzero(support > 1).tolist():
-        run = [w for w in words[start[k] : start[k] + RUN_WORDS] if w]
+    told = 0 if table.column("parts")[0].as_py() > 1 and len(streams) <= PAGES_TOLD else 1
+    # A run goes over no break: the suffixes that start at one or reach one are of one page only.
+    for k in np.flatnonzero((support > told) & (tokens[start] >= 0)).tolist():
+        if None in (run := words[start[k] : start[k] + RUN_WORDS]):
+            continue
+        run = [w for w in run if w]
         found.append((_number(run), int(support[k]), int(beside[k])))
     found.append((None, len(streams), 0))
     runs, many, beside = zip(*found, strict=True)
@@ -290,17 +302,19 @@ def host_boilerplate(pages: DataFrame, *, url: str = "url", html: str = "html")
     """Runs of words that at least half of a host's distinct pages hold: ``host``, ``run``.
 
     LEAST_PAGES hold it outside their articles, or LEAST_ARTICLES anywhere. Pages of
-    equal blocks are one. A host's runs are fewer than twice the words of its mean page.
+    equal blocks are one. In a host of several parts, a run may miss one page for
+    each part of more than PAGES_TOLD distinct pages. A host's runs are fewer than twice the words of its mean page.
     """
     from tidemark.llm.common import written
 
     known = pages.select(host(F.col(url)).alias("host"), F.col(html))
-    parts = F.ceil(F.count(F.lit(1)) / PAGES_SORTED)
-    split = known.groupBy("host").agg(parts.alias("parts")).where("parts > 1")  # a row for PAGES_SORTED pages or more
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / PAGES_SORTED, F.sum(F.octet_length(html)) / BYTES_SORTED))
+    # Written, so that Spark knows how small it is: a row for each host of several parts.
+    split = written(aggregate_for_join(known, ["host"], parts.alias("parts")).where("parts > 1"), "host-parts")
     streams = known.mapInArrow(_streams, "host string, stream string")
     # Equal pages of a host meet in one part.
-    part = F.pmod(F.xxhash64("stream"), F.coalesce("parts", F.lit(1)))
-    dealt = streams.join(F.broadcast(split), "host", "left").select("host", part.alias("part"), "stream")
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = streams.join(split, "host", "left").select("host", F.pmod(F.xxhash64("stream"), parts).alias("part"), "stream", parts.alias("parts"))
     found = written(dealt.groupBy("host", "part").applyInArrow(_repeated, "host string, run long, pages long, outside long"), "runs")
     sizes = found.where("run IS NULL").groupBy("host").agg(F.sum("pages").alias("host_pages"))
     half = PAGE_SHARE * F.col("host_pages")
@@ -322,8 +336,10 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     A null or empty html gives an empty text. Pages without a host are one host.
     In a page without article or main element, all blocks count that are not
     beside it, mostly links or host boilerplate. Inside an article only runs of
-    RUN_WORDS words or more can be boilerplate; an article of nothing else stays
-    as it is. Repeated rows are repeated.
+    RUN_WORDS words or more can be boilerplate; an article that is COPY_SHARE of
+    such runs is a near copy of other pages and stays as it is. Repeated rows are
+    repeated and change no text; null keys are kept. Other columns are not read,
+    whatever their names. Pages are taken whole, whatever their length.
     """
     from tidemark.llm.common import written
 
@@ -361,7 +377,11 @@ def _kept(found: list[tuple[str, int, bool]], boilerplate: frozenset) -> list[st
     if not boilerplate:
         return own
     out = [left for b in own if (left := _left(b, boilerplate, place))]
-    return out if out or place == 1 else own
+    if place == 2:
+        n, kept = (sum(b.count(" ") + 1 for b in texts) for texts in (own, out))
+        if kept <= (1 - COPY_SHARE) * n:
+            return own
+    return out
 
 
 def _left(block: str, boilerplate: frozenset, place: int) -> str:
