@@ -99,30 +99,36 @@ class _Tokenizer:
             self._learn(new[start : start + PIECES_ASKED])
 
     def _learn(self, new: list[str]) -> None:
-        encoded, found = [p.encode() for p in new], {}
-        short, long = [], []
-        for i, piece in enumerate(encoded):
-            if piece in self.ranks:  # the whole piece is a token, whatever its merges
-                found[i] = [self.ranks[piece]]
-            else:
-                (short if len(piece) <= SHORT else long).append(i)
-        for some, query in ((short, _ENCODE_SHORT), (long, _ENCODE_LONG)):
-            if some:
-                states = self._ask(query, [self.bytes[np.frombuffer(encoded[i], np.uint8)] for i in some])
-                found.update(zip(some, states, strict=True))
-        tokens = [np.asarray(found[i], np.int32) for i in range(len(new))]
-        decoded = self._ask(_DECODE, tokens)
-        for piece, ids, text in zip(new, tokens, decoded, strict=True):
-            self.ids[piece] = ids.astype("<u4").tobytes()
-            self.texts[piece] = text
-
-    def _ask(self, query: str, lists: list[np.ndarray]) -> list:
-        """One row per list, in order."""
-        ends = np.zeros(len(lists) + 1, np.int32)
-        np.cumsum([len(x) for x in lists], out=ends[1:])
-        toks = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))
-        self.db.register("pieces", pa.table({"piece": pa.array(np.arange(len(lists), dtype=np.int32)), "toks": toks}))
-        return self.db.sql(query).to_arrow_table().column(1).to_pylist()
+        encoded = [p.encode() for p in new]
+        size = np.fromiter(map(len, encoded), np.int64, len(new))
+        # A whole piece that is a token stands for itself, whatever its merges.
+        whole = np.fromiter((self.ranks.get(p, -1) for p in encoded), np.int32, len(new))
+        known = np.flatnonzero(whole >= 0)
+        order, values, lengths = [known], [whole[known]], [np.ones(len(known), np.int64)]
+        for fits, query in ((size <= SHORT, _ENCODE_SHORT), (size > SHORT, _ENCODE_LONG)):
+            some = np.flatnonzero((whole < 0) & fits)
+            if len(some):
+                data = np.frombuffer(b"".join([encoded[i] for i in some.tolist()]), np.uint8)
+                states = self._ask(query, self.bytes[data], size[some])
+                order.append(some)
+                values.append(states.flatten().to_numpy())
+                lengths.append(states.value_lengths().to_numpy())
+        ids, sizes = np.concatenate(values), np.concatenate(lengths)
+        decoded = self._ask(_DECODE, ids, sizes).to_pylist()
+        raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        start = 0
+        for i, end, text in zip(np.concatenate(order).tolist(), ends, decoded, strict=True):
+            self.ids[new[i]] = raw[start:end]
+            self.texts[new[i]] = text
+            start = end
+
+    def _ask(self, query: str, values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """One row per list, in order; the lists are the values cut into these sizes."""
+        ends = np.zeros(len(sizes) + 1, np.int32)
+        np.cumsum(sizes, out=ends[1:])
+        toks = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+        self.db.register("pieces", pa.table({"piece": pa.array(np.arange(len(sizes), dtype=np.int32)), "toks": toks}))
+        return self.db.sql(query).to_arrow_table().column(1).combine_chunks()
 
     def parts(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, some at a time."""
@@ -214,8 +220,10 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids") -> Dat
                 raise ValueError("an id is not in the vocabulary")
             out: list[bytes | None] = [None if x is None else b"" for x in lists]
             if filled:
-                for i, back in zip(filled, tokenizer._ask(_DECODE, [np.array(lists[i], np.int32) for i in filled]), strict=True):
-                    out[i] = back
+                values = np.concatenate([np.array(lists[i], np.int32) for i in filled])
+                back = tokenizer._ask(_DECODE, values, np.array([len(lists[i]) for i in filled]))
+                for i, text in zip(filled, back.to_pylist(), strict=True):
+                    out[i] = text
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
     return source.mapInArrow(run, source.select("*").schema.add("decoded", "binary"))
