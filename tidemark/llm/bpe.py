@@ -25,6 +25,9 @@ PIECES_KEPT = 600_000
 PIECES_ASKED = 100_000
 # Longer pieces keep only their last state, shorter ones all states up to the fixpoint.
 SHORT = 64
+# Pieces of more bytes are encoded in windows of WINDOW bytes and OVERLAP more that are shared with the next one.
+LONG = 1024
+WINDOW, OVERLAP, WINDOWS_ASKED = 240, 120, 2_000
 
 _PAIRS = """
     SELECT piece, min(rank::BIGINT << 32 | i) AS best
@@ -80,6 +83,8 @@ class _Tokenizer:
         self.texts: dict[str, bytes] = {}
         self.kept = PIECES_KEPT
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.sizes[list(ranks.values())] = list(map(len, ranks))
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         merges = [
             (ranks[token[:i]] << 32 | ranks[token[i:]], rank)
@@ -105,7 +110,12 @@ class _Tokenizer:
         whole = np.fromiter((self.ranks.get(p, -1) for p in encoded), np.int32, len(new))
         known = np.flatnonzero(whole >= 0)
         order, values, lengths = [known], [whole[known]], [np.ones(len(known), np.int64)]
-        for fits, query in ((size <= SHORT, _ENCODE_SHORT), (size > SHORT, _ENCODE_LONG)):
+        for i in np.flatnonzero((whole < 0) & (size > LONG)).tolist():
+            toks = self._encode_windows(encoded[i])
+            order.append(np.array([i]))
+            values.append(toks)
+            lengths.append(np.array([len(toks)]))
+        for fits, query in ((size <= SHORT, _ENCODE_SHORT), ((size > SHORT) & (size <= LONG), _ENCODE_LONG)):
             some = np.flatnonzero((whole < 0) & fits)
             if len(some):
                 data = np.frombuffer(b"".join([encoded[i] for i in some.tolist()]), np.uint8)
@@ -122,6 +132,45 @@ class _Tokenizer:
             self.texts[new[i]] = text
             start = end
 
+    def _encode_windows(self, piece: bytes) -> np.ndarray:
+        """Ids of a long piece, from windows that overlap, in time linear in its length.
+
+        Where two windows have the same token before and the same token after a
+        place, the one's tokens go on with the other's: neither merges across the
+        place, and the merges inside these two tokens come in the same order in
+        any text that has both, so the whole piece has no merge across it either.
+        Two windows without such a place are encoded again as one, up to the whole piece.
+        """
+        data = self.bytes[np.frombuffer(piece, np.uint8)]
+        bounds = [(a, min(a + WINDOW + OVERLAP, len(piece))) for a in range(0, max(1, len(piece) - OVERLAP), WINDOW)]
+        done: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # first and end byte, ids, byte after each id
+        while bounds:
+            for some in (bounds[i : i + WINDOWS_ASKED] for i in range(0, len(bounds), WINDOWS_ASKED)):
+                sizes = np.array([b - a for a, b in some])
+                states = self._ask(_ENCODE_LONG, np.concatenate([data[a:b] for a, b in some]), sizes)
+                ids, cuts = states.flatten().to_numpy(), np.append(0, np.cumsum(states.value_lengths().to_numpy()))
+                for (a, b), i, j in zip(some, cuts[:-1], cuts[1:], strict=True):
+                    done.append((a, b, ids[i:j], a + np.cumsum(self.sizes[ids[i:j]])))
+            done.sort(key=lambda w: w[0])
+            bounds, kept, joins = [], [], []
+            for window in done:
+                if not kept or window[0] >= kept[-1][1]:  # the first, or the one before is encoded again
+                    place = window[0]
+                else:
+                    place = _common_place(kept[-1], window, joins[-1])
+                if place is None:
+                    bounds.append((kept.pop()[0], window[1]))
+                    joins.pop()
+                else:
+                    kept.append(window)
+                    joins.append(place)
+            done = kept
+        out, start = [], 0
+        for (_, _, ids, ends), end in zip(done, [*joins[1:], len(piece)], strict=True):
+            out.append(ids[np.searchsorted(ends, start, "right") : np.searchsorted(ends, end, "right")])
+            start = end
+        return np.concatenate(out)
+
     def _ask(self, query: str, values: np.ndarray, sizes: np.ndarray) -> pa.Array:
         """One row per list, in order; the lists are the values cut into these sizes."""
         ends = np.zeros(len(sizes) + 1, np.int32)
@@ -163,6 +212,14 @@ class _Tokenizer:
         return ids, back
 
 
+def _common_place(left: tuple, right: tuple, after: int) -> int | None:
+    """The first place beyond ``after`` with equal tokens of two windows on both sides, if any."""
+    (_, _, ids, ends), (_, _, ids2, ends2) = left, right
+    shared, i, j = np.intersect1d(ends[:-1], ends2[:-1], assume_unique=True, return_indices=True)
+    equal = (ids[i] == ids2[j]) & (ids[i + 1] == ids2[j + 1]) & (shared > after)
+    return int(shared[equal][0]) if equal.any() else None
+
+
 def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of a bounded number of characters; a longer text stands alone."""
     start = size = 0
