@@ -17,10 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.words import chunks, word_bounds, word_hashes
 
 PASSAGE_WORDS = 64
-# Labelled rows of each class the network is fitted on, taken in the order of a hash of their key,
-# and the passages of one training document that are used, evenly spread. Scoring uses all of them.
-SAMPLE_ROWS = 4_000
-SAMPLE_PASSAGES = 48
+# Labelled rows of each class the network is fitted on, taken in the order of a hash of their key.
+SAMPLE_ROWS = 2_000
 HIDDEN, GATES, EPOCHS, RATE = 16, 8, 240, 0.02
 
 _CLASSES = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:", "!?", "|", "#$%&*@^~+=", "\n", "<>{}[]()/\\_\"'`-"]
@@ -134,10 +132,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, rows, x, belongs in passages(batch.column(1)):
             ends = np.searchsorted(belongs, np.arange(rows), "right")
             starts = np.searchsorted(belongs, np.arange(rows), "left")
-            blobs = []
-            for a, b in zip(starts, ends, strict=True):
-                take = np.arange(a, b) if b - a <= SAMPLE_PASSAGES else np.linspace(a, b - 1, SAMPLE_PASSAGES).astype(int)
-                blobs.append(x[take].tobytes())
+            blobs = [x[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(labels[first : first + rows], pa.int32()), pa.array(blobs, pa.binary())], ["label", "bag"]
             )
@@ -149,7 +144,7 @@ def fit(labelled: DataFrame) -> dict:
     Each class counts by its rows. No rows give a network that scores a half, one class a constant.
     """
     found = labelled.select(F.col("label").cast("int"), "text").mapInArrow(_bags, "label int, bag binary")
-    rows = sorted((r["label"], bytes(r["bag"])) for r in found.collect())  # at most the sample, of bounded bags
+    rows = sorted((r["label"], bytes(r["bag"])) for r in found.collect())  # at most the sample; a bag is a fifth of its text
     if len({label for label, _ in rows}) < 2:
         net = _trained(np.zeros((1, FEATURES), np.float32), np.zeros(1, int), np.zeros(1)) | {"c": np.zeros(HIDDEN, np.float32)}
         return net | {"d": np.float32(0 if not rows else 4 if rows[0][0] else -4), "mean": np.zeros(FEATURES, np.float32), "scale": np.ones(FEATURES, np.float32)}
