@@ -4,6 +4,8 @@ import hashlib
 from collections import Counter
 
 import duckdb
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -241,6 +243,34 @@ def brute_segments(scores):
     return [*brute_segments(scores[:a]), best, *right]
 
 
+def test_bpe_of_long_words_equals_the_library(tokenizer):
+    import tiktoken
+
+    ranks, pattern = tokenizer
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    tables = bpe._Tokenizer(ranks, pattern)
+    rng = np.random.default_rng(11)
+    drawn = lambda letters, n: "".join(np.array(list(letters))[rng.integers(0, len(letters), n)])
+    long = [drawn("abcdefghijklmnopqrstuvwxyz", 9000), drawn("的一是不了人我在有他", 3000), "国" * 1500, "a" * 4001, "abcdefg" * 700, "-" * 3333]
+    long += ["".join(["the", "ing", "tion", "er"][i] for i in rng.integers(0, 4, 1500)), drawn("ab", 1025), drawn("é ü", 1200).replace(" ", "x")]
+    ids, back = tables.round_trips(long)
+    for text, found, decoded in zip(long, ids, back, strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == own.encode_ordinary(text)
+        assert decoded.decode() == text
+
+
+def test_bpe_windows_without_a_common_place_are_joined(tokenizer, monkeypatch):
+    import tiktoken
+
+    ranks, pattern = tokenizer
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "WINDOW", 7)
+    monkeypatch.setattr(bpe, "OVERLAP", 3)
+    tables = bpe._Tokenizer(ranks, pattern)
+    for text in ("a" * 1100, "internationalisation" * 60, "国" * 400):
+        assert tables._encode_windows(text.encode()).tolist() == own.encode_ordinary(text)
+
+
 def test_segments_equal_the_definition():
     rng = np.random.default_rng(5)
     for _ in range(40):
@@ -263,6 +293,43 @@ def labelled(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, toxic int, quality int")
 
 
+def test_segments_take_linear_time():
+    # Sums before the hits fall, rise, and fall again: each search must skip what an earlier one passed over.
+    n = 200_000
+    scores = [1.0 if i % 2 else -1.001 if i < n // 2 else -0.5 for i in range(n)] + [1.0 if i % 30 == 0 else None for i in range(n)]
+    started = time.perf_counter()
+    found = toxicity.segments(scores)
+    assert time.perf_counter() - started < 10 and sum(s for _, _, s in found) > n / 8
+
+
+def test_extreme_value_law_is_recovered():
+    # Best scores of clean texts drawn from the law itself; a score below the least one is not seen.
+    rng = np.random.default_rng(2)
+    words_of = rng.integers(50, 2000, 6000)
+    best = np.log(0.02 * words_of / rng.exponential(size=6000)) / 0.7
+    scale, k = toxicity.chance_law(np.where(best < 1.5, 0, best), words_of, 1.5)
+    assert abs(scale - 0.7) < 0.03 and abs(k - 0.02) < 0.003
+    scale, k = toxicity.chance_law(np.zeros(0), np.zeros(0), 1.5)  # nothing known: the prior
+    assert scale == pytest.approx(1.0, abs=1e-6) and k > 0
+
+
+def test_toxicity_weighs_copies_and_keeps_clean_words_apart(spark):
+    rows = labelled(spark)
+    copies = rows.where("doc_id = 5").withColumn("doc_id", F.explode(F.sequence(F.lit(1000), F.lit(1040))).cast("long"))
+    edited = copies.withColumn("text", F.concat("text", F.lit(" edit"), F.col("doc_id").cast("string")))
+    both = rows.unionByName(edited)
+    model = toxicity.fit(both, both.select("doc_id", F.col("toxic").alias("label")))
+    ordinary = set(rows.where("doc_id = 5").first().text.lower().split()) - {"foulword"}
+    assert not any(model.scores.get(w, 0) > 0 for w in ordinary if not w.startswith("vilestem"))
+    assert model.scores["foulword"] > 0
+
+
+def test_sample_bounds_rows_of_a_hot_key(spark):
+    docs = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 1), (None, 1)], "doc_id long, label int")
+    assert {(r.label, r["count"]) for r in toxicity.sample(docs, labels).groupBy("label").count().collect()} == {(0, 1), (1, 1)}
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows = labelled(spark)
     train = rows.where("doc_id % 4 <> 0").select("doc_id", F.col("toxic").alias("label"))
