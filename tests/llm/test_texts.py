@@ -315,7 +315,7 @@ def test_extreme_value_law_is_recovered():
 
 def test_toxicity_weighs_copies_and_keeps_clean_words_apart(spark):
     rows = labelled(spark)
-    copies = rows.where("doc_id = 5").withColumn("doc_id", F.explode(F.sequence(F.lit(1000), F.lit(1040))).cast("long"))
+    copies = rows.where("doc_id = 5").withColumn("doc_id", F.explode(F.sequence(F.lit(1000).cast("long"), F.lit(1039).cast("long"))))
     edited = copies.withColumn("text", F.concat("text", F.lit(" edit"), F.col("doc_id").cast("string")))
     both = rows.unionByName(edited)
     model = toxicity.fit(both, both.select("doc_id", F.col("toxic").alias("label")))
