@@ -878,6 +878,10 @@ SELECT COUNT(*) AS row_count, COUNT(*) AS known_rows FROM (SELECT * FROM station
         "series_per_station": series(DAY_US)
         + """
 SELECT BikepointID, bin, bin_time, ROUND(v, 6) AS No_Empty_Docks FROM placed""",
+        "series_from_partials": f"""
+SELECT 'daily' AS report, bin_time, "Available Docks" FROM ({series(DAY_US)}{TOTAL_DOCKS})
+UNION ALL
+SELECT 'fine', bin_time, "Available Docks" FROM ({series(TWO_MINUTES_US)}{TOTAL_DOCKS})""",
         "series_alert": f"""SELECT * FROM ({series(DAY_US)}{TOTAL_DOCKS})
 WHERE "Available Docks" >= 900""",
         "alert_runs": f"""WITH r1 AS (

@@ -1100,6 +1100,24 @@ def series_per_station(spark, sf):
     return filled.withColumn("No_Empty_Docks", F.round("No_Empty_Docks", 6))
 
 
+@query()
+def series_from_partials(spark, sf):
+    """Two reports from the partials of closed days, a late delivery among them, and the open day."""
+    rows = td.stations(spark, sf)
+    open_day = F.date_trunc("day", stations.newest(rows))
+    closed = rows.where(F.col(stations.TIME) < open_day)
+    partials = stations.dock_partials(spark, session.scratch_path(spark, "partials"))
+    partials.add(1, closed.where("EventID % 3 <> 0"))
+    partials.add(2, closed.where("EventID % 3 = 0"))
+    unread = rows.where(F.col(stations.TIME) >= open_day)
+    steps = {"daily": "1 day", "fine": "2 minutes"}
+    reports = [
+        stations.refreshed_docks(partials, unread, step).withColumn("report", F.lit(name))
+        for name, step in steps.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query()
 def series_alert(spark, sf):
     return stations.dock_alerts(td.stations(spark, sf), threshold=900)

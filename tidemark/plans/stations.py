@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_of, day_bin, newer_than
@@ -24,6 +24,7 @@ from tidemark.operators.aggregates import (
 )
 from tidemark.operators.alerts import AlertLog
 from tidemark.operators.cleaning import where_in
+from tidemark.operators.partials import SeriesPartials
 from tidemark.operators.ranking import change_from_previous, top
 
 TIME = "EnqueuedTime"
@@ -205,6 +206,19 @@ def available_docks(
     return series.total_per_bin(filled, "No_Empty_Docks", "Available Docks")
 
 
+def dock_partials(spark: SparkSession, path: str, base: str = "2 minutes") -> SeriesPartials:
+    """Stored partials of the free docks of every station."""
+    return SeriesPartials(spark, path, [STATION], TIME, "No_Empty_Docks", base)
+
+
+def refreshed_docks(
+    partials: SeriesPartials, unread: DataFrame, min_step: str, since: str | None = None
+) -> DataFrame:
+    """:func:`available_docks` of the whole table from partials and the rows they do not hold yet."""
+    filled = partials.series(unread, min_step, since)
+    return series.total_per_bin(filled, "No_Empty_Docks", "Available Docks")
+
+
 # Fixed value: the alert threshold of the daily series.
 ALERT_DOCKS = 1500
 
