@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators import partials, series
@@ -102,3 +103,17 @@ def test_refresh_reads_the_partials_and_the_open_day_only(spark, conf):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert scans and all("(day#" in s and f" = {last})" in s or "_delivery=1" in s for s in scans)
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_partials_by_more_columns_serve_filters_and_fewer_columns(spark):
+    rng = random.Random(9)
+    points = frame(spark, drawn(9, 500, 200)).withColumn("area", F.expr("concat('N', pmod(v + second(t), 3))"))
+    parts = points.randomSplit([1.0, 1.0], seed=rng.randrange(100))
+    path = scratch_path(spark, "partials")
+    held = partials.SeriesPartials(spark, path, ["k", "area"], "t", "v", "10 seconds")
+    held.add(1, parts[0])
+    end = points.agg(F.max("t")).first()[0] + timedelta(microseconds=1)
+    for chosen in ("true", "area = 'N1'"):
+        want = series.make_series(points.where(chosen), ["k"], "t", "v", "12 seconds", str(end))
+        found = held.rows(parts[1]).where(chosen)
+        assert rows(series.make_series(found, ["k"], "t", "v", "12 seconds", str(end))) == rows(want)

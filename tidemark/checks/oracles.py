@@ -882,6 +882,12 @@ SELECT BikepointID, bin, bin_time, ROUND(v, 6) AS No_Empty_Docks FROM placed""",
 SELECT 'daily' AS report, bin_time, "Available Docks" FROM ({series(DAY_US)}{TOTAL_DOCKS})
 UNION ALL
 SELECT 'fine', bin_time, "Available Docks" FROM ({series(TWO_MINUTES_US)}{TOTAL_DOCKS})""",
+        "dashboard_from_partials": f"""
+SELECT 'docks_fine' AS tile, bin_time, "Available Docks"
+FROM ({series(TWO_MINUTES_US, "Neighbourhood = 'N3'")}{TOTAL_DOCKS})
+UNION ALL
+SELECT 'docks_daily', bin_time, "Available Docks"
+FROM ({series(DAY_US, "Neighbourhood = 'N3'")}{TOTAL_DOCKS})""",
         "series_alert": f"""SELECT * FROM ({series(DAY_US)}{TOTAL_DOCKS})
 WHERE "Available Docks" >= 900""",
         "alert_runs": f"""WITH r1 AS (

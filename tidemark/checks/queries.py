@@ -1100,24 +1100,36 @@ def series_per_station(spark, sf):
     return filled.withColumn("No_Empty_Docks", F.round("No_Empty_Docks", 6))
 
 
-@query()
-def series_from_partials(spark, sf):
-    """Two reports from the partials of closed days, a late delivery among them, and the open day."""
-    rows = td.stations(spark, sf)
+def _delivered_docks(spark, rows):
+    """Partials of closed days, a late delivery among them, and the rows of the open day."""
     open_day = F.date_trunc("day", stations.newest(rows))
     closed = rows.where(F.col(stations.TIME) < open_day)
     partials = stations.dock_partials(spark, session.scratch_path(spark, "partials"))
     partials.add(1, closed.where("EventID % 3 <> 0"))
     partials.add(2, closed.where("EventID % 3 = 0"))
-    unread = rows.where(F.col(stations.TIME) >= open_day)
-    steps = {"daily": "1 day", "fine": "2 minutes"}
+    return partials, rows.where(F.col(stations.TIME) >= open_day)
+
+
+@query()
+def series_from_partials(spark, sf):
+    partials, unread = _delivered_docks(spark, td.stations(spark, sf))
     reports = [
         stations.refreshed_docks(partials, unread, step).withColumn("report", F.lit(name))
-        for name, step in steps.items()
+        for name, step in {"daily": "1 day", "fine": "2 minutes"}.items()
     ]
     return reduce(DataFrame.unionByName, reports)
 
 
+@query()
+def dashboard_from_partials(spark, sf):
+    """The series tiles of a neighbourhood when the dashboard is given partials."""
+    rows = td.stations(spark, sf)
+    partials, unread = _delivered_docks(spark, rows)
+    tiles = stations.dashboard(rows, ["N3"], partials=partials, unread=unread)
+    reports = [tiles[name].withColumn("tile", F.lit(name)) for name in ("docks_fine", "docks_daily")]
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query()
 def series_alert(spark, sf):
     return stations.dock_alerts(td.stations(spark, sf), threshold=900)

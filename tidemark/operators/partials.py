@@ -64,6 +64,8 @@ class SeriesPartials:
     """Partials of one value at ``path``, one folder per delivery of rows.
 
     ``base`` is the shortest step a series of them may have, such as "2 minutes".
+    Rows kept by some columns can be filtered by them, and also serve series by
+    fewer of them.
     """
 
     def __init__(
@@ -95,7 +97,11 @@ class SeriesPartials:
         return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{DELIVERY}="))
 
     def rows(self, unread: DataFrame) -> DataFrame:
-        """The kept rows of all finished deliveries and the table's rows that no delivery holds yet."""
+        """The kept rows of all finished deliveries and the table's rows that no delivery holds yet.
+
+        They have the first and the newest time of all rows. A series of them may
+        start anywhere, and end after the newest row that a delivery holds.
+        """
         columns = [F.col(f"`{c}`") for c in (*self.by, self.time, self.value)]
         found = unread.select(*columns)
         folders = [f"{self.path}/rows/{DELIVERY}={n}" for n in self.deliveries()]
@@ -107,14 +113,16 @@ class SeriesPartials:
     def series(self, unread: DataFrame, min_step: str, since: str | None = None) -> DataFrame:
         """:func:`~tidemark.operators.series.make_series` of the whole table, up to its newest row.
 
-        Reads the partials and ``unread``, the rows no delivery holds. There is no
-        other end: one inside a base bin could cut it a second time.
+        Reads the partials and ``unread``, the rows no delivery holds.
         """
-        if self._micros(min_step) < self._micros(self.base):
-            raise ValueError(f"the partials hold steps of {self.base} and more")
+        self.require_step(min_step)
         rows = self.rows(unread)
         return make_series(rows, self.by, self.time, self.value, min_step, since=since)
 
+    def require_step(self, min_step: str) -> None:
+        if self._micros(min_step) < self._micros(self.base):
+            raise ValueError(f"the partials hold steps of {self.base} and more")
+
     def _micros(self, interval: str) -> int:
         length = f"unix_micros(timestamp_micros(0) + INTERVAL {interval})"
         return self.spark.range(1).selectExpr(length).first()[0]

@@ -207,16 +207,17 @@ def available_docks(
 
 
 def dock_partials(spark: SparkSession, path: str, base: str = "2 minutes") -> SeriesPartials:
-    """Stored partials of the free docks of every station."""
-    return SeriesPartials(spark, path, [STATION], TIME, "No_Empty_Docks", base)
+    """Stored partials of the free docks, by station and the columns the dashboard selects by."""
+    by = [STATION, "Neighbourhood", "Street"]
+    return SeriesPartials(spark, path, by, TIME, "No_Empty_Docks", base)
 
 
 def refreshed_docks(
     partials: SeriesPartials, unread: DataFrame, min_step: str, since: str | None = None
 ) -> DataFrame:
     """:func:`available_docks` of the whole table from partials and the rows they do not hold yet."""
-    filled = partials.series(unread, min_step, since)
-    return series.total_per_bin(filled, "No_Empty_Docks", "Available Docks")
+    partials.require_step(min_step)
+    return available_docks(partials.rows(unread), min_step, since=since)
 
 
 # Fixed value: the alert threshold of the daily series.
@@ -261,24 +262,33 @@ def dashboard(
     streets: Sequence[str] | None = None,
     now: str | Column | None = None,
     since: str | None = None,
+    partials: SeriesPartials | None = None,
+    unread: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All dashboard tiles over one filtered base, each still lazy.
 
     "Now" is the newest time of the unfiltered table, so an area without recent
     events shows none. Give ``now`` to let all tiles agree on the moment while
-    the table grows; a series then ends before it.
+    the table grows; a series then ends before it. With ``partials`` (and
+    ``unread``, the rows they do not hold) the series and the newest time come
+    from these; ``now`` must then be after the rows they hold.
     """
     rows = base(stations, neighbourhoods, streets)
-    end = now if now is not None else newest(stations) + F.expr("INTERVAL 1 microsecond")
-    now = now if now is not None else newest(stations)
+    whole, docks = stations, rows
+    if partials is not None:
+        partials.require_step("2 minutes")
+        whole = partials.rows(unread)
+        docks = where_in(whole, {"Neighbourhood": neighbourhoods, "Street": streets})
+    end = now if now is not None else newest(whole) + F.expr("INTERVAL 1 microsecond")
+    now = now if now is not None else newest(whole)
     return {
         "fullest": fullest(rows, now=now),
         "emptiest": fullest(rows, now=now, emptiest=True),
         "map": map_points(rows, now=now),
         "bikes_per_street": bikes_per_street(rows),
         "event_counts": event_counts(rows, now),
-        "docks_fine": available_docks(rows, "2 minutes", end, since),
-        "docks_daily": available_docks(rows, "1 day", end, since),
+        "docks_fine": available_docks(docks, "2 minutes", end, since),
+        "docks_daily": available_docks(docks, "1 day", end, since),
         "neighbourhood_choices": neighbourhood_choices(stations),
         "street_choices": street_choices(stations, neighbourhoods),
     }
