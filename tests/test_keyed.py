@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.test_jobs import FIRST, SECOND
+from tidemark.operators import keyed
 from tidemark.operators.keyed import KeyedTable
 from tidemark.plans import medallion, medallion_feed
 
@@ -72,6 +73,37 @@ def test_a_merge_neither_shuffles_the_table_nor_reads_other_months(spark, table,
     assert len(above) == 1 and table.missing(lines(spark, (1, "2024-02-05", "x")), 2).count() == 0
 
 
+def test_a_large_merge_is_not_held_to_the_buckets(spark, table, conf, monkeypatch):
+    """Beyond the rows of a bucket both sides are shuffled to the session's partitions."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="16")
+    monkeypatch.setattr(keyed, "BUCKET_ROWS", 20)
+    table.merge(lines(spark, *[(i, "2024-01-05", "a") for i in range(80)], (None, None, "n")), 1)
+    second = lines(spark, *[(i, "2024-01-05", "b") for i in range(40, 120)], (None, None, "m"))
+    plan = plan_of(table.missing(second, 2))
+    assert "Bucketed: true" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert re.search(r"Exchange hashpartitioning\([^)]*, 16\)", plan)
+    table.merge(second, 2)
+    assert sorted(r.id for r in table.changes(1, 2).collect() if r.id is not None) == [*range(80, 120)]
+    assert table.rows().count() == 122
+
+
+def test_the_first_batch_meets_no_join(spark, table):
+    assert "Join" not in plan_of(table.missing(lines(spark, (1, "2024-01-05", "a")), 1))
+
+
+def test_joins_with_a_dimension_have_more_tasks_than_its_bucket(spark, database, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="16")
+    names = KeyedTable(spark, f"{database}.names", "id long, note string", ["id"], None, 1)
+    names.create_if_absent().merge(spark.range(50).withColumn("note", F.lit("a")), 1)
+    found = spark.range(100).join(names.rows(), "id", "left")
+    assert "Bucketed: true" not in plan_of(found)
+    assert re.search(r"Exchange hashpartitioning\([^)]*, 16\)", plan_of(found))
+    assert found.where("note = 'a'").count() == 50
+    again = names.missing(spark.range(100).withColumn("note", F.lit("b")), 2)
+    assert re.search(r"Exchange hashpartitioning\([^)]*, 16\)", plan_of(again))
+    assert again.count() == 50
+
+
 def test_the_feed_reads_the_new_batch_only(spark, table):
     table.merge(lines(spark, *[(i, "2024-01-05", "a") for i in range(50)]), 1)
     table.merge(lines(spark, (100, "2024-01-05", "b"), (101, "2024-02-05", "b")), 2)
