@@ -1,11 +1,14 @@
 """End-to-end jobs and the registered queries against their SQL."""
 
+from datetime import date
+
 import pytest
 
 import __spark_entry__
 from tests.conftest import rows
 from tidemark.checks import compare, oracles, queries
 from tidemark.plans import medallion
+from tidemark.schemas import ORDERS_CSV
 from tidemark.session import build_session
 
 SMALL = "/root/testdata/sf0.001"
@@ -54,6 +57,50 @@ def test_medallion_runs(spark, database, tmp_path):
     assert silver.where("IsFlagged").count() == 2
 
 
+def test_two_runs_write_both_deliveries_from_one_pass(spark, monkeypatch):
+    made = []
+
+    def sales(spark, sf):
+        """Four lines, one of them without a date; each pass over them is counted."""
+        days = ["1995-02-01", "1999-02-01", "1999-02-01", None]
+        data = [(f"SO{i}", 1, d and date.fromisoformat(d), f"N {i}", f"{i}@x", "Pump", 1, 1.0, 0.1) for i, d in enumerate(days)]
+        seen = spark.sparkContext.accumulator(0)
+        made.append(seen)
+
+        def count(batches):
+            for batch in batches:
+                seen.add(len(batch))
+                yield batch
+
+        return spark.createDataFrame(data, ORDERS_CSV).mapInPandas(count, ORDERS_CSV)
+
+    monkeypatch.setattr(queries.td, "sales", sales)
+    for name in ("medallion_second_run", "medallion_totals"):
+        found = queries.registered()[name](spark, SMALL).collect()
+        assert sum(seen.value for seen in made) == 4, name
+        made.clear()
+        if name == "medallion_totals":
+            assert sorted((r.Year, r.line_count, r.quantity, r.buyers) for r in found) == [(1995, 1, 1, 1), (1999, 2, 2, 2)]
+        else:
+            assert {r.table_name: r.row_count for r in found}["sales_silver"] == 3
+
+
+def test_gold_totals_count_a_shared_email_once(spark):
+    day = date(2020, 1, 1)
+    tables = {
+        "dimcustomer_gold": spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "CustomerID long, Email string"),
+        "dimproduct_gold": spark.createDataFrame([(1, "Pump"), (2, "Pump")], "ItemID long, ItemName string"),
+        "dimdate_gold": spark.createDataFrame([(day, 2020)], "OrderDate date, Year int"),
+        "factsales_gold": spark.createDataFrame(
+            [(c, i, day, 2) for c, i in ((1, 1), (1, 2), (2, 1), (3, 1), (3, 1), (4, 2), (None, 1))],
+            "CustomerID long, ItemID long, OrderDate date, Quantity int",
+        ),
+    }
+    totals = queries._gold_totals(tables)
+    assert rows(totals) == [(2020, "Pump", 6, 12, 2)]
+    assert totals.columns == ["Year", "ItemName", "line_count", "quantity", "buyers"]
+
+
 @pytest.fixture(scope="module")
 def sql():
     return compare.sql_connection(SMALL)

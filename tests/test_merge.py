@@ -20,6 +20,10 @@ def few_partitions(conf):
     conf(spark__sql__shuffle__partitions="2")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def table(spark, *data):
     return spark.createDataFrame(list(data), TABLE)
 
@@ -100,6 +104,22 @@ def test_merge_into_table_reads_and_appends(spark, database):
     assert rows(spark.table(name)) == [("a", D, 1), ("b", D, 2)]
 
 
+def test_only_rows_within_the_tables_dates_are_joined(spark, database, conf):
+    """Before, all updates were shuffled; those outside the dates cannot match."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    name, early, late = f"{database}.dated", date(2023, 1, 1), date(2025, 1, 1)
+    table(spark).write.saveAsTable(name)
+    first = table(spark, ("a", D, 1), ("b", date(2024, 9, 1), 2), (None, D, 3), ("z", None, 4))
+    assert "Join" not in plan_of(merge.rows_to_append(spark.table(name), first, ["k", "d"]))
+    merge.merge_into_table(spark, name, first, ["k", "d"])
+    second = [("a", D, 9), ("b", date(2024, 9, 1), 9), ("b", D, 5), ("a", early, 6), ("a", late, 7), ("a", late, 7), (None, D, 8), ("z", None, 9)]
+    new = merge.rows_to_append(spark.table(name), table(spark, *second), ["k", "d"])
+    assert "Union" in plan_of(new) and plan_of(new).count("SortMergeJoin") == 1
+    assert rows(new) == rows(table(spark, *second[2:]))
+    merge.merge_into_table(spark, name, table(spark, *second), ["k", "d"])
+    assert spark.table(name).count() == 10
+
+
 def test_conditional_update_keeps_types_and_null_conditions(spark):
     df = spark.createDataFrame(
         [(Decimal("10.00"), "Mountain Bikes"), (Decimal("10.00"), None)],
