@@ -25,6 +25,33 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert {tuple(r) for r in found.collect()} == want
 
 
+def best_by_hand(vectors, queries, k):
+    scored = {q: sorted((-sum(map(int.__mul__, vectors[q], v)), i) for i, v in enumerate(vectors) if i != q)[:k] for q in queries}
+    return {(q, r + 1, i, -s) for q, found in scored.items() for r, (s, i) in enumerate(found)}
+
+
+def test_top_k_sends_no_block_through_the_driver(spark, monkeypatch, conf):
+    """Copies of a small table's query blocks, one for each candidate block, were broadcast together."""
+    for name, size in {"CANDIDATE_ROWS": 10, "QUERY_ROWS": 4, "QUERY_BLOCKS": 2}.items():
+        monkeypatch.setattr(topk, name, size)
+    conf(spark__sql__autoBroadcastJoinThreshold="10m")
+    vectors = np.random.default_rng(3).integers(-9, 10, (200, 4)).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "id long, vector array<long>")
+    found = topk.top_k(df, df.where("id % 10 = 0"), 5)
+    assert {tuple(r) for r in found.collect()} == best_by_hand(vectors, range(0, 200, 10), 5)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("size", [3, 2**15, 2**28])
+def test_top_k_of_sparse_and_of_large_values(spark, size):
+    """Scores of up to 32 bits and beyond; dimensions with few values and with many."""
+    rng = np.random.default_rng(4)
+    vectors = (rng.integers(-size, size + 1, (120, 5)) * (rng.random((120, 5)) < [0, 0.1, 0.5, 0.9, 1])).tolist()
+    df = spark.createDataFrame(list(enumerate(vectors)), "id long, vector array<long>")
+    found = topk.top_k(df, df.where("id % 10 = 0"), 5)
+    assert {tuple(r) for r in found.collect()} == best_by_hand(vectors, range(0, 120, 10), 5)
+
+
 def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1, 2]), (1, [3]), (2, [])], "id long, vector array<long>")
     assert {tuple(r) for r in topk.top_k(df, df.where("id = 0"), 5).collect()} == {(0, 1, 1, 3), (0, 2, 2, 0)}

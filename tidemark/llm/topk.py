@@ -1,9 +1,10 @@
 """Exact top-k inner products, term at a time.
 
 Candidates are packed into blocks; a block holds a posting list per dimension
-(rows with a value there, and the values). Each sparse query row scatters its
-weighted postings into a dense array of scores over the block. The best of each
-block are selected by partition and merged per query.
+(rows with a value there, and the values); a list of at least half the block is
+kept whole, zeros included. Each sparse query row scatters its weighted postings
+into a dense array of scores over the block. The best of each block are selected
+by partition and merged per query.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-# Vectors of one block; a task holds one query block and one candidate block.
+# Vectors of one block; a Python worker holds one query block and one candidate block.
 QUERY_ROWS = 256
 CANDIDATE_ROWS = 8192
+# Query blocks that a task takes, and keeps in memory, beside its candidate blocks.
+QUERY_BLOCKS = 64
 
 
 def usable(vector: Column) -> Column:
@@ -50,16 +53,13 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, *, key: str = "id",
     )
     n_blocks = max(1, -(-have.count() // CANDIDATE_ROWS))
     n_query_blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    packed = _packed(have, n_blocks).select("block", F.col("rows").alias("candidates"))
+    packed = _packed(have, n_blocks).select("block", F.col("rows").alias("candidates")).coalesce(n_blocks)
+    asked_blocks = _packed(asked, n_query_blocks).select(F.col("rows").alias("queries"))
     # Every query block meets every candidate block: exhaustive search in pieces of fixed size.
-    pairs = _packed(asked, n_query_blocks).select(
-        F.col("rows").alias("queries"), F.explode(F.expr(f"sequence(0L, {n_blocks - 1}L)")).alias("block")
-    )
-    best = (
-        pairs.join(packed, "block")
-        .select("queries", "candidates")
-        .mapInArrow(_search(k), "query_id long, candidate_id long, score long")
-    )
+    # Tasks read both sides' shuffles: no block is copied, and none goes through the driver, as it
+    # would by a join on block numbers, where Spark takes copies for as small as one original.
+    pairs = packed.join(asked_blocks.coalesce(-(-n_query_blocks // QUERY_BLOCKS)).hint("shuffle_replicate_nl"))
+    best = pairs.mapInArrow(_search(k), "query_id long, candidate_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "candidate_id")
     return (
         best.withColumn("rank", F.row_number().over(order))
@@ -87,20 +87,37 @@ def _dense(rows: pa.StructScalar) -> tuple[np.ndarray, np.ndarray]:
 
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # a candidate block comes with one query block after another
         for batch in batches:
-            for queries, candidates in zip(batch.column("queries"), batch.column("candidates"), strict=True):
-                yield from _best(*_dense(queries), *_dense(candidates), k)
+            for block, candidates, queries in zip(*map(batch.column, ("block", "candidates", "queries")), strict=True):
+                if held != block.as_py():
+                    held, postings = block.as_py(), _postings(*_dense(candidates))
+                yield from _best(*_dense(queries), *postings, k)
 
     return run
 
 
-def _best(q_ids, q_matrix, c_ids, c_matrix, k: int) -> Iterator[pa.RecordBatch]:
-    order = np.argsort(c_ids, kind="stable")  # position follows the id, so ties resolve by position
-    c_ids, c_matrix = c_ids[order], c_matrix[order]
-    postings = [(rows := np.flatnonzero(column), column[rows]) for column in c_matrix.T]
+def _postings(ids: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray | slice, np.ndarray]], int]:
+    """Ids in order; for each dimension the positions with a value and the values; the largest absolute value."""
+    order = np.argsort(ids, kind="stable")  # position follows the id, so ties resolve by position
+    postings = []
+    for column in np.ascontiguousarray(matrix[order].T):
+        rows = np.flatnonzero(column)
+        postings.append((rows, column[rows]) if 2 * len(rows) < len(column) else (slice(None), column))
+    return ids[order], postings, _largest(matrix)
+
+
+def _largest(values: np.ndarray) -> int:
+    return max(int(values.max(initial=0)), -int(values.min(initial=0)))
+
+
+def _best(q_ids, q_matrix, c_ids, postings, largest: int, k: int) -> Iterator[pa.RecordBatch]:
+    # The scatter is bound by memory, so numbers are halved where no sum can leave 32 bits.
+    kind = np.int32 if _largest(q_matrix) * largest * len(postings) < 2**31 else np.int64
+    q_matrix, postings = q_matrix.astype(kind), [(rows, weights.astype(kind)) for rows, weights in postings]
     out_q, out_c, out_s = [], [], []
     for query, row in zip(q_ids, q_matrix, strict=True):
-        scores = np.zeros(len(c_ids), np.int64)
+        scores = np.zeros(len(c_ids), kind)
         for term in np.flatnonzero(row[: len(postings)]):
             rows, weights = postings[term]
             scores[rows] += row[term] * weights
@@ -114,6 +131,6 @@ def _best(q_ids, q_matrix, c_ids, c_matrix, k: int) -> Iterator[pa.RecordBatch]:
             chosen = np.arange(len(own))
         out_q.append(np.full(len(chosen), query))
         out_c.append(c_ids[others[chosen]])
-        out_s.append(own[chosen])
+        out_s.append(own[chosen].astype(np.int64))
     columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_q, out_c, out_s)]
     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "candidate_id", "score"])
